@@ -16,6 +16,16 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if small else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out to all cores where a scan has fewer splits than cores.
+
+    For costly row work (parsing documents) over a small input, which would else
+    run on one core. A large input has splits enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def with_rate(df: DataFrame, fx: DataFrame, currency: str | Column, day: str, name: str) -> DataFrame:
     """Left join the rate of a currency on a day; a miss leaves NULL."""
     code = F.col(currency) if isinstance(currency, str) else currency
@@ -37,8 +47,12 @@ def fx_convert(df: DataFrame, fx: DataFrame, currency: str | Column, day: str, a
 
 
 def with_fee_seed(orders: DataFrame, fees: DataFrame) -> DataFrame:
-    """Active fee terms of the payment method, by method only."""
-    terms = active(fees).select("payment_method", F.col("fee_percent"), F.col("fixed_fee_usd"))
+    """Terms of the payment method from the active fee rows, by method only.
+
+    A handful of methods covers all orders, so pass a broadcast seed: a shuffle on
+    the method would pile the orders up on few tasks.
+    """
+    terms = fees.select("payment_method", "fee_percent", "fixed_fee_usd")
     return orders.join(terms, "payment_method", "left")
 
 

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import checked_broadcast
+from tallyhouse.operators.joins import active, checked_broadcast
 from tallyhouse.plans import dims, facts, marts, staging
 
 
@@ -34,8 +34,10 @@ class Inputs:
     salt: str
 
 
-# Tables that are written, with the columns their files are sorted by: date
-# ranges then skip row groups.
+# Tables that are written. Facts are sorted by date inside their files, so date
+# ranges skip row groups. Typed orders and lines are written too: six tables read
+# them, and each would parse the documents again.
+STAGED = ("stg_orders", "stg_order_items")
 FACTS = ("fact_order", "fact_order_item", "fact_refund", "fact_order_cost", "mart_order_profit", "mart_product_profit")
 DIMS = ("dim_date", "dim_site", "dim_country", "dim_payment_method", "dim_product", "dim_customer_anonymized")
 SUMMARIES = ("mart_customer_summary",)
@@ -51,6 +53,10 @@ class Warehouse:
     def fx(self) -> DataFrame:
         return checked_broadcast(self.inputs.fx_daily)
 
+    @cached_property
+    def fees(self) -> DataFrame:
+        return checked_broadcast(active(self.inputs.fees))
+
     @cached_property
     def stg_orders(self) -> DataFrame:
         return staging.stg_orders(self.inputs.orders, self.inputs.salt)
@@ -97,7 +103,7 @@ class Warehouse:
 
     @cached_property
     def fact_order(self) -> DataFrame:
-        return facts.fact_order(self.stg_orders, self.fx, self.inputs.fees)
+        return facts.fact_order(self.stg_orders, self.fx, self.fees)
 
     @cached_property
     def fact_order_item(self) -> DataFrame:
@@ -149,7 +155,7 @@ def _write(df: DataFrame, path: str, sort: list[str] | None) -> None:
 def publish(inputs: Inputs, path: str) -> Star:
     """Write the star under ``path`` and return it."""
     star = Star(inputs, inputs.orders.sparkSession, path)
-    for name in (*FACTS, *SUMMARIES, *DIMS):
+    for name in (*STAGED, *FACTS, *SUMMARIES, *DIMS):
         df = getattr(star, name)
         _write(df, f"{path}/{name}", ["date_sk"] if name in FACTS else None)
         star.load(name, df.schema)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.joins import spread
 from tallyhouse.operators.windows import daily_fx
 from tallyhouse.plans.staging import PAYPAL_CURRENCY, PAYPAL_FEE, STRIPE_CURRENCY, STRIPE_FEE
 from tallyhouse.plans.warehouse import Inputs
@@ -74,7 +75,7 @@ def order_documents(tables) -> DataFrame:
     """One order document per order, as the shop would send it."""
     customer = tables("customer").select("c_custkey", "c_name", "c_nationkey")
     nation = tables("nation").select("n_nationkey", "n_name")
-    o = base_orders(tables("orders"))
+    o = base_orders(spread(tables("orders"), "o_orderkey"))
     o = o.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     o = o.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     k, total, ccy = F.col("woo_order_id"), F.col("total"), F.col("ccy")
@@ -189,7 +190,7 @@ def item_document() -> Column:
 
 
 def raw_order_items(tables) -> DataFrame:
-    return with_line_id(tables("lineitem")).select(
+    return with_line_id(spread(tables("lineitem"), "l_orderkey")).select(
         site_of(F.col("l_orderkey")).alias("site_code"),
         F.col("l_orderkey").alias("woo_order_id"),
         F.col("line_id").alias("woo_order_item_id"),
@@ -201,9 +202,10 @@ def raw_order_items(tables) -> DataFrame:
 def product_documents(tables) -> DataFrame:
     k = F.col("p_partkey")
     seen = F.date_add(F.lit("1994-01-01").cast("date"), (k % 365).cast("int")).cast("timestamp")
-    site = F.explode(F.array(*[F.lit(f"S{i}") for i in range(SITES)])).alias("site_code")
-    return tables("part").filter(k % 50 != 0).select(
-        site,
+    sites = F.array(*[F.lit(f"S{i}") for i in range(SITES)])
+    listed = spread(tables("part"), "p_partkey").filter(k % 50 != 0).select("p_partkey", "p_name", F.explode(sites).alias("site_code"))
+    return listed.select(
+        "site_code",
         k.alias("woo_product_id"),
         F.lit("2001-01-01").cast("timestamp").alias("date_modified_gmt"),
         stamp(),

@@ -1 +1,408 @@
-"""x"""
+"""Landing, loads, state, streaming (S and R rows of the inventory)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallyhouse.functions.money import MONEY
+from tallyhouse.operators.joins import covered
+from tallyhouse.queries import adapter
+from tallyhouse.queries.registry import query
+from tallyhouse.sources import cost_sheet, landing, loads, state
+from tallyhouse.streaming.ingest import stream_documents, stream_entity, stream_orders
+
+ORDER_ROW = "site_code:s woo_order_id:i number:s status:s currency:s date_created_gmt:t date_modified_gmt:t"
+ORDER_ROW_SQL = """select site_code, k as woo_order_id, k as number, status, case when k % 13 <> 0 then lower(ccy) end as currency,
+created as date_created_gmt, modified as date_modified_gmt from base_order"""
+
+
+def documents(r) -> DataFrame:
+    return adapter.order_documents(r.table).select("site_code", "extracted_at", "_payload")
+
+
+@query("s1_land_orders", ORDER_ROW, ORDER_ROW_SQL)
+def _(r):
+    return landing.land_orders(documents(r))
+
+
+def line_documents(r) -> DataFrame:
+    """Order documents of one line each, with the line twice, once, or a null or absent list."""
+    n = F.col("l_linenumber")
+    item = F.struct(
+        (F.col("l_partkey") * 10 + n).alias("id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+    )
+    again = F.struct(
+        (F.col("l_partkey") * 10 + n + 5_000_000_000).alias("id"),
+        F.col("l_partkey").alias("product_id"),
+        F.lit(1).alias("quantity"),
+    )
+    lines = F.when(n == 1, F.array(item, again)).when(n < 6, F.array(item)).when(n == 6, F.array().cast("array<struct<id:bigint,product_id:bigint,quantity:int>>"))
+    doc = F.to_json(F.struct(F.col("l_orderkey").alias("id"), lines.alias("line_items")))
+    return r.table("lineitem").select(adapter.site_of(F.col("l_orderkey")).alias("site_code"), adapter.stamp(), doc.alias("_payload"))
+
+
+@query(
+    "s2_land_order_items",
+    "site_code:s woo_order_id:i woo_order_item_id:i quantity:i n:i",
+    """select site_code, woo_order_id, woo_order_item_id, quantity, count(*) as n from (
+select 'S' || (l_orderkey % 5) as site_code, l_orderkey as woo_order_id, l_partkey * 10 + l_linenumber as woo_order_item_id,
+cast(l_quantity as int) as quantity from lineitem where l_linenumber < 6
+union all
+select 'S' || (l_orderkey % 5), l_orderkey, l_partkey * 10 + l_linenumber + 5000000000, 1 from lineitem where l_linenumber = 1)
+group by all""",
+)
+def _(r):
+    lines = landing.land_order_items(line_documents(r))
+    quantity = F.get_json_object("_payload", "$.quantity").cast("int").alias("quantity")
+    return lines.groupBy("site_code", "woo_order_id", "woo_order_item_id", quantity).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "s3_land_products",
+    "site_code:s woo_product_id:i date_modified_gmt:t",
+    """select site_code, product_id as woo_product_id, case when product_id % 3 <> 0 then first_seen end as date_modified_gmt
+from stg_p""",
+)
+def _(r):
+    return landing.land_entity(adapter.product_documents(r.table).drop("date_modified_gmt"), "woo_product_id")
+
+
+@query(
+    "s4_land_refunds",
+    "site_code:s woo_refund_id:i woo_order_id:i date_created_gmt:t",
+    "select site_code, refund_id as woo_refund_id, k as woo_order_id, refunded_at as date_created_gmt from stg_r",
+)
+def _(r):
+    docs = adapter.refund_documents(r.table).select("site_code", "woo_order_id", "extracted_at", "_payload")
+    return landing.land_refunds(docs)
+
+
+@query(
+    "s5_orders_with_refunds",
+    "site_code:s woo_order_id:i",
+    "select site_code, k as woo_order_id from base_order where status = 'refunded'",
+)
+def _(r):
+    return landing.orders_with_refunds(landing.land_orders(documents(r)))
+
+
+# --- cost sheet --------------------------------------------------------------
+SHEET_HEADERS = [
+    "Date", "Status", "Project", "Order Code", "Product name", "Currency", "Country", "Shipping", "Típs/Coupon",
+    "Total", "Fee", "CoGS", "Profit Margin", "Name", "Ship to",
+]
+
+
+def sheet_rows(r) -> DataFrame:
+    """Sheet text from orders: a parent row with totals, then a child row with blanks.
+
+    The file-order number puts the child right after its parent. Every ninth
+    order has its second row under another site.
+    """
+    k, total = F.col("woo_order_id"), F.col("total")
+    child = F.col("part") == 1
+    rows = adapter.base_orders(r.table("orders")).select(
+        "*", F.explode(F.array(F.lit(0), F.lit(1))).alias("part")
+    )
+    blank = F.lit("")
+    other = F.concat(F.lit("S"), ((k + 1) % 5).cast("string"))
+    code = F.when(k % 6 == 0, F.concat(k.cast("string"), F.lit("_1"))).when(
+        k % 6 == 1, F.concat(k.cast("string"), F.lit(".0"))
+    ).when(k % 15 == 2, blank).otherwise(k.cast("string"))
+    pounds = F.concat(F.lit("£"), total.cast("string"))
+
+    def once(c):
+        return F.when(child, blank).otherwise(c)
+
+    cells = {
+        "Date": F.date_format("created", "MM/dd/yyyy"),
+        "Status": F.col("status"),
+        "Project": F.when((k % 9 == 0) & child, other).otherwise(F.col("site_code")),
+        "Order Code": code,
+        "Product name": F.concat(F.lit("Item, no. "), F.col("part").cast("string")),
+        "Currency": once(F.col("ccy")),
+        "Country": once(F.when(k % 10 == 0, F.lit("  ")).otherwise(F.lit("US"))),
+        "Shipping": once(F.when(k % 8 == 0, F.lit("nan")).otherwise(F.lit("$1,008.09"))),
+        "Típs/Coupon": once(F.concat(F.lit("($"), total.cast("string"), F.lit(")"))),
+        "Total": once(pounds),
+        # only the child row knows the fee
+        "Fee": F.when(child, F.lit("£1.80")).otherwise(blank),
+        "CoGS": once(F.concat(F.lit("-$"), total.cast("string"))),
+        "Profit Margin": once(F.lit("43.57%")),
+        "Name": F.lit("Jane"),
+        "Ship to": F.lit("1 Street\nTown"),
+    }
+    return rows.select(
+        *[c.alias(h) for h, c in cells.items()], (k * 2 + F.col("part")).alias(cost_sheet.ROW)
+    )
+
+
+SHEET_SPEC = (
+    "site_code:s woo_order_id:i order_status:s order_date:d currency:s country:s csv_shipping_charged_src:m tips_coupon_src:m "
+    "order_total_src:m fee_src:m cogs_usd:m csv_profit_margin:r"
+)
+# The child row of an order under another site is the first of its own key, so it
+# is filled from the parent and keeps its own fee.
+SHEET_SQL = """select case when part = 0 then site_code else 'S' || ((k + 1) % 5) end as site_code, k as woo_order_id,
+status as order_status, order_date, ccy as currency, case when k % 10 <> 0 then 'US' end as country,
+case when k % 8 <> 0 then 1008.09 end as csv_shipping_charged_src, -total as tips_coupon_src, total as order_total_src,
+case when part = 1 then 1.80 end as fee_src, -total as cogs_usd, 0.4357 as csv_profit_margin
+from base_order, range(2) p(part)
+where k % 6 <> 0 and not (k % 6 <> 1 and k % 15 = 2) and (part = 0 or k % 9 = 0)"""
+
+
+def write_sheet(r) -> str:
+    """The sheet as CSV files: header, two sub-header lines, then rows in order."""
+    rows = sheet_rows(r).repartitionByRange(4, cost_sheet.ROW).sortWithinPartitions(cost_sheet.ROW)
+    path = r.folder("sheet")
+    # two sub-header rows lead each file: they sort before every row of their part
+    part = F.spark_partition_id()
+    firsts = rows.select(part.alias("_p"), cost_sheet.ROW).groupBy("_p").agg(F.min(cost_sheet.ROW).alias("_min"))
+    subs = firsts.select(
+        *[F.lit("Items Information" if h == "Order Code" else "x").alias(h) for h in SHEET_HEADERS],
+        F.col("_min").alias(cost_sheet.ROW), F.col("_p"), F.explode(F.array(F.lit(-2), F.lit(-1))).alias("_rank"),
+    )
+    body = rows.withColumns({"_p": part, "_rank": F.lit(0)})
+    whole = body.unionByName(subs).repartition(4, "_p").sortWithinPartitions("_p", cost_sheet.ROW, "_rank")
+    whole.write.partitionBy("_p").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return path
+
+
+@query("s7_build_cost_rows", SHEET_SPEC, SHEET_SQL)
+def _(r):
+    return cost_sheet.build_cost_rows(sheet_rows(r))
+
+
+@query(
+    "s8_off_platform_codes",
+    "order_code:s",
+    "select distinct k || '_1' as order_code from base_order where k % 6 = 0",
+)
+def _(r):
+    return cost_sheet.off_platform_codes(sheet_rows(r))
+
+
+# --- idempotent loads --------------------------------------------------------
+
+
+def existing_orders(r) -> DataFrame:
+    o = adapter.base_orders(r.table("orders")).filter(F.col("status") != "pending")
+    return o.select("site_code", "woo_order_id", F.lit("old").alias("status"), F.lit("2001-01-01").cast("timestamp").alias("extracted_at"))
+
+
+def incoming_orders(r) -> DataFrame:
+    """Halted orders once more, each twice: the later one wins."""
+    o = adapter.base_orders(r.table("orders")).filter(~F.col("status").isin("completed", "processing"))
+    twice = o.select("site_code", "woo_order_id", "status", F.explode(F.array(F.lit(1), F.lit(2))).alias("d"))
+    stamp = F.date_add(F.lit("2002-01-01").cast("date"), F.col("d")).cast("timestamp")
+    return twice.select(
+        "site_code", "woo_order_id", F.concat("status", F.lit("-"), F.col("d").cast("string")).alias("status"), stamp.alias("extracted_at")
+    )
+
+
+@query(
+    "s9_upsert_latest",
+    "site_code:s woo_order_id:i status:s extracted_at:t",
+    """select site_code, k as woo_order_id, case when status in ('completed', 'processing') then 'old' else status || '-2' end as status,
+case when status in ('completed', 'processing') then timestamp '2001-01-01' else timestamp '2002-01-03' end as extracted_at
+from base_order""",
+)
+def _(r):
+    return loads.upsert_latest(existing_orders(r), incoming_orders(r), ["site_code", "woo_order_id"])
+
+
+@query(
+    "s10_snapshot_reload",
+    "site_code:s woo_order_id:i order_total_src:m",
+    "select site_code, k as woo_order_id, total as order_total_src from base_order where k % 20 <> 0",
+)
+def _(r):
+    """Load everything, then reload without some rows: those are gone."""
+    path = r.folder("snapshot")
+    rows = adapter.base_orders(r.table("orders")).select("site_code", "woo_order_id", F.col("total").cast(MONEY).alias("order_total_src"))
+    loads.snapshot_reload(rows, path)
+    loads.snapshot_reload(rows.filter(F.col("woo_order_id") % 20 != 0), path)
+    return loads.read_snapshot(r.spark, path)
+
+
+@query(
+    "s11_replace_children",
+    "site_code:s woo_order_id:i n_lines:i n_new:i",
+    """select 'S' || (l_orderkey % 5) as site_code, l_orderkey as woo_order_id,
+count(*) as n_lines, count(*) filter (where status = 'refunded') as n_new
+from lineitem join base_order on k = l_orderkey
+where not (status = 'refunded' and l_linenumber > 3) and status <> 'cancelled' group by all""",
+)
+def _(r):
+    """Refunded orders are pulled again without their later lines, cancelled ones without any."""
+    o = adapter.base_orders(r.table("orders")).select("site_code", "woo_order_id", "status")
+    lines = r.table("lineitem").select(
+        adapter.site_of(F.col("l_orderkey")).alias("site_code"), F.col("l_orderkey").alias("woo_order_id"), "l_linenumber", F.lit(0).alias("fresh")
+    )
+    pulled = o.filter(F.col("status").isin("refunded", "cancelled"))
+    again = covered(lines, pulled.filter(F.col("status") == "refunded"), ["site_code", "woo_order_id"])
+    fresh = again.filter(F.col("l_linenumber") <= 3).withColumn("fresh", F.lit(1))
+    now = loads.replace_children(lines, pulled, fresh, ["site_code", "woo_order_id"])
+    return now.groupBy("site_code", "woo_order_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("fresh").alias("n_new"))
+
+
+def event_rows(r) -> DataFrame:
+    return r.table("events").select(
+        adapter.site_of(F.col("user_id")).alias("site_code"), "event_id", F.col("ts").cast("timestamp").alias("date_modified_gmt"), "value"
+    )
+
+
+@query(
+    "s12_incremental_slice",
+    "site_code:s event_id:i date_modified_gmt:t",
+    """select 'S' || (user_id % 5) as site_code, event_id, ts as date_modified_gmt from events
+where ts > timestamp '2024-01-15 12:00:00' - interval 1 second""",
+)
+def _(r):
+    return landing.incremental_slice(event_rows(r), F.lit("2024-01-15 12:00:00").cast("timestamp"))
+
+
+@query(
+    "s13_next_watermark",
+    "site_code:s watermark:t",
+    "select 'S' || (user_id % 5) as site_code, max(ts) as watermark from events where event_type <> 'error' group by 1",
+)
+def _(r):
+    known = F.when(F.col("event_type") != "error", F.col("ts").cast("timestamp"))
+    rows = r.table("events").select(adapter.site_of(F.col("user_id")).alias("site_code"), known.alias("date_modified_gmt"))
+    path = r.folder("state")
+    state.advance_watermark(landing.next_watermark(rows.filter("date_modified_gmt < timestamp'2024-01-10'"), ["site_code"]), path, "events")
+    state.advance_watermark(landing.next_watermark(rows, ["site_code"]), path, "events")
+    return state.read_watermarks(r.spark, path)
+
+
+@query(
+    "s14_run_log",
+    "pipeline_name:s site_code:s status:s rows_out:i error_text:s started:b ended:b",
+    """select 'orders' as pipeline_name, s as site_code, case when s = 'S4' then 'failed' else 'success' end as status,
+case when s = 'S4' then 0 else n end as rows_out, case when s = 'S4' then 'ValueError(''S4'')' end as error_text, true as started, true as ended
+from (select 'S' || r_regionkey as s from region) join (select site_code as s, count(*) as n from base_order group by 1) using (s)""",
+)
+def _(r):
+    """One logged run per site; the last one fails."""
+    path = r.folder("runs")
+    counts = adapter.base_orders(r.table("orders")).groupBy("site_code").count().orderBy("site_code")
+    for site, n in ((row["site_code"], row["count"]) for row in counts.limit(adapter.SITES).collect()):
+        try:
+            with state.logged_run(r.spark, path, "orders", site) as run:
+                if site == "S4":
+                    raise ValueError(site)
+                run["rows"] = n
+        except ValueError:
+            pass
+    return state.read_runs(r.spark, path).select(
+        "pipeline_name", "site_code", "status", "rows_out", "error_text",
+        F.col("start_ts").isNotNull().alias("started"), F.col("end_ts").isNotNull().alias("ended"),
+    )
+
+
+@query(
+    "s16_seed_lookup",
+    "country_code:s country_name:s region:s orders:i",
+    """select country_code, s.country_name, s.region, count(*) as orders from stg_o
+left join (select n_name, 'Nation ' || n_nationkey as country_name, r_name as region from nation join region on n_regionkey = r_regionkey
+where n_nationkey % 7 <> 0) s on s.n_name = country group by all""",
+)
+def _(r):
+    """The country seed written as CSV, read back by its schema, joined to the orders."""
+    from tallyhouse.sources.seeds import read_seed
+
+    path = r.folder("seed")
+    r.wh.inputs.country_seed.coalesce(1).write.option("header", True).csv(path)
+    seed = read_seed(r.spark, "country_iso_map", path).groupBy("country_code").agg(
+        F.max("country_name").alias("country_name"), F.max("region").alias("region")
+    )
+    counted = r.wh.stg_orders.groupBy(F.coalesce("billing_country_code", F.lit("XX")).alias("country_code")).agg(F.count(F.lit(1)).alias("orders"))
+    return counted.join(seed, "country_code", "left")
+
+
+@query(
+    "s17_active_sites",
+    "site_code:s orders:i",
+    "select site_code, count(*) as orders from base_order where site_code <> 'S4' group by 1",
+)
+def _(r):
+    rows = adapter.base_orders(r.table("orders")).select("site_code")
+    return landing.for_sites(rows, r.wh.inputs.site_seed).groupBy("site_code").agg(F.count(F.lit(1)).alias("orders"))
+
+
+# --- streams -----------------------------------------------------------------
+
+
+@query(
+    "s15_stream_products",
+    "site_code:s woo_product_id:i date_modified_gmt:t",
+    """select site_code, product_id as woo_product_id, case when product_id % 3 <> 0 then first_seen end as date_modified_gmt
+from stg_p""",
+)
+def _(r):
+    """Landed product files, a few per micro-batch, into a change log."""
+    landed, log = r.folder("landed"), r.folder("log")
+    adapter.product_documents(r.table).select("site_code", "extracted_at", "_payload").repartition(6).write.parquet(landed)
+    stream_entity(stream_documents(r.spark, landed, 2), r.folder("cp"), {log: lambda b: landing.land_entity(b, "woo_product_id")})
+    rows = loads.read_log(r.spark, log, "site_code string, woo_product_id bigint, date_modified_gmt timestamp, extracted_at timestamp, _payload string")
+    return loads.current_rows(rows, ["site_code", "woo_product_id"])
+
+
+@query("r1_stream_orders_repulled", ORDER_ROW, ORDER_ROW_SQL)
+def _(r):
+    """Two pulls of the same orders in one stream: the result is as after one."""
+    landed = r.folder("landed")
+    docs = documents(r)
+    docs.repartition(2).write.mode("append").parquet(landed)
+    docs.repartition(2).write.mode("append").parquet(landed)
+    orders, items = r.folder("orders_log"), r.folder("items_log")
+    stream_orders(stream_documents(r.spark, landed, 2), r.folder("cp"), orders, items)
+    rows = loads.read_log(
+        r.spark, orders,
+        "site_code string, woo_order_id bigint, number string, status string, currency string, date_created_gmt timestamp, "
+        "date_modified_gmt timestamp, extracted_at timestamp, _payload string",
+    )
+    return loads.current_rows(rows, ["site_code", "woo_order_id"])
+
+
+@query(
+    "r2_stream_resumes",
+    "batches:i rows:i",
+    "select 2 as batches, count(*) as rows from events",
+)
+def _(r):
+    """A second run of the stream takes only what landed since the first."""
+    landed, log, checkpoint = r.folder("landed"), r.folder("log"), r.folder("cp")
+    schema = "site_code string, event_id bigint, date_modified_gmt timestamp, value double"
+    rows = event_rows(r)
+    early = F.col("date_modified_gmt") < F.lit("2024-01-20").cast("timestamp")
+    for part in (rows.filter(early), rows.filter(~early)):
+        part.coalesce(1).write.mode("append").parquet(landed)
+        stream_entity(stream_documents(r.spark, landed, 16, schema), checkpoint, {log: lambda b: b})
+    return loads.read_log(r.spark, log, schema).agg(F.count_distinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "r3_stream_bounded_batches",
+    "batches:i rows:i",
+    "select 4 as batches, count(*) as rows from events",
+)
+def _(r):
+    """Eight files at two per batch are four batches."""
+    landed, log = r.folder("landed"), r.folder("log")
+    schema = "site_code string, event_id bigint, date_modified_gmt timestamp, value double"
+    event_rows(r).repartition(8).write.parquet(landed)
+    stream_entity(stream_documents(r.spark, landed, 2, schema), r.folder("cp"), {log: lambda b: b})
+    return loads.read_log(r.spark, log, schema).agg(F.count_distinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("s6_read_cost_sheet", SHEET_SPEC, SHEET_SQL)
+def _(r):
+    """The sheet written as CSV files with sub-header lines and line breaks in cells,
+    read back and built to cost rows."""
+    path = write_sheet(r)
+    return cost_sheet.build_cost_rows(cost_sheet.read_cost_sheet(r.spark, path, SHEET_HEADERS).drop("_p"))

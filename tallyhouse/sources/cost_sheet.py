@@ -34,6 +34,7 @@ PERCENT = {"ROI": "csv_roi", "Profit Margin": "csv_profit_margin"}
 CLASSES = ((ORDER_CURRENCY, parse_money), (US_DOLLAR, parse_money), (PERCENT, parse_percent))
 
 SUB_HEADER_ROWS = 2
+LINE_BITS = 33      # a row's number: file number, then line within the file
 
 
 def read_cost_sheet(spark: SparkSession, path: str, headers: list[str]) -> DataFrame:
@@ -53,10 +54,13 @@ def read_cost_sheet(spark: SparkSession, path: str, headers: list[str]) -> DataF
     )
     in_file = Window.partitionBy("_file").orderBy("_seq")
     numbered = sheet.withColumn("_line", F.row_number().over(in_file))
+    paths = sheet.select("_file").distinct()        # one row per export
+    by_path = paths.withColumn("_nr", F.row_number().over(Window.orderBy("_file")).cast("bigint"))
     return (
         numbered.filter(F.col("_line") > SUB_HEADER_ROWS)
-        .withColumn(ROW, F.col("_seq"))
-        .drop("_file", "_seq", "_line")
+        .join(by_path, "_file")
+        .withColumn(ROW, F.shiftleft("_nr", LINE_BITS) + F.col("_line"))
+        .drop("_file", "_seq", "_line", "_nr")
     )
 
 
