@@ -29,7 +29,7 @@ def top_percent(df: DataFrame, x: str) -> DataFrame:
     scale = df.sparkSession.range(1, PERCENTS + 1).select(F.col("id").cast("int").alias("percent"))
     share = F.max("_cum").over(upto).cast("decimal(26,6)") / F.col("_total").cast("decimal(26,6)")
     return scale.join(steps, "percent", "left").withColumn("_total", total).select(
-        "percent", F.round(share, 8).cast("decimal(28,8)").alias("cum_share")
+        "percent", F.round(share, 12).cast("decimal(28,12)").alias("cum_share")
     )
 
 
@@ -38,7 +38,7 @@ def percent_to_reach(df: DataFrame, x: str, targets: dict[str, float]) -> DataFr
     curve = top_percent(df, x)
     return curve.agg(
         *[
-            F.min(F.when(F.col("cum_share") >= F.lit(str(t)).cast("decimal(28,8)"), F.col("percent"))).alias(name)
+            F.min(F.when(F.col("cum_share") >= F.lit(str(t)).cast("decimal(28,12)"), F.col("percent"))).alias(name)
             for name, t in targets.items()
         ]
     )

@@ -94,7 +94,7 @@ def share_of(df: DataFrame, x: str, key: list[str], name: str) -> DataFrame:
 def _share(x: str) -> Column:
     total = F.col("_total").cast("decimal(26,6)")
     part = F.col(x).cast("decimal(26,6)")
-    return F.round(part / F.nullif(total, F.lit(0).cast("decimal(26,6)")), 8).cast("decimal(28,8)")
+    return F.round(part / F.nullif(total, F.lit(0).cast("decimal(26,6)")), 12).cast("decimal(28,12)")
 
 
 def levels(df: DataFrame, x: str) -> DataFrame:
@@ -145,4 +145,4 @@ def running_total(df: DataFrame, x: str, cum: str, share: str | None = None) ->
         return out
     total = df.agg(F.sum(x).cast(TOTAL)).scalar()
     part = F.col(cum).cast("decimal(26,6)") / F.nullif(total.cast("decimal(26,6)"), F.lit(0).cast("decimal(26,6)"))
-    return out.withColumn(share, F.round(part, 8).cast("decimal(28,8)"))
+    return out.withColumn(share, F.round(part, 12).cast("decimal(28,12)"))

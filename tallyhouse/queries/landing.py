@@ -155,19 +155,16 @@ where k % 6 <> 0 and not (k % 6 <> 1 and k % 15 = 2) and (part = 0 or k % 9 = 0)
 
 
 def write_sheet(r) -> str:
-    """The sheet as CSV files: header, two sub-header lines, then rows in order."""
-    rows = sheet_rows(r).repartitionByRange(4, cost_sheet.ROW).sortWithinPartitions(cost_sheet.ROW)
-    path = r.folder("sheet")
-    # two sub-header rows lead each file: they sort before every row of their part
-    part = F.spark_partition_id()
-    firsts = rows.select(part.alias("_p"), cost_sheet.ROW).groupBy("_p").agg(F.min(cost_sheet.ROW).alias("_min"))
-    subs = firsts.select(
-        *[F.lit("Items Information" if h == "Order Code" else "x").alias(h) for h in SHEET_HEADERS],
-        F.col("_min").alias(cost_sheet.ROW), F.col("_p"), F.explode(F.array(F.lit(-2), F.lit(-1))).alias("_rank"),
+    """The sheet as four CSV files: header, two sub-header lines, rows in order."""
+    part = F.shiftright(cost_sheet.ROW, 1) % 4        # both rows of an order go together
+    rows = sheet_rows(r).withColumn("_p", part)
+    leads = rows.select("_p").distinct().select("_p", F.explode(F.array(F.lit(-2), F.lit(-1))).alias(cost_sheet.ROW))
+    subs = leads.select(
+        *[F.lit("Items Information" if h == "Order Code" else "x").alias(h) for h in SHEET_HEADERS], cost_sheet.ROW, "_p"
     )
-    body = rows.withColumns({"_p": part, "_rank": F.lit(0)})
-    whole = body.unionByName(subs).repartition(4, "_p").sortWithinPartitions("_p", cost_sheet.ROW, "_rank")
-    whole.write.partitionBy("_p").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    whole = rows.unionByName(subs).repartition("_p").sortWithinPartitions("_p", cost_sheet.ROW)
+    path = r.folder("sheet")
+    whole.drop(cost_sheet.ROW).write.partitionBy("_p").options(header=True, quote='"', escape='"').csv(path)
     return path
 
 
