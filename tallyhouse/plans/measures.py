@@ -123,14 +123,23 @@ def _pick(*names: str) -> dict[str, Part]:
     return {n: PARTS[n] for n in names}
 
 
+def _plus(*terms: Column) -> Column:
+    """A sum in which a blank term counts as zero, blank when all are."""
+    seen = F.coalesce(*[t.cast("double") for t in terms]).isNotNull()
+    total = F.coalesce(terms[0], F.lit(0))
+    for t in terms[1:]:
+        total = total + F.coalesce(t, F.lit(0))
+    return F.when(seen, total)
+
+
 def _total_cost(p: dict[str, Column]) -> Column:
-    return p["cogs"] + p["design_fee"] + p["payment_fee"]
+    return _plus(p["cogs"], p["design_fee"], p["payment_fee"])
 
 
 COSTS = ("cogs", "design_fee", "payment_fee")
 
 MEASURES: dict[str, Measure] = {n: Measure({n: part}) for n, part in PARTS.items() if not n.startswith("_")} | {
-    "net_revenue": Measure(_pick("revenue", "refund_amount"), lambda p: p["revenue"] - p["refund_amount"]),
+    "net_revenue": Measure(_pick("revenue", "refund_amount"), lambda p: _plus(p["revenue"], -p["refund_amount"])),
     "aov": _ratio("revenue", "paid_orders"),
     "avg_units_per_order": _ratio("quantity_sold", "paid_orders"),
     "total_cost": Measure(_pick(*COSTS), _total_cost),
@@ -150,7 +159,7 @@ MEASURES: dict[str, Measure] = {n: Measure({n: part}) for n, part in PARTS.items
     "payment_fee_rate": _ratio("_order_fee", "_order_total"),
     "method_approval_rate": _ratio("method_paid_orders", "order_attempts"),
     "method_lost": Measure(
-        _pick("order_attempts", "method_paid_orders"), lambda p: p["order_attempts"] - p["method_paid_orders"]
+        _pick("order_attempts", "method_paid_orders"), lambda p: _plus(p["order_attempts"], -p["method_paid_orders"])
     ),
     "method_fee_rate": _ratio("payment_fee", "_paid_total"),
     "orders_per_customer": _ratio("_customer_orders", "distinct_customers"),
@@ -171,17 +180,9 @@ def parts_of(names: list[str]) -> dict[str, Part]:
 
 
 def value(name: str, prefix: str = "") -> Column:
-    """A measure over folded part columns named ``prefix + part``.
-
-    A measure of one part stays NULL where the part had no rows; a measure of more
-    parts reads missing ones as zero, and only its ratios turn NULL.
-    """
+    """A measure over folded part columns named ``prefix + part``."""
     m = MEASURES[name]
-    columns = {n: F.col(f"`{prefix}{n}`") for n in m.parts}
-    if len(columns) == 1:
-        return next(iter(columns.values()))
-    seen = F.coalesce(*[c.cast("double") for c in columns.values()]).isNotNull()
-    return F.when(seen, m.formula({n: F.coalesce(c, F.lit(0)) for n, c in columns.items()}))
+    return m.formula({n: F.col(f"`{prefix}{n}`") for n in m.parts})
 
 
 def formulas(names: list[str]) -> list[Column]:
