@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.money import TOTAL
 from tallyhouse.operators.windows import levels
+from tallyhouse.session import settle
 
 PERCENTS = 100
 
@@ -18,6 +19,7 @@ def top_percent(df: DataFrame, x: str) -> DataFrame:
     level is placed once at the smallest percent that takes it in, so no row meets
     all hundred percents.
     """
+    df = settle(df.select(x))
     ranked = levels(df, x)
     n = df.agg(F.count(x)).scalar()
     total = df.agg(F.sum(x).cast(TOTAL)).scalar()

@@ -10,26 +10,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.money import TOTAL
+from tallyhouse.session import settle
 
 BLOCK_BITS = 20     # rows of one fill block: 2**20 order numbers
 CUTS = 127          # value ranges of a running total
 
 
-def _same(left: list[str], right_prefix: str) -> Column:
-    condition = None
-    for name in left:
-        term = F.col(f"`{name}`").eqNullSafe(F.col(f"`{right_prefix}{name}`"))
-        condition = term if condition is None else condition & term
-    return condition
-
-
 def ffill(
     df: DataFrame, key: list[str], order: str, cols: list[str], blank: str | None = None,
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """Carry the last value forward inside a key, in ``order`` (an integer column).
 
-    ``blank`` is a pattern of text that counts as missing.
+    ``blank`` is a pattern of text that counts as missing. Key columns hold no NULL.
     """
     if not cols:
         return df
@@ -40,26 +33,24 @@ def ffill(
             *[F.col(f"`{c}`") if c not in q else F.when(~q[c].rlike(blank), q[c]).alias(c) for c in df.columns]
         )
     blocked = masked.withColumn("_block", F.shiftright(F.col(order), block_bits))
-    keys = [F.col(f"`{k}`") for k in key]
+    quoted = [f"`{k}`" for k in key]
 
-    inside = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*quoted, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     near = blocked.select(
         *[F.col(f"`{c}`") if c not in q else F.last(q[c], ignorenulls=True).over(inside).alias(c) for c in df.columns],
         "_block",
     )
 
-    ends = blocked.groupBy(*keys, "_block").agg(
-        *[F.max_by(q[c], F.when(q[c].isNotNull(), F.col(order))).alias(f"_end_{i}") for i, c in enumerate(cols)]
-    )
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # the last row of a block knows all its last values
+    ends = near.groupBy(*quoted, "_block").agg(F.max_by(F.struct(*[q[c] for c in cols]), order).alias("_end"))
+    before = Window.partitionBy(*quoted).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        *[k.alias(f"_k_{name}") for k, name in zip(keys, key)],
-        F.col("_block").alias("_k__block"),
-        *[F.last(f"_end_{i}", ignorenulls=True).over(before).alias(f"_in_{i}") for i in range(len(cols))],
+        *quoted,
+        "_block",
+        *[F.last(F.col("_end").getField(c), ignorenulls=True).over(before).alias(f"_in_{i}") for i, c in enumerate(cols)],
     )
-    joined = near.join(carried, _same([*key, "_block"], "_k_"), "left")
     position = {c: i for i, c in enumerate(cols)}
-    return joined.select(
+    return near.join(carried, [*key, "_block"], "left").select(
         *[
             F.coalesce(q[c], F.col(f"_in_{position[c]}")).alias(c) if c in q else F.col(f"`{c}`")
             for c in df.columns
@@ -104,8 +95,9 @@ def levels(df: DataFrame, x: str) -> DataFrame:
     one row, so they always count together. Values are cut into ranges at
     approximate quantiles; each range is summed by its own task, and the totals of
     at most ``CUTS + 1`` ranges are carried over. Any cut gives the same result.
+    The distinct values are read three times, so they are written first.
     """
-    flat = (
+    flat = settle(
         df.filter(F.col(x).isNotNull())
         .groupBy(x)
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(x).cast(TOTAL).alias("_s"))
@@ -139,6 +131,7 @@ def levels(df: DataFrame, x: str) -> DataFrame:
 
 def running_total(df: DataFrame, x: str, cum: str, share: str | None = None) -> DataFrame:
     """Sum of ``x`` over all rows with at least this row's ``x``; NULL stays NULL."""
+    df = settle(df)
     table = levels(df, x).select(x, F.col("cum").alias(cum))
     out = df.join(table, x, "left")
     if share is None:

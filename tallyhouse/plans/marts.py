@@ -93,10 +93,12 @@ def mart_product_profit(items: DataFrame, order_profit: DataFrame) -> DataFrame:
     )
     lines = items.join(totals, ORDER)
 
+    # twenty decimals: spread amounts stay exact well beyond their six places
+    share = F.col("line_revenue_usd").cast(MONEY) / F.col("_order_revenue").cast(MONEY)
+    lines = lines.withColumn("_share", share.cast("decimal(25,20)"))
+
     def part(total: Column) -> Column:
-        """Multiply first, then divide: the quotient keeps its digits."""
-        product = (total * F.col("line_revenue_usd")).cast("decimal(30,10)")
-        return product / F.col("_order_revenue")
+        return total * F.col("_share")
 
     money_in = F.col("_ship") - F.col("_refund")
     money_out = F.col("_cogs") + F.col("_design") + F.col("_fee")

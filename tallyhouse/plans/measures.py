@@ -272,7 +272,7 @@ def evaluate(
             adding = [n for n, p in mine.items() if p.kind != "distinct"]
             pieces.append((adding, additive.groupBy(*by).agg(*[F.sum(f"`{n}`").alias(n) for n in adding])))
         for n, keyed in distincts:
-            pieces.append(([n], keyed.groupBy(*by).agg(F.count_distinct(f"`{n}`").alias(n))))
+            pieces.append(([n], keyed.groupBy(*by).agg(F.nullif(F.count_distinct(f"`{n}`"), F.lit(0)).alias(n))))
     stacked = None
     for mine, df in pieces:
         shaped = df.select(

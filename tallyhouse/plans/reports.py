@@ -78,7 +78,7 @@ def margin_vs_median(star, floor=MEDIAN_MARGIN_REVENUE) -> DataFrame:
     return lines.withColumn("_median", middle).select(
         "product_name",
         "product_margin",
-        F.round((F.col("product_margin") - F.col("_median")) * 100, 4).alias("points_vs_median"),
+        F.round((F.col("product_margin") - F.col("_median")) * 100, 6).alias("points_vs_median"),
     )
 
 

@@ -309,7 +309,7 @@ def _(r):
     "select k as woo_order_id, customer_hash, is_unknown_email from stg_o",
 )
 def _(r):
-    return r.wh.stg_orders
+    return r.star.stg_orders
 
 
 simple("k4_date_key", "i", "cast(strftime(order_date, '%Y%m%d') as int)", lambda: keys.date_sk("order_date"))
@@ -340,7 +340,7 @@ def _(r):
 from stg_o where payment_method in ('1-URGENT', '2-HIGH') group by all""",
 )
 def _(r):
-    methods = r.wh.stg_orders.groupBy("payment_method").agg(F.count(F.lit(1)).alias("orders"))
+    methods = r.star.stg_orders.groupBy("payment_method").agg(F.count(F.lit(1)).alias("orders"))
     return methods.join(active(r.wh.inputs.fees), "payment_method")
 
 
@@ -350,12 +350,12 @@ def _(r):
     "select k as woo_order_id, payment_fee_usd, fee_source as payment_fee_source, fee_source = 'missing' as payment_fee_needs_review from f_order",
 )
 def _(r):
-    return r.wh.fact_order
+    return r.model("fact_order")
 
 
 @query("p12_refund_event_type", "woo_refund_id:i event_type:s", "select refund_id as woo_refund_id, event_type from f_refund")
 def _(r):
-    return r.wh.fact_refund
+    return r.model("fact_refund")
 
 
 simple(

@@ -104,7 +104,8 @@ def sheet_rows(r) -> DataFrame:
     """
     k, total = F.col("woo_order_id"), F.col("total")
     child = F.col("part") == 1
-    rows = adapter.base_orders(r.table("orders")).select(
+    orders = adapter.spread(r.table("orders"), "o_orderkey")
+    rows = adapter.base_orders(orders).select(
         "*", F.explode(F.array(F.lit(0), F.lit(1))).alias("part")
     )
     blank = F.lit("")

@@ -16,9 +16,9 @@ FACTS = {
     "f_item": {
         "revenue": f"sum(line_revenue_usd) {LINE}",
         "quantity_sold": f"sum(quantity) {LINE}",
-        "distinct_products_sold": f"count(distinct product_sk) {LINE}",
+        "distinct_products_sold": f"nullif(count(distinct product_sk) {LINE}, 0)",
     },
-    "f_refund": {"refund_amount": "sum(refund_usd)", "refunded_orders": "count(distinct order_sk)"},
+    "f_refund": {"refund_amount": "sum(refund_usd)", "refunded_orders": "nullif(count(distinct order_sk), 0)"},
     "m_order": {
         "paid_orders": "count(distinct order_sk)",
         "cogs": "sum(cogs_usd)",
@@ -198,7 +198,7 @@ def _(r):
 
 @query(
     "q19_margin_vs_median",
-    "product_name:s product_margin:r points_vs_median:R",
+    "product_name:s product_margin:r points_vs_median:r",
     f"select product_name, {ratio('profit', 'net')} as product_margin, ({ratio('profit', 'net')} - ({MEDIAN_SQL})) * 100 as points_vs_median from prod_line where net <> 0",
 )
 def _(r):

@@ -174,7 +174,7 @@ def _(r):
     "select country_sk, code as country_code, country_name, region, currency from d_country",
 )
 def _(r):
-    return r.wh.dim_country
+    return r.model("dim_country")
 
 
 @query(
@@ -184,7 +184,7 @@ def _(r):
 (select coalesce(payment_method, 'unknown') as m, max(payment_method_title) as n from stg_o group by 1)""",
 )
 def _(r):
-    return r.wh.dim_payment_method
+    return r.model("dim_payment_method")
 
 
 @query(
@@ -195,7 +195,7 @@ def _(r):
 product_type, sku, first_seen as first_seen_date, last_seen as last_seen_date from d_product""",
 )
 def _(r):
-    return r.wh.dim_product
+    return r.model("dim_product")
 
 
 @query(
@@ -206,7 +206,7 @@ def _(r):
 max(order_date) as last_order_date from stg_o group by customer_hash""",
 )
 def _(r):
-    return r.wh.dim_customer_anonymized
+    return r.model("dim_customer_anonymized")
 
 
 # --- facts -------------------------------------------------------------------
@@ -227,7 +227,7 @@ fee_source as payment_fee_source, fee_source = 'missing' as payment_fee_needs_re
     F_ORDER_SQL,
 )
 def _(r):
-    return r.wh.fact_order
+    return r.model("fact_order")
 
 
 @query(
@@ -241,7 +241,7 @@ subtotal as line_subtotal_src, total as line_total_src, fx_rate as fx_rate_to_us
 status as order_status, is_revenue_status, size, color, style, fit_type, print_location from f_item""",
 )
 def _(r):
-    return r.wh.fact_order_item
+    return r.model("fact_order_item")
 
 
 @query(
@@ -252,7 +252,7 @@ def _(r):
 refund_id as woo_refund_id, refund_usd as refund_amount_usd, reason as refund_reason, event_type from f_refund""",
 )
 def _(r):
-    return r.wh.fact_refund
+    return r.model("fact_refund")
 
 
 @query(
@@ -266,7 +266,7 @@ revenue_observed as csv_revenue_observed_usd, profit_observed as csv_profit_obse
 'order_only' as cost_allocation_method, 1 as cost_confidence from f_cost""",
 )
 def _(r):
-    return r.wh.fact_order_cost
+    return r.model("fact_order_cost")
 
 
 # --- marts -------------------------------------------------------------------
@@ -285,7 +285,7 @@ margin as profit_margin, 1 as cost_confidence, 'order_only' as cost_allocation_m
 country_sk, customer_sk, payment_method_sk, status as order_status from m_order""",
 )
 def _(r):
-    return r.wh.mart_order_profit
+    return r.model("mart_order_profit")
 
 
 @query(
@@ -302,7 +302,7 @@ line_profit as line_profit_usd, 'allocated_by_revenue_share' as cost_allocation_
 is_revenue_status from m_line""",
 )
 def _(r):
-    return r.wh.mart_product_profit
+    return r.model("mart_product_profit")
 
 
 CUSTOMER_SPEC = (
@@ -315,7 +315,7 @@ total_revenue as total_revenue_usd, total_profit as total_profit_usd, is_repeat,
 
 @query("m13_mart_customer_summary", CUSTOMER_SPEC, CUSTOMER_SQL + " from m_customer")
 def _(r):
-    return r.wh.mart_customer_summary
+    return r.model("mart_customer_summary")
 
 
 @query(

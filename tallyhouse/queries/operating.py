@@ -25,7 +25,7 @@ from tallyhouse.queries.registry import query
     "select k as woo_order_id, ccy as currency_source, order_total_usd from f_order",
 )
 def _(r):
-    return joins.fx_convert(r.wh.stg_orders, r.wh.fx, "currency_source", "order_date", {"order_total_usd": "order_total_src"})
+    return joins.fx_convert(r.star.stg_orders, r.wh.fx, "currency_source", "order_date", {"order_total_usd": "order_total_src"})
 
 
 @query(
@@ -35,7 +35,7 @@ def _(r):
 )
 def _(r):
     return joins.fx_convert(
-        r.wh.stg_orders, r.wh.fx, "plugin_payment_fee_currency", "order_date", {"fee_usd": "plugin_payment_fee_src"}
+        r.star.stg_orders, r.wh.fx, "plugin_payment_fee_currency", "order_date", {"fee_usd": "plugin_payment_fee_src"}
     )
 
 
@@ -46,7 +46,7 @@ def _(r):
 case payment_method when '1-URGENT' then 0.3 when '2-HIGH' then 0.2 end as fixed_fee_usd from stg_o""",
 )
 def _(r):
-    return joins.with_fee_seed(r.wh.stg_orders, r.wh.fees)
+    return joins.with_fee_seed(r.star.stg_orders, r.wh.fees)
 
 
 @query(
@@ -55,8 +55,8 @@ def _(r):
     "select 'S' || (l_orderkey % 5) as site_code, l_orderkey as woo_order_id, status, count(*) as lines from lineitem join base_order on k = l_orderkey group by all",
 )
 def _(r):
-    lines = r.wh.stg_order_items.groupBy(*ORDER).agg(F.count(F.lit(1)).alias("lines"))
-    return joins.with_header(lines, r.wh.stg_orders, ["status"])
+    lines = r.star.stg_order_items.groupBy(*ORDER).agg(F.count(F.lit(1)).alias("lines"))
+    return joins.with_header(lines, r.star.stg_orders, ["status"])
 
 
 @query(
@@ -65,7 +65,7 @@ def _(r):
     "select k as woo_order_id, fx_rate as fx_rate_to_usd, sum(line_revenue_usd) as revenue from f_item group by k, fx_rate",
 )
 def _(r):
-    return r.wh.fact_order_item.groupBy("woo_order_id", "fx_rate_to_usd").agg(F.sum("line_revenue_usd").alias("revenue"))
+    return r.model("fact_order_item").groupBy("woo_order_id", "fx_rate_to_usd").agg(F.sum("line_revenue_usd").alias("revenue"))
 
 
 @query(
@@ -75,12 +75,12 @@ def _(r):
 )
 def _(r):
     refunds = r.wh.stg_refunds.select(*ORDER, F.col("woo_refund_id").alias("refund_id"))
-    return joins.inherit_keys(refunds, r.wh.fact_order)
+    return joins.inherit_keys(refunds, r.model("fact_order"))
 
 
 @query("j7_refund_date_rate", "woo_refund_id:i refund_amount_usd:m", "select refund_id as woo_refund_id, refund_usd as refund_amount_usd from f_refund")
 def _(r):
-    return r.wh.fact_refund
+    return r.model("fact_refund")
 
 
 @query(
@@ -89,12 +89,12 @@ def _(r):
     "select order_sk, fee_fallback_usd as payment_fee_fallback_usd, sheet_ship_usd as csv_shipping_charged_usd from f_cost",
 )
 def _(r):
-    return r.wh.fact_order_cost
+    return r.model("fact_order_cost")
 
 
 @query("j9_unmatched_cost", "site_code:s woo_order_id:i", "select site_code, k as woo_order_id from stg_c where k < 0")
 def _(r):
-    return joins.unmatched(r.wh.stg_cost, r.wh.stg_orders, ORDER)
+    return joins.unmatched(r.wh.stg_cost, r.star.stg_orders, ORDER)
 
 
 @query(
@@ -104,14 +104,14 @@ def _(r):
 )
 def _(r):
     keys = ["site_code", "woo_product_id"]
-    sold = r.wh.stg_order_items.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"))
+    sold = r.star.stg_order_items.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"))
     return joins.unmatched(sold, r.wh.stg_products, keys)
 
 
 @query("j11_enriched_countries", "country_code:s country_name:s", "select code as country_code, case when country_name = code or code = 'XX' then null else country_name end as country_name from d_country")
 def _(r):
     named = r.wh.inputs.country_seed.groupBy("country_code").agg(F.max("country_name").alias("country_name"))
-    ordered = r.wh.stg_orders.select(country_or_none("billing_country_code").alias("country_code")).distinct()
+    ordered = r.star.stg_orders.select(country_or_none("billing_country_code").alias("country_code")).distinct()
     return joins.enrich(setops.union_distinct(ordered, named.select("country_code")), named, "country_code")
 
 
@@ -122,7 +122,7 @@ def _(r):
 )
 def _(r):
     first = F.struct("order_date", "woo_order_id")
-    return r.wh.stg_orders.groupBy("customer_hash").agg(
+    return r.star.stg_orders.groupBy("customer_hash").agg(
         F.min_by(country_or_none("billing_country_code"), first).alias("country_code"), F.count(F.lit(1)).alias("orders")
     )
 
@@ -243,7 +243,7 @@ def _(r):
     """Sheet order ids without an order, found through distinct ids."""
     from tallyhouse.operators.checks import check_relationship
 
-    return check_relationship(r.wh.stg_cost, "woo_order_id", r.wh.stg_orders, "woo_order_id")
+    return check_relationship(r.wh.stg_cost, "woo_order_id", r.star.stg_orders, "woo_order_id")
 
 
 # --- aggregates --------------------------------------------------------------
@@ -462,7 +462,7 @@ left join fx_quote q on q.ccy = o.ccy and q.month = date_trunc('month', order_da
 )
 def _(r):
     """The filled daily rate of every currency and day that has orders."""
-    days = r.wh.stg_orders.groupBy(F.col("currency_source").alias("currency"), "order_date").agg(F.count(F.lit(1)).alias("orders"))
+    days = r.star.stg_orders.groupBy(F.col("currency_source").alias("currency"), "order_date").agg(F.count(F.lit(1)).alias("orders"))
     rate = r.wh.fx.withColumnRenamed("rate_date", "order_date")
     return days.join(rate, ["currency", "order_date"], "left")
 

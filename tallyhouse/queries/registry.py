@@ -35,6 +35,10 @@ class Run:
         """The published star: written once per session and folder, then read."""
         return publish(self.wh.inputs, self.folder("star"))
 
+    def model(self, name: str) -> DataFrame:
+        """One table computed anew from the published tables it is built from."""
+        return getattr(Warehouse, name).func(self.star)
+
     def folder(self, name: str) -> str:
         """A new folder for files of this run."""
         return f"{self.work}/{name}-{uuid.uuid4().hex[:12]}"

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the first two (dates are cut in UTC; bad casts must fail).
 # The rest let AQE re-plan joins and split hot partitions, even where the split
@@ -38,6 +39,7 @@ def local_session(name: str = "tallyhouse", cores: str = "8", memory: str = "12g
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tallyhouse-wh-"))
     )
     for key, value in SQL_SETTINGS.items():
@@ -61,6 +63,17 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tallyhouse-")
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write a result that several branches of a plan read, and read it back.
+
+    The branches then share one computation, and its lineage ends here.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def pii_salt(spark: SparkSession, salt: str | None = None) -> str:
     """The e-mail salt, from ``PII_SALT`` unless given, hidden from plans and logs."""
     value = salt if salt is not None else os.environ["PII_SALT"]
