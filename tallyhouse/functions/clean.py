@@ -36,15 +36,18 @@ def strip(c: Column | str) -> Column:
 
 def clean_cell(c: Column | str) -> Column:
     """Trimmed text; blank and ``nan`` become NULL."""
-    text = strip(c)
-    return F.when((text != "") & (F.lower(text) != "nan"), text)
+    return F.when(~col(c).rlike(f"(?i)^[{WHITESPACE}]*(nan)?[{WHITESPACE}]*$"), strip(c))
 
 
 def parse_money(c: Column | str) -> Column:
-    """Amount in a cell whatever the currency sign; ``(x)`` is negative; junk is NULL."""
-    text = clean_cell(c)
-    number = F.regexp_replace(text, r"[^0-9.\-]", "").try_cast(MONEY)
-    bracketed = text.startswith("(") & text.endswith(")")
+    """Amount in a cell whatever the currency sign; ``(x)`` is negative; junk is NULL.
+
+    Blank and ``nan`` hold no digit, so they need no test of their own. Each cell
+    text is named as few times as can be: a sheet has a dozen such columns, and
+    generated code grows with every mention.
+    """
+    number = F.regexp_replace(col(c), r"[^0-9.\-]", "").try_cast(MONEY)
+    bracketed = strip(c).rlike(r"(?s)^\(.*\)$")
     return F.when(bracketed, -F.abs(number)).otherwise(number).cast(MONEY)
 
 
@@ -54,14 +57,13 @@ def parse_percent(c: Column | str) -> Column:
 
 def parse_order_code(c: Column | str) -> Column:
     """Plain integer order id; suffixed or fractional codes are NULL."""
-    text = F.replace(clean_cell(c), F.lit(","), F.lit(""))
-    whole = F.split_part(text, F.lit("."), F.lit(1)).try_cast("bigint")
-    return F.when(text.rlike(r"^\d+(\.0*)?$"), whole)
+    text = F.replace(strip(c), F.lit(","), F.lit(""))
+    return F.regexp_extract(text, r"^(\d+)(\.0*)?$", 1).try_cast("bigint")
 
 
 def parse_order_date(c: Column | str) -> Column:
     """US month/day/year; anything else is NULL."""
-    return F.try_to_timestamp(clean_cell(c), F.lit("M/d/yyyy")).cast("date")
+    return F.try_to_timestamp(strip(c), F.lit("M/d/yyyy")).cast("date")
 
 
 def parse_gmt(c: Column | str) -> Column:
