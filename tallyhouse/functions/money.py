@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,6)"     # one amount; fits a long, so sums stay cheap
-TOTAL = "decimal(28,6)"     # a sum of amounts
+MONEY = "decimal(18,6)"     # one line, fee or rate-converted amount; fits a long
+TOTAL = "decimal(28,6)"     # a sum: one order or customer may hold a third of all lines
 RATE = "decimal(18,10)"     # exchange rate
 RATIO = "decimal(28,6)"     # published ratio
 
@@ -29,21 +29,22 @@ def convert(amount: Column | str, rate: Column | str) -> Column:
 
 
 def _quotient(a: Column | str, b: Column | str, kind: str) -> Column:
-    den = F.nullif(col(b).cast(kind), F.lit(0).cast(kind))
+    den = F.nullif(col(b).cast(TOTAL), F.lit(0).cast(TOTAL))
     return F.round(col(a).cast(kind) / den, 6).cast(RATIO)
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:
-    """``a / b`` of two amounts to six places; NULL when ``b`` is zero or NULL.
+    """``a / b`` of two order amounts to six places; NULL when ``b`` is zero or NULL.
 
-    Spark cuts the scale of a decimal quotient to what fits 38 digits, so the
-    operands stay as narrow as their kind allows: 18 digits leave 20 decimals.
+    Spark cuts the scale of a decimal quotient to what 38 digits leave beside the
+    whole digits of the numerator, so the numerator stays as narrow as its kind
+    allows: 18 whole digits here leave 14 decimals before rounding.
     """
-    return _quotient(a, b, MONEY)
+    return _quotient(a, b, "decimal(24,6)")
 
 
 def total_ratio(a: Column | str, b: Column | str) -> Column:
-    """The same for sums, which need 20 whole digits; 12 decimals remain."""
+    """The same for sums over everything: 20 whole digits, 12 decimals."""
     return _quotient(a, b, "decimal(26,6)")
 
 

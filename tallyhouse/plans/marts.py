@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.clean import month_start, tier
 from tallyhouse.functions.keys import country_or_none, sk
-from tallyhouse.functions.money import MONEY, ratio, zero_if_null
+from tallyhouse.functions.money import MONEY, TOTAL, ratio, zero_if_null
 from tallyhouse.operators.aggregates import days_since_latest, per_order
 from tallyhouse.operators.joins import INHERITED
 from tallyhouse.plans.facts import ORDER
@@ -36,16 +36,16 @@ def mart_order_profit(cost: DataFrame, header: DataFrame, items: DataFrame, refu
 
     terms = known.select(
         "*",
-        F.col("_product").cast(MONEY).alias("product"),
+        F.col("_product").alias("product"),
         zero_if_null("shipping_charged_usd").cast(MONEY).alias("shipping"),
-        zero_if_null("_refunds").cast(MONEY).alias("refunded"),
+        zero_if_null("_refunds").cast(TOTAL).alias("refunded"),
         F.coalesce("payment_fee_usd", "payment_fee_fallback_usd", F.lit(0)).cast(MONEY).alias("fee"),
     )
-    terms = terms.withColumn("gross", (F.col("product") + F.col("shipping")).cast(MONEY))
-    terms = terms.withColumn("applied", F.least("refunded", "gross").cast(MONEY))
-    terms = terms.withColumn("net", (F.col("gross") - F.col("applied")).cast(MONEY))
+    terms = terms.withColumn("gross", (F.col("product") + F.col("shipping")).cast(TOTAL))
+    terms = terms.withColumn("applied", F.least("refunded", "gross").cast(TOTAL))
+    terms = terms.withColumn("net", (F.col("gross") - F.col("applied")).cast(TOTAL))
     left = F.col("net") - zero_if_null("cogs_usd") - zero_if_null("design_fee_usd") - F.col("fee")
-    terms = terms.withColumn("profit", left.cast(MONEY))
+    terms = terms.withColumn("profit", left.cast(TOTAL))
 
     return terms.select(
         "order_sk",
@@ -89,21 +89,22 @@ def mart_product_profit(items: DataFrame, order_profit: DataFrame) -> DataFrame:
     totals = order_profit.select(
         *ORDER,
         F.col("gross_product_revenue_usd").alias("_order_revenue"),
-        *[zero_if_null(src).cast(MONEY).alias(name) for name, src in spread.items()],
+        *[zero_if_null(src).cast(TOTAL).alias(name) for name, src in spread.items()],
     )
     lines = items.join(totals, ORDER)
 
-    # twenty decimals: spread amounts stay exact well beyond their six places
-    share = F.col("line_revenue_usd").cast(MONEY) / F.col("_order_revenue").cast(MONEY)
-    lines = lines.withColumn("_share", share.cast("decimal(25,20)"))
+    # a share keeps twenty decimals and its product with a total sixteen, so the
+    # spread amounts are exact well beyond their six places
+    share = F.col("line_revenue_usd").cast(MONEY) / F.col("_order_revenue").cast(TOTAL)
+    lines = lines.withColumn("_share", share.cast("decimal(24,20)"))
 
     def part(total: Column) -> Column:
-        return total * F.col("_share")
+        return total.cast("decimal(23,6)") * F.col("_share")
 
     money_in = F.col("_ship") - F.col("_refund")
     money_out = F.col("_cogs") + F.col("_design") + F.col("_fee")
-    net = F.col("line_revenue_usd") + part(money_in.cast(MONEY))
-    profit = F.col("line_revenue_usd") + part((money_in - money_out).cast(MONEY))
+    net = F.col("line_revenue_usd") + part(money_in)
+    profit = F.col("line_revenue_usd") + part(money_in - money_out)
 
     def cut(x: Column, name: str) -> Column:
         return F.round(x, 6).cast(MONEY).alias(name)
@@ -147,7 +148,7 @@ def customer_orders(
     )
     product = zero_if_null("_product")
     shipping = F.when(product > 0, zero_if_null("shipping_charged_usd")).otherwise(F.lit(0))
-    revenue = F.greatest(product + shipping - zero_if_null("_refunds"), F.lit(0)).cast(MONEY)
+    revenue = F.greatest(product + shipping - zero_if_null("_refunds"), F.lit(0)).cast(TOTAL)
     return joined.select(
         *ORDER,
         "customer_hash",
@@ -167,8 +168,8 @@ def mart_customer_summary(
     """
     per_customer = customer_orders(orders, header, items, refunds, order_profit).groupBy("customer_hash").agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.sum("order_revenue_usd").cast(MONEY).alias("total_revenue_usd"),
-        F.sum("order_profit_usd").cast(MONEY).alias("total_profit_usd"),
+        F.sum("order_revenue_usd").cast(TOTAL).alias("total_revenue_usd"),
+        F.sum("order_profit_usd").cast(TOTAL).alias("total_profit_usd"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.mode("site_code", True).alias("_site"),

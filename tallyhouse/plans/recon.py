@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.clean import tier
-from tallyhouse.functions.money import MONEY, TOTAL, percent, ratio, total_ratio, zero_if_null
+from tallyhouse.functions.money import TOTAL, percent, ratio, total_ratio, zero_if_null
 from tallyhouse.operators.aggregates import per_site_and_all, with_total
 from tallyhouse.operators.joins import covered, flag_member, full_outer_on, unmatched
 from tallyhouse.plans.facts import ORDER
@@ -83,7 +83,7 @@ def recon_payment_fee_coverage(header: DataFrame, items: DataFrame) -> DataFrame
 def recon_csv_vs_dbt_profit(cost: DataFrame, order_profit: DataFrame) -> DataFrame:
     computed = order_profit.select(*ORDER, F.col("contribution_profit_usd").alias("dbt_profit_usd"))
     both = cost.select(*ORDER, "order_sk", "csv_profit_observed_usd").join(computed, ORDER)
-    delta = (F.col("csv_profit_observed_usd") - F.col("dbt_profit_usd")).cast(MONEY)
+    delta = (F.col("csv_profit_observed_usd") - F.col("dbt_profit_usd")).cast(TOTAL)
     return both.select(
         "order_sk",
         "csv_profit_observed_usd",
@@ -99,18 +99,18 @@ def recon_csv_vs_dbt_revenue(cost: DataFrame, items: DataFrame, header: DataFram
         .join(order_revenue(items, "_revenue"), ORDER, "left")
         .join(header.select(*ORDER, "shipping_charged_usd"), ORDER, "left")
     )
-    revenue, shipping = zero_if_null("_revenue").cast(MONEY), zero_if_null("shipping_charged_usd").cast(MONEY)
+    revenue, shipping = zero_if_null("_revenue").cast(TOTAL), zero_if_null("shipping_charged_usd")
     seen = F.col("csv_revenue_observed_usd")
-    gross = (revenue + shipping).cast(MONEY)
+    gross = (revenue + shipping).cast(TOTAL)
     return both.select(
         "order_sk",
         "csv_revenue_observed_usd",
         revenue.alias("dbt_revenue_usd"),
         shipping.alias("shipping_charged_usd"),
         gross.alias("dbt_gross_usd"),
-        (seen - revenue).cast(MONEY).alias("delta_usd"),
-        ratio((seen - revenue).cast(MONEY), revenue).alias("delta_pct"),
-        (seen - gross).cast(MONEY).alias("delta_vs_gross_usd"),
+        (seen - revenue).cast(TOTAL).alias("delta_usd"),
+        ratio((seen - revenue).cast(TOTAL), revenue).alias("delta_pct"),
+        (seen - gross).cast(TOTAL).alias("delta_vs_gross_usd"),
     )
 
 

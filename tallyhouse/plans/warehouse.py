@@ -151,13 +151,14 @@ class Star(Warehouse):
 
 
 def _write(df: DataFrame, path: str) -> None:
-    """Write balanced files: AQE merges small partitions and splits hot ones.
+    """Write one table; facts are sorted by date inside each file.
 
-    Tables with a date key are sorted by it inside each file, so that a range of
-    dates skips row groups.
+    Every row group then spans few dates, so a date range skips most of them. No
+    exchange is added for the files' sake: AQE has sized the partitions of the
+    last join, and unshuffled tables keep their input splits.
     """
     if "date_sk" in df.columns and "order_sk" in df.columns:
-        df = df.hint("rebalance").sortWithinPartitions("date_sk")
+        df = df.sortWithinPartitions("date_sk")
     df.write.mode("errorifexists").parquet(path)
 
 

@@ -92,7 +92,8 @@ def _(r):
 @query(
     "x11_conserved_totals",
     "site_sk:s lines:i line_profit:M order_profit:R",
-    """select site_sk, count(*) as lines, sum(line_profit) as line_profit, round(sum(line_profit)::double, 2) as order_profit from m_line group by 1""",
+    """select site_sk, lines, line_profit, order_profit from (select site_sk, count(*) as lines, sum(line_profit) as line_profit from m_line group by 1)
+join (select site_sk, round(sum(profit)::double, 2) as order_profit from m_order group by 1) using (site_sk)""",
 )
 def _(r):
     lines = r.star.mart_product_profit.groupBy("site_sk").agg(F.count(F.lit(1)).alias("lines"), F.sum("line_profit_usd").alias("line_profit"))

@@ -34,10 +34,10 @@ def ratio(a: str, b: str, digits: int = 6) -> str:
 def alloc(amount: str) -> str:
     """An order amount spread over its lines by revenue, rounded half away in whole millionths."""
     n = (
-        f"(cast(cast({amount} as decimal(18,6)) * 1000000 as hugeint)"
-        " * cast(cast(line_revenue_usd as decimal(18,6)) * 1000000 as hugeint))"
+        f"(cast(cast({amount} as decimal(28,6)) * cast(1000000 as decimal(7,0)) as hugeint)"
+        " * cast(cast(line_revenue_usd as decimal(28,6)) * cast(1000000 as decimal(7,0)) as hugeint))"
     )
-    d = "cast(cast(gross_product_revenue_usd as decimal(18,6)) * 1000000 as hugeint)"
+    d = "cast(cast(gross_product_revenue_usd as decimal(28,6)) * cast(1000000 as decimal(7,0)) as hugeint)"
     return f"(cast(sign({n}) * ((2 * abs({n}) + {d}) // (2 * {d})) as decimal(24,0)) * cast(0.000001 as decimal(7,6)))"
 
 
