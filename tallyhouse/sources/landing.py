@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.clean import json_text, parse_gmt
+from tallyhouse.functions.clean import parse_gmt
 
 # Re-read this much before the stored watermark: the filter is exclusive.
 OVERLAP_SECONDS = 1
@@ -25,19 +25,26 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _id(path: str = "id") -> Column:
-    return json_text("_payload", path).cast("bigint")
+def _promoted(docs: DataFrame, fields: str) -> DataFrame:
+    """The document's promoted fields as ``d``, all text, from one parse."""
+    schema = ", ".join(f if " " in f else f"{f} string" for f in fields.split(", "))
+    return docs.withColumn("d", F.from_json("_payload", schema))
+
+
+def _id() -> Column:
+    return F.col("d.id").cast("bigint")
 
 
 def land_orders(docs: DataFrame) -> DataFrame:
-    return docs.select(
+    rows = _promoted(docs, "id, number, status, currency, date_created_gmt, date_modified_gmt")
+    return rows.select(
         "site_code",
         _id().alias("woo_order_id"),
-        json_text("_payload", "number").alias("number"),
-        json_text("_payload", "status").alias("status"),
-        json_text("_payload", "currency").alias("currency"),
-        parse_gmt(json_text("_payload", "date_created_gmt")).alias("date_created_gmt"),
-        parse_gmt(json_text("_payload", "date_modified_gmt")).alias("date_modified_gmt"),
+        "d.number",
+        "d.status",
+        "d.currency",
+        parse_gmt("d.date_created_gmt").alias("date_created_gmt"),
+        parse_gmt("d.date_modified_gmt").alias("date_modified_gmt"),
         "extracted_at",
         "_payload",
     )
@@ -45,21 +52,21 @@ def land_orders(docs: DataFrame) -> DataFrame:
 
 def land_order_items(docs: DataFrame) -> DataFrame:
     """One row per entry of ``line_items``; a null or absent list gives none."""
-    lines = F.from_json(json_text("_payload", "line_items"), "array<string>")
-    exploded = docs.select(
-        "site_code", _id().alias("woo_order_id"), "extracted_at", F.explode(lines).alias("_payload")
+    orders = _promoted(docs, "id, line_items array<string>")
+    lines = orders.select(
+        "site_code", _id().alias("woo_order_id"), "extracted_at", F.explode("d.line_items").alias("_payload")
     )
-    return exploded.select(
+    return _promoted(lines, "id").select(
         "site_code", "woo_order_id", _id().alias("woo_order_item_id"), "extracted_at", "_payload"
     )
 
 
 def land_entity(docs: DataFrame, id_column: str) -> DataFrame:
     """Products, customers or coupons."""
-    return docs.select(
+    return _promoted(docs, "id, date_modified_gmt").select(
         "site_code",
         _id().alias(id_column),
-        parse_gmt(json_text("_payload", "date_modified_gmt")).alias("date_modified_gmt"),
+        parse_gmt("d.date_modified_gmt").alias("date_modified_gmt"),
         "extracted_at",
         "_payload",
     )
@@ -67,11 +74,11 @@ def land_entity(docs: DataFrame, id_column: str) -> DataFrame:
 
 def land_refunds(docs: DataFrame) -> DataFrame:
     """Refund documents, each row also carrying its parent ``woo_order_id``."""
-    return docs.select(
+    return _promoted(docs, "id, date_created_gmt").select(
         "site_code",
         _id().alias("woo_refund_id"),
         "woo_order_id",
-        parse_gmt(json_text("_payload", "date_created_gmt")).alias("date_created_gmt"),
+        parse_gmt("d.date_created_gmt").alias("date_created_gmt"),
         "extracted_at",
         "_payload",
     )
@@ -79,8 +86,8 @@ def land_refunds(docs: DataFrame) -> DataFrame:
 
 def orders_with_refunds(orders: DataFrame) -> DataFrame:
     """Orders whose refund summary is not empty: the only ones to ask further about."""
-    summary = F.from_json(json_text("_payload", "refunds"), "array<string>")
-    return orders.filter(F.size(F.coalesce(summary, F.array().cast("array<string>"))) > 0)
+    listed = F.size(F.col("d.refunds")) > 0
+    return _promoted(orders, "refunds array<string>").filter(F.coalesce(listed, F.lit(False))).drop("d")
 
 
 def incremental_slice(

@@ -7,7 +7,7 @@ Two shapes are used:
 * a **change log** is appended batch by batch, one folder per batch id. A retried
   batch overwrites only its own folder, and nothing written before is rewritten,
   so the cost of a batch does not grow with the table. The current rows are the
-  last write per key.
+  last write per key; ``snapshot_reload`` of them now and then keeps reads short.
 """
 
 from __future__ import annotations
