@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from tallyhouse.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from tallyhouse.llm.line_dedup import OP2_SQL, op2_line_dedup
+from tallyhouse.llm.simhash import op8_simhash_near_dedup
+from tallyhouse.llm.source_mix import op7_source_mix
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_source_mix": op7_source_mix,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 SQL = {
+    "op2_line_dedup": OP2_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
