@@ -43,8 +43,9 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(lower_ascii(text), GAP), lambda w: w != "")
 
 
-def same_row(a: DataFrame, b: DataFrame) -> Column:
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["h"] == b["h"])
+def n_words_of(text: Column) -> Column:
+    """How many words a text has, without cutting it up."""
+    return F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
 
 
 def with_findings(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -58,4 +59,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["BLANKS", "BLANK_RUN", "GAP", "lower_ascii", "prepare", "same_row", "settle", "table", "texts", "with_findings", "words_of"]
+__all__ = ["BLANKS", "BLANK_RUN", "GAP", "lower_ascii", "n_words_of", "prepare", "settle", "table", "texts", "with_findings", "words_of"]

@@ -159,6 +159,11 @@ def dropped_lines(docs: DataFrame, bits: int = BITS) -> DataFrame:
     return gone.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("lines")).alias("drops"))
 
 
+def without(text: str, drops: list[int]) -> str:
+    gone = set(drops)
+    return "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
+
+
 def deduplicated_lines(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """``doc_id``, ``h``, ``n_lines``, ``n_dropped`` and ``kept``, the text that is left."""
     prepare(docs.sparkSession)
@@ -171,10 +176,7 @@ def deduplicated_lines(docs: DataFrame, bits: int = BITS) -> DataFrame:
             for text, drops in zip(batch["text"].to_pylist(), batch["drops"].to_pylist()):
                 before.append(text.count("\n") + 1)
                 after.append(len(drops or ()))
-                if drops:
-                    gone = set(drops)
-                    text = "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
-                out.append(text)
+                out.append(without(text, drops) if drops else text)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["h"], pa.array(before, pa.int64()), pa.array(after, pa.int64()), pa.array(out, pa.string())],
                 names=["doc_id", "h", "n_lines", "n_dropped", "kept"])
@@ -182,6 +184,30 @@ def deduplicated_lines(docs: DataFrame, bits: int = BITS) -> DataFrame:
     return joined.mapInArrow(run, "doc_id long, h long, n_lines long, n_dropped long, kept string")
 
 
+def without_repeated_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with the lines dropped from ``text``; ``n_chars``, if there, follows. Texts
+    that lose nothing stay as they are, null ones too."""
+    prepare(docs.sparkSession)
+    drops = dropped_lines(texts(docs)).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("drops").alias("__drops"))
+    h = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (h == F.col("__h"))
+    joined = docs.join(drops.hint("shuffle_hash"), on, "left").drop("__id", "__h")
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            drops = batch["__drops"].to_pylist()
+            columns = {n: batch[n] for n in batch.schema.names if n != "__drops"}
+            cut = [text if not gone else without(text, gone) for text, gone in zip(batch["text"].to_pylist(), drops)]
+            columns["text"] = pa.array(cut, pa.string())
+            if "n_chars" in columns:
+                sizes = [n if not gone else len(t) for n, t, gone in zip(columns["n_chars"].to_pylist(), cut, drops)]
+                columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return joined.mapInArrow(run, schema)
+
+
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
     out = deduplicated_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

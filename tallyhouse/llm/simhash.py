@@ -134,6 +134,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(named, F.col("fp") == F.col("__fp")).drop("__fp")
 
 
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """``docs`` reduced to one row of each component: the smallest id (null ids last), then
+    the smallest hash of the text; of equal rows one. All columns stay."""
+    rows = near_duplicates(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("k")
+    keepers = rows.groupBy("root").agg(first).select(F.col("k.doc_id").alias("__keep_id"), F.col("k.h").alias("__keep_h"))
+    copies = rows.groupBy("doc_id", "h").agg(F.count("*").alias("__copies")).withColumnsRenamed({"doc_id": "__id", "h": "__h"})
+    keepers = settle(keepers.join(copies, F.col("__keep_id").eqNullSafe(F.col("__id")) & (F.col("__keep_h") == F.col("__h"))).drop("__id", "__h"))
+    h = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")) & (h == F.col("__keep_h"))
+    single, repeated = (keepers.filter(c).hint("shuffle_hash") for c in ("__copies = 1", "__copies > 1"))
+    out = docs.join(single, on, "left_semi")
+    if keepers.filter("__copies > 1").isEmpty():
+        return out
+    return out.unionByName(docs.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def op8_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

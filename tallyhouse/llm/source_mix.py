@@ -148,8 +148,9 @@ def mix(docs: DataFrame, members: str = "members", size: str = "size", weights=W
     return out, {"held": held, "target": goal}
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """One row per document: ``size``, ``source_size``, ``target``, ``taken``."""
+def mixed_documents(docs: DataFrame, keep_key: bool = False) -> DataFrame:
+    """One row per document: ``size``, ``source_size``, ``target``, ``taken``; with
+    ``keep_key`` also ``h`` and ``source``."""
     spark = prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sized = settle(docs.select(
@@ -161,7 +162,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     rows = [(s, n, float(seen["target"][s])) for s, n in seen["held"].items()]
     info = F.broadcast(spark.createDataFrame(rows, "__s string, source_size long, target double"))
     out = out.join(info, F.element_at("members", 1) == F.col("__s"))
-    return out.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+    return out.select("doc_id", *["h", "source"][:2 * keep_key], "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
 
 
 def op7_source_mix(spark, sf_dir: str) -> DataFrame:
