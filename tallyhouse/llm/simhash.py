@@ -3,8 +3,8 @@
 A fingerprint is mapped to the number of set bits in each of its 32 two-bit segments.
 The Manhattan distance of two such count vectors never exceeds the Hamming distance of
 the fingerprints, so all links lie within Manhattan distance 4. The 32 dimensions are
-cut into 7 groups; four differing bits leave at least three groups untouched, so two
-linked vectors share a grid cell (of side one) in the projection to some three groups.
+cut into 8 groups; four differing bits leave at least four groups untouched, so two
+linked vectors share a grid cell (of side one) in the projection to some four groups.
 Rows meet by cell; within a cell the Manhattan distance is tested first, then the bits.
 
 * Fingerprints are linked, not documents: copies share one node.
@@ -31,7 +31,7 @@ from tallyhouse.llm.common import prepare, settle, table, texts
 from tallyhouse.llm.components import components
 
 SHINGLE, SEED, REACH = 4, 42, 4
-SEGMENTS, GROUPS, BLOCK = 32, 7, 2048
+SEGMENTS, GROUPS, BLOCK = 32, 8, 2048
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def _masks() -> list[int]:
-    """For each choice of 3 of the 7 groups the bits of their segments, as signed numbers."""
+    """For each choice of 4 of the 8 groups the bits of their segments, as signed numbers."""
     edges = [round(g * SEGMENTS / GROUPS) for g in range(GROUPS + 1)]
     parts = [sum(3 << (2 * s) for s in range(a, b)) for a, b in zip(edges, edges[1:])]
     masks = [sum(c) for c in combinations(parts, GROUPS - REACH)]
