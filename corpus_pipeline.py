@@ -19,10 +19,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import prepare, table
+from tallyhouse.llm.common import free, prepare, same_key, table
 from tallyhouse.llm.decontaminate import without_contaminated
 from tallyhouse.llm.line_dedup import without_repeated_lines
 from tallyhouse.llm.simhash import one_of_each_group
@@ -52,14 +52,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mixed_documents(docs, keep_key=True).filter("taken > 0")
     # Rows equal in id and text are told apart by nothing: each takes an even part of what
     # they take together.
-    taken = taken.groupBy("doc_id", "h", "source").agg(
-        F.count("*").alias("__rows"), F.sum("taken").alias("__sum"), *[F.max(c).alias(c) for c in added[:3]])
-    taken = taken.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("source").alias("__source"), "__rows", "__sum", *added[:3])
-    own: Column = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    on = (F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (own == F.col("__h"))
-          & F.col("source").cast("string").eqNullSafe(F.col("__source")))
-    out = docs.drop(*added).join(taken.hint("shuffle_hash"), on)
-    return out.withColumn("taken", F.floor(F.col("__sum") / F.col("__rows")).cast("long")).drop("__id", "__h", "__source", "__rows", "__sum")
+    id_, h, source, n, total = free(docs, "__id", "__h", "__source", "__rows", "__sum")
+    taken = taken.groupBy(F.col("doc_id").alias(id_), F.col("h").alias(h), F.col("source").alias(source)).agg(
+        F.count("*").alias(n), F.sum("taken").alias(total), *[F.max(c).alias(c) for c in added[:3]])
+    docs = docs.drop(*added)
+    on = same_key(docs, id_, h) & F.col("source").cast("string").eqNullSafe(F.col(source))
+    out = docs.join(taken.hint("shuffle_hash"), on)
+    return out.withColumn("taken", F.floor(F.col(total) / F.col(n)).cast("long")).drop(id_, h, source, n, total)
 
 
 STAGES = [

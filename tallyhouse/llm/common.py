@@ -48,6 +48,22 @@ def n_words_of(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
 
 
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened where ``docs`` has such a column already."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def same_key(docs: DataFrame, doc_id: str, h: str) -> Column:
+    """``docs`` (as given, with ``text``) against key columns of another table."""
+    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (own == F.col(h))
+
+
 def with_findings(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Left join on ``(doc_id, h)``; ``found`` has one row per key."""
     found = found.withColumnsRenamed({"doc_id": "__id", "h": "__h"})
@@ -59,4 +75,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["BLANKS", "BLANK_RUN", "GAP", "lower_ascii", "n_words_of", "prepare", "settle", "table", "texts", "with_findings", "words_of"]
+__all__ = ["BLANKS", "BLANK_RUN", "GAP", "free", "lower_ascii", "n_words_of", "prepare", "same_key", "settle", "table", "texts", "with_findings", "words_of"]

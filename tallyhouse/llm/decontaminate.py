@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyhouse.llm.common import n_words_of, prepare, settle, table, texts, with_findings, words_of
+from tallyhouse.llm.common import free, n_words_of, prepare, same_key, settle, table, texts, with_findings, words_of
 
 WINDOW, SHINGLE = 13, 5
 #: A text is contaminated if this many times its hit words are at least all its words.
@@ -114,9 +114,9 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    bad = contamination(docs, items).filter("contaminated").select(F.col("doc_id").alias("__bad_id"), F.col("h").alias("__bad_h")).distinct()
-    h = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__bad_id")) & (h == F.col("__bad_h")), "left_anti")
+    id_, h = free(docs, "__id", "__h")
+    bad = contamination(docs, items).filter("contaminated").select(F.col("doc_id").alias(id_), F.col("h").alias(h)).distinct()
+    return docs.join(bad.hint("shuffle_hash"), same_key(docs, id_, h), "left_anti")
 
 
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import BLANKS, prepare, settle, table, texts, with_findings
+from tallyhouse.llm.common import BLANKS, free, prepare, same_key, settle, table, texts, with_findings
 
 LONG, DOCS = 40, 5
 #: Bits of a filter as a power of two; bits set per key; bytes of a piece of a filter.
@@ -188,16 +188,15 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines dropped from ``text``; ``n_chars``, if there, follows. Texts
     that lose nothing stay as they are, null ones too."""
     prepare(docs.sparkSession)
-    drops = dropped_lines(texts(docs)).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("drops").alias("__drops"))
-    h = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (h == F.col("__h"))
-    joined = docs.join(drops.hint("shuffle_hash"), on, "left").drop("__id", "__h")
+    id_, h, mark = free(docs, "__id", "__h", "__drops")
+    drops = dropped_lines(texts(docs)).withColumnsRenamed({"doc_id": id_, "h": h, "drops": mark})
+    joined = docs.join(drops.hint("shuffle_hash"), same_key(docs, id_, h), "left").drop(id_, h)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            drops = batch["__drops"].to_pylist()
-            columns = {n: batch[n] for n in batch.schema.names if n != "__drops"}
+            drops = batch[mark].to_pylist()
+            columns = {n: batch[n] for n in batch.schema.names if n != mark}
             cut = [text if not gone else without(text, gone) for text, gone in zip(batch["text"].to_pylist(), drops)]
             columns["text"] = pa.array(cut, pa.string())
             if "n_chars" in columns:

@@ -100,6 +100,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _part_key(context: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """The name a context goes by in its shard; each part of a hot one has its own."""
+    return context + part.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+
+
 class Pairs:
     """The distinct pairs of a batch in the order all sides agree on: by shard, context
     hash, successor hash. ``where``: the pair of every token, documents one after another."""
@@ -132,12 +137,10 @@ class Pairs:
         entry = np.repeat(np.arange(len(known)), parts)
         entry_part = np.arange(len(entry)) - np.repeat(np.cumsum(parts) - parts, parts)
 
-        def shard(c: np.ndarray, p: np.ndarray) -> np.ndarray:
-            return (_mix(known[c] + p.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)) % np.uint64(s.shards)).astype(np.int64)
-
-        entry_shard = shard(entry, entry_part)
+        keys = _part_key(known[entry], entry_part)
+        entry_shard = (_mix(keys) % np.uint64(s.shards)).astype(np.int64)
         order = np.lexsort((entry_part, entry, entry_shard))
-        self.entry, self.entry_shard = entry[order], entry_shard[order]
+        self.entry, self.entry_shard, self.keys = entry[order], entry_shard[order], keys[order]
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         own = place[(np.cumsum(parts) - parts)[context] + part]      # the entry of each pair
@@ -176,7 +179,7 @@ def messages(docs: pa.Table, s: Survey) -> pa.Table:
     successors = (pairs.hashes[pairs.w] >> np.uint64(32)).astype(np.uint32)
     blobs = []
     for a, b, x, y in zip(pairs.entry_cut, pairs.entry_cut[1:], pairs.pair_cut, pairs.pair_cut[1:]):
-        blobs.append(_pack(pairs.known[pairs.entry[a:b]], pairs.per_entry[a:b].astype(np.uint32), successors[x:y], counts[x:y]))
+        blobs.append(_pack(pairs.keys[a:b], pairs.per_entry[a:b].astype(np.uint32), successors[x:y], counts[x:y]))
     batch = docs["batch"][0].as_py()
     return pa.table({"shard": pa.array(range(s.shards), pa.int64()), "batch": pa.array([batch] * s.shards, pa.int64()), "message": pa.array(blobs, pa.binary())})
 
@@ -196,7 +199,8 @@ def answers(rows: pa.Table, s: Survey) -> pa.Table:
     first = np.searchsorted(rank[context_of[kept]], np.arange(int(seen.sum()) + 1))
     trie = Trie(contexts[seen], first, (pair[kept] & np.uint64(0xFFFFFFFF)), np.log10(counts[kept] / max(s.train_tokens, 1)))
     codes = trie.lookup(trie.context(contexts)[context_of], (pair & np.uint64(0xFFFFFFFF)))[which]
-    words = int(seen.sum()) - int(seen[np.isin(contexts, np.append(s.hot, word_hash([START])))].sum())
+    hot = _part_key(np.repeat(s.hot, s.parts), np.concatenate([np.arange(p) for p in s.parts] or [np.zeros(0, np.int64)]))
+    words = int(seen.sum()) - int(seen[np.isin(contexts, np.append(hot, word_hash([START])))].sum())
     blobs, at, x = [], 0, 0
     for g in got:
         blobs.append(_pack(np.array([words]), totals[of[at:at + len(g[0])]], codes[x:x + len(g[2])]))
@@ -221,7 +225,7 @@ def scores(docs: pa.Table, replies: pa.Table, s: Survey) -> pa.Table:
     one = (counts + 1) / (s.train_tokens + vocabulary + 1)
     codes = np.concatenate([g[2] for g in got])
     both = np.where(codes > 0, 10.0 ** dequantise(codes) * s.train_tokens, 0.0)
-    chance = (both + PRIOR * one[pairs.w]) / (contexts[pairs.v] + PRIOR)
+    chance = np.minimum(1, (both + PRIOR * one[pairs.w]) / (contexts[pairs.v] + PRIOR))    # codes round
     edges = np.concatenate([[0], np.cumsum(pairs.sizes)[:-1]])
 
     def per_doc(values: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import prepare, settle, table, texts
-from tallyhouse.llm.spans import listed, matches, of_kind
+from tallyhouse.llm.spans import count_of, listed, matches, of_kind
 
 # What is searched for. Possessive runs and the tests before them only keep
 # long runs from being tried from each of their places; they match the same text.
@@ -112,5 +112,5 @@ def personal(docs: DataFrame) -> DataFrame:
 
 def op6_pii(spark, sf_dir: str) -> DataFrame:
     out = personal(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS]
     return out.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import prepare, settle, table
-from tallyhouse.llm.spans import listed, matches, of_kind
+from tallyhouse.llm.spans import count_of, listed, matches, of_kind
 
 # What is searched for.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -77,5 +77,5 @@ def secrets(docs: DataFrame, owner: Column, repo: Column) -> DataFrame:
 def op4_secret_scan(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = secrets(docs, owner=F.col("source"), repo=F.concat_ws("/", "source", "lang"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS]
     return out.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import prepare, settle, table, texts
+from tallyhouse.llm.common import free, prepare, same_key, settle, table, texts, with_findings
 from tallyhouse.llm.components import components
 
 SHINGLE, SEED, REACH = 4, 42, 4
@@ -139,16 +139,15 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     the smallest hash of the text; of equal rows one. All columns stay."""
     rows = near_duplicates(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("k")
-    keepers = rows.groupBy("root").agg(first).select(F.col("k.doc_id").alias("__keep_id"), F.col("k.h").alias("__keep_h"))
-    copies = rows.groupBy("doc_id", "h").agg(F.count("*").alias("__copies")).withColumnsRenamed({"doc_id": "__id", "h": "__h"})
-    keepers = settle(keepers.join(copies, F.col("__keep_id").eqNullSafe(F.col("__id")) & (F.col("__keep_h") == F.col("__h"))).drop("__id", "__h"))
-    h = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")) & (h == F.col("__keep_h"))
-    single, repeated = (keepers.filter(c).hint("shuffle_hash") for c in ("__copies = 1", "__copies > 1"))
-    out = docs.join(single, on, "left_semi")
-    if keepers.filter("__copies > 1").isEmpty():
+    keepers = rows.groupBy("root").agg(first).select("k.doc_id", "k.h")
+    copies = rows.groupBy("doc_id", "h").agg(F.count("*").alias("copies"))
+    id_, h, n = free(docs, "__id", "__h", "__copies")
+    keepers = settle(with_findings(keepers, copies).select(F.col("doc_id").alias(id_), F.col("h").alias(h), F.col("copies").alias(n)))
+    single, repeated = (keepers.filter(c).hint("shuffle_hash") for c in (F.col(n) == 1, F.col(n) > 1))
+    out = docs.join(single, same_key(docs, id_, h), "left_semi")
+    if repeated.isEmpty():
         return out
-    return out.unionByName(docs.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return out.unionByName(docs.join(repeated, same_key(docs, id_, h), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def op8_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

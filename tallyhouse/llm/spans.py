@@ -55,6 +55,10 @@ def matches(text: Column, pattern: str, when: Column | None = None, context: int
     return F.when(when, out).otherwise(none) if when is not None else out
 
 
+def count_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:end`` of spans in their order, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

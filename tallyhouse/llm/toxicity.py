@@ -23,7 +23,6 @@ whole texts. Neither labels, lang, source nor ids are inputs of a score.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import prepare, table
+from tallyhouse.llm.common import free, prepare, table
 
 #: Labelled rows the model is fitted to, at most.
 ROWS = 20_000
@@ -187,9 +186,7 @@ def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = LIMIT) -> DataFrame:
     """The rows of ``docs`` that score below ``limit``, with all their columns."""
-    name = "__score"
-    while name in docs.columns:
-        name += "_"
+    name, = free(docs, "__score")
     return scored(docs, fit(docs, labels), name).filter(F.col(name) < limit).drop(name)
 
 
