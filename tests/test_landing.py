@@ -1,50 +1,76 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.sources import landing, loads, state
 from tallyhouse.streaming.ingest import stream_documents, stream_entity, stream_orders
 
-ORDER = {
-    "id": 1001, "number": "1001", "status": "completed", "currency": "GBP",
-    "date_created_gmt": "2026-07-10T09:00:00", "date_modified_gmt": "2026-07-10T12:34:56",
-    "line_items": [{"id": 5001, "product_id": 42, "quantity": 2}, {"id": 5002, "product_id": 43, "quantity": 1}],
-    "refunds": [{"id": 9001, "total": "-5.00"}],
+PARCEL = {
+    "id": 31, "number": "N-31", "status": "processing", "currency": "NOK",
+    "date_created_gmt": "2019-02-03T23:59:58", "date_modified_gmt": "2019-02-05T00:00:01Z",
+    "line_items": [{"id": 310 + i, "product_id": 7 * i, "quantity": i} for i in (3, 1, 2)],
+    "refunds": [{"id": 1, "total": "-0.40"}, {"id": 2, "total": "-1.60"}],
 }
 SCHEMA = "site_code string, extracted_at timestamp, _payload string"
+PULLED = datetime(2019, 3, 1)
 
 
-def docs(rows, *payloads, at=datetime(2026, 7, 11)):
-    return rows([("S1", at, json.dumps(p)) for p in payloads], SCHEMA)
+def docs(rows, *payloads, at=PULLED, site="OSLO"):
+    return rows([(site, at, p if isinstance(p, str) else json.dumps(p)) for p in payloads], SCHEMA)
 
 
-def test_order_row(rows):
-    (r,) = landing.land_orders(docs(rows, ORDER)).collect()
-    assert (r.woo_order_id, r.number, r.status, r.currency) == (1001, "1001", "completed", "GBP")
-    assert json.loads(r._payload) == ORDER
+def test_promoted_fields(rows):
+    (r,) = landing.land_orders(docs(rows, PARCEL)).collect()
+    assert (r.site_code, r.woo_order_id, r.number, r.status, r.currency) == ("OSLO", 31, "N-31", "processing", "NOK")
+    assert (r.date_created_gmt, r.date_modified_gmt) == (datetime(2019, 2, 3, 23, 59, 58), datetime(2019, 2, 5, 0, 0, 1))
+    assert json.loads(r._payload) == PARCEL
 
 
 def test_lines_are_exploded(rows):
-    got = landing.land_order_items(docs(rows, ORDER, {"id": 7}, {"id": 8, "line_items": None}, {"id": 9, "line_items": []})).collect()
-    assert sorted((r.woo_order_id, r.woo_order_item_id) for r in got) == [(1001, 5001), (1001, 5002)]
+    bare = [{"id": 40 + i, **x} for i, x in enumerate(({}, {"line_items": []}, {"line_items": None}))]
+    got = landing.land_order_items(docs(rows, *bare, PARCEL)).collect()
+    assert sorted((r.woo_order_id, r.woo_order_item_id) for r in got) == [(31, 311), (31, 312), (31, 313)]
 
 
 def test_only_orders_with_refunds(rows):
-    raw = landing.land_orders(docs(rows, ORDER, {"id": 7}, {"id": 8, "refunds": []}, {"id": 9, "refunds": None}))
-    assert [r.woo_order_id for r in landing.orders_with_refunds(raw).collect()] == [1001]
+    bare = [{"id": 40 + i, **x} for i, x in enumerate(({"refunds": None}, {}, {"refunds": []}))]
+    raw = landing.land_orders(docs(rows, *bare, PARCEL))
+    assert [r.woo_order_id for r in landing.orders_with_refunds(raw).collect()] == [31]
+
+
+def test_bad_documents_are_told(rows):
+    whole = json.dumps(PARCEL)
+    mixed = docs(rows, PARCEL, whole[:-9], whole[:40], "", "[1]", '{"number": "no id"}', '{"id": null}')
+    assert [r.woo_order_id for r in landing.land_orders(mixed).collect()] == [31]
+    assert landing.land_order_items(mixed).count() == 3
+    bad = {r._payload: r.reason for r in landing.rejects(mixed).collect()}
+    assert len(bad) == 6 and bad['{"id": null}'] == bad['{"number": "no id"}'] == "no id" and bad[whole[:40]] == "not a document"
+    (n,) = landing.landed_counts(mixed).collect()
+    assert (n.landed, n.rejected) == (1, 6)
+    landing.assert_few_rejects(mixed, 0.9)
+    with pytest.raises(ValueError, match="6 of 7"):
+        landing.assert_few_rejects(mixed, 0.5)
+
+
+def test_landed_lines_are_read_by_site(spark, tmp_path):
+    for site in ("KIEL", "OSLO"):
+        (tmp_path / f"site_code={site}").mkdir()
+        (tmp_path / f"site_code={site}" / "x.json").write_text(json.dumps({"id": 5}) + "\n" + json.dumps({"id": 6}) + "\n")
+    got = landing.land_entity(landing.read_landed(spark, str(tmp_path)), "k").collect()
+    assert sorted((r.site_code, r.k) for r in got) == [(s, k) for s in ("KIEL", "OSLO") for k in (5, 6)]
 
 
 def test_watermark(rows):
-    stamps = [datetime(2026, 7, 10, 6), datetime(2026, 7, 12, 6), None]
-    df = rows([("S1", s) for s in stamps], "site_code string, date_modified_gmt timestamp")
-    (top,) = landing.next_watermark(df, ["site_code"]).collect()
-    assert top.watermark == datetime(2026, 7, 12, 6)
+    stamps = [None, datetime(2018, 5, 6, 7, 8, 9), datetime(2018, 5, 6, 7, 8, 11), datetime(2017, 1, 1)]
+    df = rows([("KIEL", s) for s in stamps], "site_code string, date_modified_gmt timestamp")
+    assert [r.watermark for r in landing.next_watermark(df, ["site_code"]).collect()] == [max(s for s in stamps if s)]
     assert landing.next_watermark(df.filter("date_modified_gmt is null"), ["site_code"]).isEmpty()
-    mark = F.lit("2026-07-12 06:00:00").cast("timestamp")
-    assert landing.incremental_slice(df, mark).count() == 1          # the one second of overlap
-    assert landing.incremental_slice(df, mark, full_refresh=True).count() == 3
-    assert landing.incremental_slice(df, F.lit(None).cast("timestamp")).count() == 3
+    mark = F.lit("2018-05-06 07:08:10").cast("timestamp")
+    assert landing.incremental_slice(df, mark).count() == 1              # exactly the overlap back is out
+    assert landing.incremental_slice(df, mark, overlap_seconds=2).count() == 2
+    assert landing.incremental_slice(df, mark, full_refresh=True).count() == landing.incremental_slice(df, F.lit(None).cast("timestamp")).count() == 4
 
 
 def test_upsert(rows):
@@ -82,6 +108,16 @@ def test_snapshots(spark, rows, tmp_path):
     assert loads.read_snapshot(spark, path, "k int").count() == 0
 
 
+def test_many_runs_in_one_write(spark, rows, tmp_path):
+    path = str(tmp_path / "runs")
+    runs = rows([("a", "p", "KIEL", "success", 3, None), ("b", "p", "OSLO", "failed", 0, "down")],
+                "run_id string, pipeline_name string, site_code string, status string, rows_out bigint, error_text string")
+    state.log_runs(runs.withColumn("status", F.lit("running")), path)
+    state.log_runs(runs, path)
+    got = {r.site_code: (r.status, r.rows_out, r.error_text, r.start_ts <= r.end_ts) for r in state.read_runs(spark, path).collect()}
+    assert got == {"KIEL": ("success", 3, None, True), "OSLO": ("failed", 0, "down", True)}
+
+
 def test_run_log(spark, tmp_path):
     path = str(tmp_path / "runs")
     with state.logged_run(spark, path, "p", "S1") as run:
@@ -97,10 +133,11 @@ def test_run_log(spark, tmp_path):
 
 def test_stream_replaces_removed_lines(spark, rows, tmp_path):
     landed, olog, ilog, cp = (str(tmp_path / n) for n in ("landed", "orders", "items", "cp"))
-    later = {**ORDER, "status": "refunded", "line_items": ORDER["line_items"][:1]}
-    emptied = {"id": 1002, "line_items": [{"id": 1}]}
-    for at, batch in ((datetime(2026, 7, 11), (ORDER, emptied)), (datetime(2026, 7, 12), (later, {**emptied, "line_items": []}))):
-        docs(rows, *batch, at=at).coalesce(1).write.mode("append").parquet(landed)
+    emptied = {"id": 32, "line_items": [{"id": 320}]}
+    again = {**PARCEL, "status": "refunded", "line_items": PARCEL["line_items"][1:2]}
+    pulls = {datetime(2019, 3, 1): (emptied, PARCEL), datetime(2019, 3, 4): (again, {**emptied, "line_items": []})}
+    for at, batch in pulls.items():
+        docs(rows, *batch, at=at).write.mode("append").parquet(landed)
         stream_orders(stream_documents(spark, landed), cp, olog, ilog)
     orders = loads.read_log(
         spark, olog,
@@ -108,14 +145,14 @@ def test_stream_replaces_removed_lines(spark, rows, tmp_path):
     )
     items = loads.read_log(spark, ilog, "site_code string, woo_order_id bigint, woo_order_item_id bigint, extracted_at timestamp, _payload string")
     now = loads.current_rows(orders, ["site_code", "woo_order_id"])
-    assert {r.woo_order_id: r.status for r in now.collect()} == {1001: "refunded", 1002: None}
+    assert {r.woo_order_id: r.status for r in now.collect()} == {31: "refunded", 32: None}
     live = loads.current_children(items, orders, ["site_code", "woo_order_id"], ["site_code", "woo_order_id", "woo_order_item_id"])
-    assert [(r.woo_order_id, r.woo_order_item_id) for r in live.collect()] == [(1001, 5001)]
+    assert [(r.woo_order_id, r.woo_order_item_id) for r in live.collect()] == [(31, 311)]
 
 
 def test_failed_batch_is_repeated(spark, rows, tmp_path):
     landed, log, cp = (str(tmp_path / n) for n in ("landed", "log", "cp"))
-    docs(rows, ORDER).write.parquet(landed)
+    docs(rows, PARCEL).write.parquet(landed)
 
     def broken(batch):
         raise RuntimeError("down")
