@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.money import TOTAL, percent
+from tallyhouse.operators.windows import levels
+from tallyhouse.session import settle
 
 
 def sum_where(x: Column | str, condition: Column) -> Column:
@@ -46,9 +48,15 @@ def coverage(num: Column | str, den: Column | str) -> Column:
 
 
 def group_median(df: DataFrame, key: str, x: Column, having: Column, name: str) -> DataFrame:
-    """Median over groups of ``x``, an aggregate, kept where ``having`` holds."""
-    groups = df.groupBy(key).agg(x.alias("_x"), having.alias("_keep")).filter("_keep")
-    return groups.agg(F.median("_x").alias(name))
+    """Median over groups of ``x``, an aggregate, kept where ``having`` holds.
+
+    The one or two middle values are taken by rank from ``levels``, which many tasks
+    work out together; no task holds all values.
+    """
+    groups = settle(df.groupBy(key).agg(x.alias("_x"), having.alias("_keep")).filter("_keep").select("_x"))
+    n = groups.agg(F.count("_x")).first()[0]
+    upper, lower = (F.min(F.when(F.col("rank") <= place, F.col("_x"))) for place in ((n + 1) // 2, n // 2 + 1))
+    return levels(groups, "_x").agg(((upper + lower) / 2).cast("double").alias(name))
 
 
 def count_groups(df: DataFrame, key: str, predicate: Column, name: str) -> DataFrame:

@@ -7,15 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.money import RATE, convert
 
-BROADCAST_ROWS = 500_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only after counting at most ``max_rows``; else leave it to Spark."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out to all cores where a scan has fewer splits than cores.
 
@@ -49,10 +40,15 @@ def fx_convert(df: DataFrame, fx: DataFrame, currency: str | Column, day: str, a
 def with_fee_seed(orders: DataFrame, fees: DataFrame) -> DataFrame:
     """Terms of the payment method from the active fee rows, by method only.
 
-    A handful of methods covers all orders, so pass a broadcast seed: a shuffle on
-    the method would pile the orders up on few tasks.
+    A method with several active rows fails the job: each of them would repeat its
+    orders. Pass a written seed (``settle``): Spark then knows its size and sends it
+    to the orders; a shuffle on a handful of methods would pile them up.
     """
-    terms = fees.select("payment_method", "fee_percent", "fixed_fee_usd")
+    several = F.raise_error(F.concat(F.lit("several active fee rows for "), F.coalesce("payment_method", F.lit("NULL"))))
+    terms = fees.groupBy("payment_method").agg(
+        F.count("*").alias("_n"), *[F.max(c).alias(c) for c in ("fee_percent", "fixed_fee_usd")])
+    percent = F.when(F.col("_n") > 1, several.cast("decimal(18,6)")).otherwise(F.col("fee_percent")).alias("fee_percent")
+    terms = terms.select("payment_method", percent, "fixed_fee_usd")
     return orders.join(terms, "payment_method", "left")
 
 

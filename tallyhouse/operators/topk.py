@@ -53,9 +53,12 @@ def top_name(df: DataFrame, name: str, x: str, alias: str, floor: Column | None
 
 
 def top_n(df: DataFrame, x: str, n: int) -> DataFrame:
-    """The rows with the ``n`` highest values, ties of the last one included."""
-    lowest = df.select(x).orderBy(F.desc_nulls_last(x)).limit(n).agg(F.min(x)).scalar()
-    return df.withColumn("_lowest", lowest).filter(F.col(x) >= F.col("_lowest")).drop("_lowest")
+    """The rows with the ``n`` highest values, ties of the last one included; rows without
+    a value come last, and count where fewer than ``n`` have one."""
+    head = df.select(x).orderBy(F.desc_nulls_last(x)).limit(n)
+    cut = head.agg(F.struct(F.min(x).alias("low"), F.count(x).alias("n"))).scalar()
+    taken = F.coalesce(F.col(x) >= F.col("_cut.low"), F.lit(False)) | (F.col(x).isNull() & (F.col("_cut.n") < n))
+    return df.withColumn("_cut", cut).filter(taken).drop("_cut")
 
 
 def order_by_ordinal(df: DataFrame, ordinal: str) -> DataFrame:

@@ -45,8 +45,11 @@ def dim_date(spark: SparkSession, start: str = "2020-01-01", end: str = "2031-01
     )
 
 
-def dim_date_spanning(df: DataFrame, day: str) -> DataFrame:
-    """The calendar of whole years that holds every date of a table."""
+def dim_date_spanning(df: DataFrame, day: str, *more: tuple[DataFrame, str]) -> DataFrame:
+    """The calendar of whole years that holds every date of these tables."""
+    df = df.select(day)
+    for other, other_day in more:
+        df = df.unionByName(other.select(F.col(other_day).alias(day)))
     bounds = df.agg(
         F.trunc(F.min(day), "YEAR").alias("first_day"),
         F.add_months(F.trunc(F.max(day), "YEAR"), 12).alias("end_day"),

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.keys import date_of_sk
 from tallyhouse.functions.money import total_ratio
-from tallyhouse.plans.measures import MEASURES, parts_of, reduced, value
+from tallyhouse.plans.measures import MEASURES, fact_table, parts_of, reduced, value
+from tallyhouse.session import settle
 
 
 def _month(a: Column) -> tuple[Column, Column]:
@@ -68,14 +70,14 @@ def _selected_windows(kind: str, first: Column, last: Column):
     return first, last, F.add_months(first, -12), F.add_months(last, -12)
 
 
-def _daily(star, measure: str, by: list[str]):
+def _daily(star, measure: str, by: list[str], dates: tuple[int, int] | None = None):
     """Parts per group and day, and per distinct part its keys per group and day."""
     parts = parts_of([measure])
     facts = dict.fromkeys(p.fact for p in parts.values())
     rows, keyed = None, []
     for fact in facts:
         mine = {n: p for n, p in parts.items() if p.fact == fact}
-        additive, distincts = reduced(star, fact, mine, by, extra=["date_sk"])
+        additive, distincts = reduced(star, fact, mine, by, extra=["date_sk"], dates=dates)
         keyed += distincts
         if additive is not None:
             adding = [n for n, p in mine.items() if p.kind != "distinct"]
@@ -87,31 +89,66 @@ def _daily(star, measure: str, by: list[str]):
 def last_data_date(star, measure: str, by: list[str] | tuple[str, ...] = (), dates=None) -> DataFrame:
     """Latest day per group on which the measure is not blank."""
     by = list(by)
-    parts, rows, keyed = _daily(star, measure, by)
+    parts, rows, keyed = _daily(star, measure, by, dates)
     for n, keys in keyed:
         counted = keys.groupBy(*by, "date_sk").agg(F.count_distinct(f"`{n}`").alias(n))
         rows = counted if rows is None else rows.unionByName(counted, allowMissingColumns=True)
-    if dates is not None:
-        rows = rows.filter(F.col("date_sk").between(*dates))
     folded = rows.groupBy(*by, "date_sk").agg(*[F.sum(f"`{n}`").alias(n) for n in parts])
     seen = folded.select(*by, date_of_sk("date_sk").alias("_day"), value(measure).alias("_value"))
     return seen.groupBy(*by).agg(F.max(F.when(F.col("_value").isNotNull(), F.col("_day"))).alias("last_data_date"))
 
 
+def date_key(day: date) -> int:
+    return day.year * 10000 + day.month * 100 + day.day
+
+
+def _last_day(star, measure: str, dates: tuple[int, int] | None) -> date | None:
+    """Latest day on which the measure is not blank, looked for from the newest days
+    back, in spans that grow eightfold, so old history is rarely read."""
+    parts = parts_of([measure])
+    facts = [fact_table(star, f) for f in dict.fromkeys(p.fact for p in parts.values())]
+    ends = [f.agg(F.min("date_sk"), F.max("date_sk")).first() for f in facts]
+    ends = [e for e in ends if e[0] is not None]
+    if not ends:
+        return None
+    low, high = min(e[0] for e in ends), max(e[1] for e in ends)
+    if dates is not None:
+        low, high = max(low, dates[0]), min(high, dates[1])
+    last, days = datetime.strptime(str(high), "%Y%m%d").date(), 31
+    while low <= high:
+        start = max(low, date_key(max(last - timedelta(days), date(1, 1, 1))))
+        found = last_data_date(star, measure, (), (start, high)).first()
+        if found is not None and found[0] is not None:
+            return found[0]
+        if start == low:
+            break
+        days *= 8
+    return None
+
+
+def _span(spark, windows: Callable, low: date, high: date) -> tuple[int, int]:
+    """First and last date key any window of an anchor from ``low`` to ``high`` touches."""
+    first, last = (windows(F.lit(d).cast("date")) for d in (low, high))
+    row = spark.range(1).select(F.least(*first), F.greatest(*last)).first()
+    return date_key(row[0]), date_key(row[1])
+
+
 def period_delta(
-    star, measure: str, kind: str, by: list[str] | tuple[str, ...] = (), selection: tuple[str, str] | None = None
+    star, measure: str, kind: str, by: list[str] | tuple[str, ...] = (), selection: tuple[str, str] | None = None,
+    as_of: date | None = None,
 ) -> DataFrame:
     """Current value, previous value and ``(current - previous) / previous``.
 
-    Both windows are filled by one conditional aggregation. The anchor is the last
-    day with data in the selection; the windows themselves look beyond it. For
-    sums the anchor is found over the rows already reduced to (group, day), whose
-    number per group is bounded by the calendar.
+    Both windows are filled by one conditional aggregation. The anchor is the last day
+    with data in the selection, or ``as_of``; the windows themselves look beyond it. It
+    is found first (one small row per group), so the facts are read between literal
+    dates only. A chosen range (``SELECTED``) gives the groups with data in its windows.
     """
     by = list(by)
     if measure not in MEASURES:
         raise ValueError(f"unknown measure {measure}")
-    parts, rows, keyed = _daily(star, measure, by)
+    spark = star.dim_date.sparkSession
+    anchors = None
     if kind in SELECTED:
         if selection is None:
             raise ValueError(f"{kind} needs a selected date range")
@@ -120,27 +157,28 @@ def period_delta(
         def windows(_):
             return _selected_windows(kind, first, last)
 
-        anchor = None
+        low = high = date.fromisoformat(selection[1])
     else:
         windows = WINDOWS[kind]
         chosen = None if selection is None else tuple(int(d.replace("-", "")) for d in selection)
-        anchor = last_data_date(star, measure, by, chosen) if keyed else None
+        if as_of is not None:
+            low = high = as_of
+        elif by:
+            anchors = settle(last_data_date(star, measure, by, chosen).withColumnRenamed("last_data_date", "_anchor"))
+            low, high = anchors.agg(F.min("_anchor"), F.max("_anchor")).first()
+        else:
+            low = high = _last_day(star, measure, chosen)
+    # Without any anchor no day is in a window, and no row is read.
+    dates = (0, 0) if high is None else _span(spark, windows, low, high)
+    parts, rows, keyed = _daily(star, measure, by, dates)
 
     def anchored(df: DataFrame) -> DataFrame:
         day = df.withColumn("_day", date_of_sk("date_sk"))
-        if kind in SELECTED:
-            return day.withColumn("_anchor", F.lit(None).cast("date"))
-        if anchor is not None:
-            if by:
-                return day.join(anchor.withColumnRenamed("last_data_date", "_anchor"), by)
-            return day.withColumn("_anchor", anchor.scalar())
-        folded = day.groupBy(*by, "date_sk", "_day").agg(*[F.sum(f"`{n}`").alias(n) for n in parts])
-        measured = folded.withColumn("_value", value(measure))
-        inside = F.col("_value").isNotNull()
-        if selection is not None:
-            inside = inside & F.col("_day").between(*selection)
-        whole = Window.partitionBy(*[F.col(c) for c in by])
-        return measured.withColumn("_anchor", F.max(F.when(inside, F.col("_day"))).over(whole)).drop("_value")
+        if anchors is None:
+            return day.withColumn("_anchor", F.lit(high).cast("date"))
+        return day.join(renamed, _same(by))
+
+    renamed = None if anchors is None else anchors.withColumnsRenamed({c: f"_by_{c}" for c in by})
 
     def halves(df: DataFrame, names: list[str], combine: Callable) -> DataFrame:
         lo, hi, plo, phi = windows(F.col("_anchor"))
@@ -163,11 +201,22 @@ def period_delta(
         stacked = piece if stacked is None else stacked.unionByName(piece, allowMissingColumns=True)
     columns = [c for n in parts for c in (f"now_{n}", f"then_{n}")]
     folded = stacked.groupBy(*by).agg(*[F.max(f"`{c}`").alias(c) for c in columns])
+    if anchors is not None:     # groups whose measure is blank on every day stay
+        folded = renamed.join(folded, _same(by), "left").select(*[F.col(f"_by_{c}").alias(c) for c in by], *columns)
 
     both = folded.select(
         *by,
         value(measure, "now_").alias("current_value"),
         value(measure, "then_").alias("previous_value"),
     )
+    if kind in SELECTED and by:
+        both = both.filter(F.col("current_value").isNotNull() | F.col("previous_value").isNotNull())
     current = F.coalesce(F.col("current_value"), F.lit(0))
     return both.withColumn("delta", total_ratio(current - F.col("previous_value"), "previous_value"))
+
+
+def _same(by: list[str]) -> Column:
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return on

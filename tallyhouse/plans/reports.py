@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from tallyhouse.operators.topk import percent_to_reach, top_name, top_percent
 from tallyhouse.operators.windows import running_total, share_of
 from tallyhouse.plans.facts import ORDER
 from tallyhouse.plans.measures import MEASURES, evaluate, slice_by
-from tallyhouse.plans.period import period_delta
+from tallyhouse.plans.period import date_key, period_delta
+from tallyhouse.session import settle
 
 # Bands and floors of the reports.
 MARGIN_BOUNDS, MARGIN_LABELS = ["0.56", "0.53"], ["green", "sand"]
@@ -64,18 +67,18 @@ def _product_lines(star) -> DataFrame:
     return evaluate(star, ["product_profit", "product_net_revenue", "product_margin"], ["product_name"])
 
 
-def median_margin(star, floor=MEDIAN_MARGIN_REVENUE) -> DataFrame:
+def median_margin(star, floor=MEDIAN_MARGIN_REVENUE, lines: DataFrame | None = None) -> DataFrame:
     return group_median(
-        _product_lines(star), "product_name", F.max("product_margin"), F.max("product_net_revenue") > floor,
+        _product_lines(star) if lines is None else lines, "product_name", F.max("product_margin"), F.max("product_net_revenue") > floor,
         "median_margin",
     )
 
 
 def margin_vs_median(star, floor=MEDIAN_MARGIN_REVENUE) -> DataFrame:
     """Points by which each product's margin differs from the median margin."""
-    lines = _product_lines(star).filter(F.col("product_margin").isNotNull())
-    middle = median_margin(star, floor).scalar()
-    return lines.withColumn("_median", middle).select(
+    lines = settle(_product_lines(star))
+    middle = median_margin(star, floor, lines).scalar()
+    return lines.filter(F.col("product_margin").isNotNull()).withColumn("_median", middle).select(
         "product_name",
         "product_margin",
         F.round((F.col("product_margin") - F.col("_median")) * 100, 6).alias("points_vs_median"),
@@ -161,17 +164,25 @@ def metric_rows(star, metrics, by: list[str]) -> DataFrame:
     return _unpivot(m, by, [(text, F.col(name)) for text, name in metrics], "metric", "metric_value")
 
 
+def last_order_day(star) -> date | None:
+    """The day of the last order, whatever its status."""
+    return star.fact_order.agg(F.max(date_of_sk("date_sk"))).first()[0]
+
+
 def growth_12_months(star) -> DataFrame:
     """Revenue of the last 12 months against the 12 before, as of the last order."""
-    return period_delta(star, "revenue", "T12M")
+    return period_delta(star, "revenue", "T12M", as_of=last_order_day(star))
 
 
 def last_months(star, n: int = 8) -> DataFrame:
     """Revenue of the last ``n`` months up to the last order; empty months are zero."""
-    last = star.fact_order.agg(F.max("date_sk").alias("_sk")).select(F.trunc(date_of_sk("_sk"), "MM").alias("_last"))
+    last = last_order_day(star)
+    one = star.dim_date.sparkSession.range(0 if last is None else 1).select(F.trunc(F.lit(last).cast("date"), "MM").alias("_last"))
     first = F.add_months("_last", -(n - 1))
-    spine = last.select(F.explode(F.sequence(first, "_last", F.expr("interval 1 month"))).alias("month_start"))
-    monthly = evaluate(star, ["revenue"], ["year", "month"]).select(
+    spine = one.select(F.explode(F.sequence(first, "_last", F.expr("interval 1 month"))).alias("month_start"))
+    start = one.select(first).first()
+    dates = (0, 0) if start is None else (date_key(start[0]), date_key(last))
+    monthly = evaluate(star, ["revenue"], ["year", "month"], dates=dates).select(
         F.make_date("year", "month", F.lit(1)).alias("month_start"), "revenue"
     )
     return spine.join(monthly, "month_start", "left").select(

@@ -15,7 +15,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tallyhouse.operators.joins import active, checked_broadcast
+from tallyhouse.operators.joins import active
+from tallyhouse.session import settle
 from tallyhouse.plans import dims, facts, marts, staging
 
 
@@ -56,11 +57,12 @@ class Warehouse:
 
     @cached_property
     def fx(self) -> DataFrame:
-        return checked_broadcast(self.inputs.fx_daily)
+        """Written once, so that Spark knows the size and picks the join by it."""
+        return settle(self.inputs.fx_daily)
 
     @cached_property
     def fees(self) -> DataFrame:
-        return checked_broadcast(active(self.inputs.fees))
+        return settle(active(self.inputs.fees))
 
     @cached_property
     def stg_orders(self) -> DataFrame:
@@ -84,7 +86,7 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date_spanning(self.stg_orders, "order_date")
+        return dims.dim_date_spanning(self.stg_orders, "order_date", (self.stg_refunds, "refund_date"))
 
     @cached_property
     def dim_site(self) -> DataFrame:
@@ -151,14 +153,13 @@ class Star(Warehouse):
 
 
 def _write(df: DataFrame, path: str) -> None:
-    """Write one table; facts are sorted by date inside each file.
+    """Write one table; facts are dealt into ranges of dates, a file to a range.
 
-    Every row group then spans few dates, so a date range skips most of them. No
-    exchange is added for the files' sake: AQE has sized the partitions of the
-    last join, and unshuffled tables keep their input splits.
+    A date range then opens few files. Order keys split a day that is too large for
+    one file.
     """
     if "date_sk" in df.columns and "order_sk" in df.columns:
-        df = df.sortWithinPartitions("date_sk")
+        df = df.repartitionByRange("date_sk", "order_sk").sortWithinPartitions("date_sk")
     df.write.mode("errorifexists").parquet(path)
 
 

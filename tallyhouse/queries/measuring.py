@@ -289,7 +289,7 @@ def _(r):
 select sum(line_revenue_usd) filter (where d > a - interval 12 month and d <= a) as c,
 sum(line_revenue_usd) filter (where d > a - interval 24 month and d <= a - interval 12 month) as p
 from (select line_revenue_usd, strptime(date_sk::varchar, '%Y%m%d') as d,
-(select max(strptime(date_sk::varchar, '%Y%m%d')) from f_item where is_revenue_status) as a from f_item where is_revenue_status))""",
+(select max(order_date)::timestamp from base_order) as a from f_item where is_revenue_status))""",
 )
 def _(r):
     return reports.growth_12_months(r.star)

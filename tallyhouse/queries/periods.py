@@ -49,7 +49,7 @@ for _name, _kind in NAMES.items():
 def selected_sql(plo: str, phi: str) -> str:
     return f"""select country_name, c as current_value, p as previous_value, {ratio('coalesce(c, 0) - p', 'p')} as delta from (
 select country_name, sum(x) filter (where d between date '1998-02-10' and date '1998-05-20') as c, sum(x) filter (where d between {plo} and {phi}) as p
-from ({REVENUE_DAYS}) group by 1)"""
+from ({REVENUE_DAYS}) group by 1) where c is not null or p is not null"""
 
 
 SELECTION = ("1998-02-10", "1998-05-20")

@@ -1,5 +1,6 @@
 """Distributed operators against brute force, with hot keys and ties."""
 
+import statistics
 from decimal import Decimal as D
 
 import pandas as pd
@@ -81,11 +82,21 @@ def test_missing_rate_counts_as_one(spark):
     assert sorted(r.usd for r in joins.fx_convert(df, fx, "ccy", "day", {"usd": "x"}).collect()) == [10, 15]
 
 
-def test_broadcast_is_checked(spark):
-    big = spark.range(1000)
-    assert "broadcast" not in joins.checked_broadcast(big, 10)._jdf.queryExecution().logical().toString()
-    plan = joins.checked_broadcast(big, 10_000)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan
+def test_two_active_fee_rows_of_a_method_fail(spark):
+    fees = spark.sql("select 'card' as payment_method, 0.01 as fee_percent, 0.3 as fixed_fee_usd union all select 'cash', 0, 0")
+    orders = spark.sql("select 1 as k, 'card' as payment_method union all select 2, null")
+    assert sorted((r.k, r.fixed_fee_usd is not None) for r in joins.with_fee_seed(orders, fees).collect()) == [(1, True), (2, False)]
+    with pytest.raises(Exception, match="several active fee rows for card"):
+        joins.with_fee_seed(orders, fees.unionAll(fees)).collect()
+
+
+def test_median_without_a_percentile(spark):
+    for values in ([4], [1, 9], [5, 5, 1, 7], [3, 1, 2, 2, 2], list(range(100, 0, -3))):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k int, v int")
+        out = aggregates.group_median(df, "k", F.max("v"), F.lit(True), "m")
+        assert out.first()[0] == statistics.median(values)
+        assert " percentile(" not in out._jdf.queryExecution().toString()
+    assert aggregates.group_median(df, "k", F.max("v"), F.max("v") > 1000, "m").first()[0] is None
 
 
 def test_nulls_last_and_medians(spark):
