@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.money import MONEY, col
 
+#: Amounts in cells: wide enough for what a sheet can hold, and exact.
+CELL = "decimal(38,10)"
+
 # Every character Python's ``str.strip`` removes, so a cell trims alike here.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
@@ -42,21 +45,24 @@ def clean_cell(c: Column | str) -> Column:
 def parse_money(c: Column | str) -> Column:
     """Amount in a cell whatever the currency sign; ``(x)`` is negative; junk is NULL.
 
+    Only text that is no number gives NULL; a number beyond ``CELL`` fails the job.
     Blank and ``nan`` hold no digit, so they need no test of their own. Each cell
     text is named as few times as can be: a sheet has a dozen such columns, and
     generated code grows with every mention.
     """
-    number = F.regexp_replace(col(c), r"[^0-9.\-]", "").try_cast(MONEY)
+    plain = F.regexp_replace(col(c), r"[^0-9.\-]", "")
+    number = F.nullif(F.regexp_extract(plain, r"^-?(\d+\.?\d*|\.\d+)$", 0), F.lit("")).cast(CELL)
     bracketed = strip(c).rlike(r"(?s)^\(.*\)$")
-    return F.when(bracketed, -F.abs(number)).otherwise(number).cast(MONEY)
+    return F.when(bracketed, -F.abs(number)).otherwise(number).cast(CELL)
 
 
 def parse_percent(c: Column | str) -> Column:
-    return (parse_money(c) / F.lit(100)).cast("decimal(18,8)")
+    return (parse_money(c) / F.lit(100)).cast(CELL)
 
 
 def parse_order_code(c: Column | str) -> Column:
-    """Plain integer order id; suffixed or fractional codes are NULL."""
+    """Plain integer order id; suffixed or fractional codes are NULL, and so is a number
+    no id can be (``off_platform_codes`` lists all of these)."""
     text = F.replace(strip(c), F.lit(","), F.lit(""))
     return F.regexp_extract(text, r"^(\d+)(\.0*)?$", 1).try_cast("bigint")
 

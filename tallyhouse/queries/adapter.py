@@ -6,6 +6,8 @@ in SQL, straight from the tables and without the JSON round trip.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from tallyhouse.plans.warehouse import Inputs
 SALT = "pepper"
 EXTRACTED = "2002-01-01 00:00:00"
 CURRENCIES = ("USD", "EUR", "GBP", "CAD")
-FX_FIRST, FX_MONTHS, FX_LAST = "1994-12-01", 97, "2002-12-31"
+FX_FIRST = "1994-12-01"
 SITES = 5
 ID_BUCKETS = 4096
 
@@ -76,8 +78,8 @@ def order_documents(tables) -> DataFrame:
     customer = tables("customer").select("c_custkey", "c_name", "c_nationkey")
     nation = tables("nation").select("n_nationkey", "n_name")
     o = base_orders(spread(tables("orders"), "o_orderkey"))
-    o = o.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    o = o.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    o = o.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    o = o.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     k, total, ccy = F.col("woo_order_id"), F.col("total"), F.col("ccy")
     plugin = k % 7 != 0
     stripe = plugin & ((k % 2 == 0) | (k % 17 == 0))
@@ -274,7 +276,13 @@ def raw_cost(tables) -> DataFrame:
     return rows.withColumnRenamed("_id", "woo_order_id")
 
 
-def fx_quotes(spark: SparkSession) -> DataFrame:
+def last_day(tables) -> date:
+    """The last day a rate can be asked for: of an order or of a returned line."""
+    ends = [tables(t).agg(F.max(c).cast("date")).first()[0] for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
+    return max([e for e in ends if e is not None], default=date.fromisoformat(FX_FIRST))
+
+
+def fx_quotes(spark: SparkSession, until: date) -> DataFrame:
     """Month-start quotes by formula; Canadian dollars start in 1996."""
     m = F.col("m")
 
@@ -289,7 +297,7 @@ def fx_quotes(spark: SparkSession) -> DataFrame:
     }
     quotes = F.explode(F.array(*[F.struct(F.lit(c).alias("currency"), r.alias("usd_rate")) for c, r in rates.items()]))
     return (
-        spark.range(FX_MONTHS)
+        spark.range(max(0, (until.year - 1994) * 12 + until.month - 11))
         .select(F.col("id").cast("int").alias("m"))
         .select(F.add_months(F.lit(FX_FIRST).cast("date"), m).alias("rate_date"), quotes.alias("q"))
         .select("rate_date", "q.currency", "q.usd_rate")
@@ -335,13 +343,14 @@ def site_seed(tables) -> DataFrame:
 
 
 def inputs(spark: SparkSession, tables) -> Inputs:
+    until = last_day(tables)
     return Inputs(
         orders=raw_orders(tables),
         order_items=raw_order_items(tables),
         products=product_documents(tables),
         refunds=raw_refunds(tables),
         cost_sheet=raw_cost(tables),
-        fx_daily=daily_fx(fx_quotes(spark), F.lit(FX_LAST).cast("date")),
+        fx_daily=daily_fx(fx_quotes(spark, until), F.lit(until).cast("date")),
         fees=fee_seed(spark),
         country_seed=country_seed(tables),
         site_seed=site_seed(tables),

@@ -92,6 +92,11 @@ simple(
     "case k % 4 when 0 then total when 1 then -total when 2 then -total end",
     lambda: clean.parse_money("money_text"),
 )
+simple(
+    "c3_parse_money_large", "m",
+    "cast('1234567890123' || (k % 10) || '.45' as decimal(28,6))",
+    lambda: clean.parse_money(F.concat(F.lit("$1,234,567,890,123"), (F.col("woo_order_id") % 10).cast("string"), F.lit(".45"))),
+)
 simple(
     "c4_parse_percent", "r",
     "case when k % 5 <> 0 then case when k % 200 - 100 < 0 then k % 200 - 100 - 0.25 else k % 200 - 100 + 0.25 end / 100.0 end",

@@ -26,6 +26,31 @@ def _(r):
     return landing.land_orders(documents(r))
 
 
+def broken_documents(r) -> DataFrame:
+    """Order documents, every fiftieth cut off, every seventy-seventh without its id."""
+    docs = adapter.order_documents(r.table)
+    k, text = F.col("woo_order_id"), F.col("_payload")
+    cut = F.substring(text, F.lit(1), (F.length(text) - 2).cast("int"))
+    bare = F.regexp_replace(text, r'^\{"id":"\d+",', "{")
+    return docs.select("site_code", "extracted_at", F.when(k % 50 == 0, cut).when(k % 77 == 0, bare).otherwise(text).alias("_payload"))
+
+
+@query(
+    "s1_land_orders_rejects",
+    "site_code:s landed:i orders:i not_a_document:i no_id:i",
+    """select site_code, count(*) filter (where k % 50 <> 0 and k % 77 <> 0) as landed, count(*) filter (where k % 50 <> 0 and k % 77 <> 0) as orders,
+count(*) filter (where k % 50 = 0) as not_a_document, count(*) filter (where k % 50 <> 0 and k % 77 = 0) as no_id from base_order group by 1""",
+)
+def _(r):
+    """What lands and what is rejected, by reason, add up to all documents."""
+    docs = broken_documents(r)
+    counts = landing.landed_counts(docs).select("site_code", "landed")
+    orders = landing.land_orders(docs).groupBy("site_code").agg(F.count("woo_order_id").alias("orders"))
+    bad = landing.rejects(docs).groupBy("site_code").agg(
+        F.count_if(F.col("reason") == "not a document").alias("not_a_document"), F.count_if(F.col("reason") == "no id").alias("no_id"))
+    return counts.join(orders, "site_code", "left").join(bad, "site_code", "left").fillna(0)
+
+
 def line_documents(r) -> DataFrame:
     """Order documents of one line each, with the line twice, once, or a null or absent list."""
     n = F.col("l_linenumber")
@@ -70,6 +95,37 @@ def _(r):
     return landing.land_entity(adapter.product_documents(r.table).drop("date_modified_gmt"), "woo_product_id")
 
 
+@query(
+    "s3_land_customers",
+    "site_code:s woo_customer_id:i date_modified_gmt:t",
+    """select 'S' || (c_custkey % 5) as site_code, c_custkey as woo_customer_id,
+case when c_custkey % 4 <> 0 then timestamp '1999-01-01' + to_days(cast(c_custkey % 700 as int)) end as date_modified_gmt from customer""",
+)
+def _(r):
+    k = F.col("c_custkey")
+    day = F.date_add(F.lit("1999-01-01").cast("date"), (k % 700).cast("int")).cast("timestamp")
+    doc = adapter.payload(id=k, email=F.concat("c_name", F.lit("@x.test")), date_modified_gmt=F.when(k % 4 != 0, adapter.iso(day)))
+    docs = r.table("customer").select(adapter.site_of(k).alias("site_code"), adapter.stamp(), doc.alias("_payload"))
+    return landing.land_entity(docs, "woo_customer_id")
+
+
+@query(
+    "s3_land_coupons",
+    "site_code:s woo_coupon_id:i date_modified_gmt:t code:s",
+    """select 'S' || (s_suppkey % 5) as site_code, s_suppkey as woo_coupon_id, timestamp '1998-06-01' + to_days(cast(s_suppkey % 90 as int)) as date_modified_gmt,
+'OFF' || s_suppkey as code from supplier""",
+)
+def _(r):
+    """Coupons as JSON lines laid out by site, read back from the files."""
+    k = F.col("s_suppkey")
+    day = F.date_add(F.lit("1998-06-01").cast("date"), (k % 90).cast("int")).cast("timestamp")
+    doc = adapter.payload(id=k, code=F.concat(F.lit("OFF"), k.cast("string")), date_modified_gmt=adapter.iso(day))
+    path = r.folder("coupons")
+    r.table("supplier").select(adapter.site_of(k).alias("site_code"), doc.alias("value")).write.partitionBy("site_code").text(path)
+    coupons = landing.land_entity(landing.read_landed(r.spark, path), "woo_coupon_id")
+    return coupons.withColumn("code", F.get_json_object("_payload", "$.code"))
+
+
 @query(
     "s4_land_refunds",
     "site_code:s woo_refund_id:i woo_order_id:i date_created_gmt:t",
@@ -155,17 +211,19 @@ from base_order, range(2) p(part)
 where k % 6 <> 0 and not (k % 6 <> 1 and k % 15 = 2) and (part = 0 or k % 9 = 0)"""
 
 
-def write_sheet(r) -> str:
-    """The sheet as four CSV files: header, two sub-header lines, rows in order."""
-    part = F.shiftright(cost_sheet.ROW, 1) % 4        # both rows of an order go together
-    rows = sheet_rows(r).withColumn("_p", part)
-    leads = rows.select("_p").distinct().select("_p", F.explode(F.array(F.lit(-2), F.lit(-1))).alias(cost_sheet.ROW))
-    subs = leads.select(
-        *[F.lit("Items Information" if h == "Order Code" else "x").alias(h) for h in SHEET_HEADERS], cost_sheet.ROW, "_p"
-    )
-    whole = rows.unionByName(subs).repartition("_p").sortWithinPartitions("_p", cost_sheet.ROW)
+def write_sheet(r, *orders: list[str]) -> str:
+    """The sheet as CSV files with a header line and two sub-header lines, a file to each
+    partition of the rows as they come; both rows of an order stay together. Orders are
+    dealt to as many exports as column orders are given."""
+    rows = sheet_rows(r)
     path = r.folder("sheet")
-    whole.drop(cost_sheet.ROW).write.partitionBy("_p").options(header=True, quote='"', escape='"').csv(path)
+    for i, headers in enumerate(orders):
+        mine = rows.filter(F.pmod(F.shiftright(cost_sheet.ROW, 1), F.lit(len(orders))) == i)
+        opens = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0        # the first row of a partition
+        led = mine.withColumn("_opens", opens).withColumn(
+            "_lead", F.explode(F.when(F.col("_opens"), F.array(F.lit(True), F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
+        cells = [F.when(F.col("_lead"), "Items Information" if h == "Order Code" else "x").otherwise(F.col(f"`{h}`")).alias(h) for h in headers]
+        led.select(*cells).write.mode("append").options(header=True, quote='"', escape='"').csv(path)
     return path
 
 
@@ -285,17 +343,17 @@ case when s = 'S4' then 0 else n end as rows_out, case when s = 'S4' then 'Value
 from (select 'S' || r_regionkey as s from region) join (select site_code as s, count(*) as n from base_order group by 1) using (s)""",
 )
 def _(r):
-    """One logged run per site; the last one fails."""
+    """One run per site, whatever their number; that of S4 fails."""
     path = r.folder("runs")
-    counts = adapter.base_orders(r.table("orders")).groupBy("site_code").count().orderBy("site_code")
-    for site, n in ((row["site_code"], row["count"]) for row in counts.limit(adapter.SITES).collect()):
-        try:
-            with state.logged_run(r.spark, path, "orders", site) as run:
-                if site == "S4":
-                    raise ValueError(site)
-                run["rows"] = n
-        except ValueError:
-            pass
+    counts = adapter.base_orders(r.table("orders")).groupBy("site_code").agg(F.count(F.lit(1)).alias("n"))
+    failed = F.col("site_code") == "S4"
+    runs = counts.select(
+        F.concat(F.lit("orders-"), "site_code").alias("run_id"), F.lit("orders").alias("pipeline_name"), "site_code",
+        F.when(failed, "failed").otherwise("success").alias("status"), F.when(failed, 0).otherwise(F.col("n")).alias("rows_out"),
+        F.when(failed, F.concat(F.lit("ValueError('"), "site_code", F.lit("')"))).alias("error_text"))
+    started = runs.withColumns({"status": F.lit("running"), "rows_out": F.lit(None), "error_text": F.lit(None)})
+    state.log_runs(started, path)
+    state.log_runs(runs, path)
     return state.read_runs(r.spark, path).select(
         "pipeline_name", "site_code", "status", "rows_out", "error_text",
         F.col("start_ts").isNotNull().alias("started"), F.col("end_ts").isNotNull().alias("ended"),
@@ -314,7 +372,7 @@ def _(r):
     from tallyhouse.sources.seeds import read_seed
 
     path = r.folder("seed")
-    r.wh.inputs.country_seed.coalesce(1).write.option("header", True).csv(path)
+    r.wh.inputs.country_seed.write.option("header", True).csv(path)
     seed = read_seed(r.spark, "country_iso_map", path).groupBy("country_code").agg(
         F.max("country_name").alias("country_name"), F.max("region").alias("region")
     )
@@ -334,6 +392,9 @@ def _(r):
 
 # --- streams -----------------------------------------------------------------
 
+#: Rows to a landed file, at most; the number of files follows the input.
+LANDED_ROWS = 100_000
+
 
 @query(
     "s15_stream_products",
@@ -344,7 +405,7 @@ from stg_p""",
 def _(r):
     """Landed product files, a few per micro-batch, into a change log."""
     landed, log = r.folder("landed"), r.folder("log")
-    adapter.product_documents(r.table).select("site_code", "extracted_at", "_payload").repartition(6).write.parquet(landed)
+    adapter.product_documents(r.table).select("site_code", "extracted_at", "_payload").write.option("maxRecordsPerFile", LANDED_ROWS).parquet(landed)
     stream_entity(stream_documents(r.spark, landed, 2), r.folder("cp"), {log: lambda b: landing.land_entity(b, "woo_product_id")})
     rows = loads.read_log(r.spark, log, "site_code string, woo_product_id bigint, date_modified_gmt timestamp, extracted_at timestamp, _payload string")
     return loads.current_rows(rows, ["site_code", "woo_product_id"])
@@ -355,8 +416,8 @@ def _(r):
     """Two pulls of the same orders in one stream: the result is as after one."""
     landed = r.folder("landed")
     docs = documents(r)
-    docs.repartition(2).write.mode("append").parquet(landed)
-    docs.repartition(2).write.mode("append").parquet(landed)
+    for _ in range(2):
+        docs.write.option("maxRecordsPerFile", LANDED_ROWS).mode("append").parquet(landed)
     orders, items = r.folder("orders_log"), r.folder("items_log")
     stream_orders(stream_documents(r.spark, landed, 2), r.folder("cp"), orders, items)
     rows = loads.read_log(
@@ -369,38 +430,65 @@ def _(r):
 
 @query(
     "r2_stream_resumes",
-    "batches:i rows:i",
-    "select 2 as batches, count(*) as rows from events",
+    "resumed:b rows:i",
+    "select true as resumed, count(*) as rows from events",
 )
 def _(r):
-    """A second run of the stream takes only what landed since the first."""
+    """A second run of the stream takes only what landed since the first: all files are
+    taken once, in as many batches as either run's files need."""
     landed, log, checkpoint = r.folder("landed"), r.folder("log"), r.folder("cp")
     schema = "site_code string, event_id bigint, date_modified_gmt timestamp, value double"
     rows = event_rows(r)
     early = F.col("date_modified_gmt") < F.lit("2024-01-20").cast("timestamp")
+    batches, before = 0, 0
     for part in (rows.filter(early), rows.filter(~early)):
-        part.coalesce(1).write.mode("append").parquet(landed)
+        part.write.option("maxRecordsPerFile", LANDED_ROWS).mode("append").parquet(landed)
+        files = len(r.spark.read.parquet(landed).inputFiles())
+        batches, before = batches + -(-(files - before) // 16), files
         stream_entity(stream_documents(r.spark, landed, 16, schema), checkpoint, {log: lambda b: b})
-    return loads.read_log(r.spark, log, schema).agg(F.count_distinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("rows"))
+    taken = F.count_distinct("batch_id") == batches
+    return loads.read_log(r.spark, log, schema).agg(taken.alias("resumed"), F.count(F.lit(1)).alias("rows"))
 
 
 @query(
     "r3_stream_bounded_batches",
-    "batches:i rows:i",
-    "select 4 as batches, count(*) as rows from events",
+    "bounded:b rows:i",
+    "select true as bounded, count(*) as rows from events",
 )
 def _(r):
-    """Eight files at two per batch are four batches."""
+    """At two files per batch there are half as many batches as files."""
     landed, log = r.folder("landed"), r.folder("log")
     schema = "site_code string, event_id bigint, date_modified_gmt timestamp, value double"
-    event_rows(r).repartition(8).write.parquet(landed)
+    event_rows(r).write.option("maxRecordsPerFile", LANDED_ROWS).parquet(landed)
+    batches = -(-len(r.spark.read.parquet(landed).inputFiles()) // 2)
     stream_entity(stream_documents(r.spark, landed, 2, schema), r.folder("cp"), {log: lambda b: b})
-    return loads.read_log(r.spark, log, schema).agg(F.count_distinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("rows"))
+    return loads.read_log(r.spark, log, schema).agg((F.count_distinct("batch_id") == batches).alias("bounded"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("r4_compacted_log", ORDER_ROW, ORDER_ROW_SQL)
+def _(r):
+    """Two batches of stale states, compacted (twice), and a last batch of the true ones."""
+    log, kept = r.folder("log"), r.folder("compacted")
+    orders = landing.land_orders(documents(r))
+    keys = ["site_code", "woo_order_id"]
+    loads.append_batch(orders.withColumn("status", F.lit("draft")), log, 0)
+    loads.append_batch(orders.filter("woo_order_id % 3 = 0"), log, 1)
+    for _ in range(2):
+        loads.compact_log(loads.read_log(r.spark, log, orders.schema.toDDL()), keys, kept)
+    loads.append_batch(orders.filter("woo_order_id % 3 <> 0"), kept, 2)
+    return loads.current_rows(loads.read_log(r.spark, kept, orders.schema.toDDL()), keys)
 
 
 @query("s6_read_cost_sheet", SHEET_SPEC, SHEET_SQL)
 def _(r):
     """The sheet written as CSV files with sub-header lines and line breaks in cells,
     read back and built to cost rows."""
-    path = write_sheet(r)
-    return cost_sheet.build_cost_rows(cost_sheet.read_cost_sheet(r.spark, path, SHEET_HEADERS).drop("_p"))
+    path = write_sheet(r, SHEET_HEADERS)
+    return cost_sheet.build_cost_rows(cost_sheet.read_cost_sheet(r.spark, path, SHEET_HEADERS))
+
+
+@query("s6_read_cost_sheet_reordered", SHEET_SPEC, SHEET_SQL)
+def _(r):
+    """Two exports of the sheet with their columns in different orders."""
+    path = write_sheet(r, SHEET_HEADERS, SHEET_HEADERS[::-1])
+    return cost_sheet.build_cost_rows(cost_sheet.read_cost_sheet(r.spark, path, SHEET_HEADERS))

@@ -149,13 +149,14 @@ def _(r):
     """select cast(strftime(d, '%Y%m%d') as int) as date_sk, d as date_day, year(d) as year, quarter(d) as quarter,
 month(d) as month, strftime(d, '%b') as month_name, day(d) as day_of_month, isodow(d) as iso_day_of_week,
 strftime(d, '%a') as day_name, isodow(d) in (6, 7) as is_weekend
-from (select cast(unnest(generate_series(
-  (select date_trunc('year', min(o_orderdate)) from orders)::timestamp,
-  (select date_trunc('year', max(o_orderdate)) + interval 1 year - interval 1 day from orders)::timestamp,
+from (with days as (select order_date as d from base_order union all select refund_date from stg_r) select cast(unnest(generate_series(
+  (select date_trunc('year', min(d)) from days)::timestamp,
+  (select date_trunc('year', max(d)) + interval 1 year - interval 1 day from days)::timestamp,
   interval 1 day)) as date) as d)""",
 )
 def _(r):
-    return dim_date_spanning(r.table("orders").select(F.col("o_orderdate").cast("date").alias("order_date")), "order_date")
+    orders = r.table("orders").select(F.col("o_orderdate").cast("date").alias("order_date"))
+    return dim_date_spanning(orders, "order_date", (r.wh.stg_refunds, "refund_date"))
 
 
 @query(
@@ -329,11 +330,17 @@ def _(r):
 
 # --- reconciliation ----------------------------------------------------------
 
-COVERAGE_SQL = """select *, round(100.0 * covered_orders / nullif(woo_orders, 0), 2) as all_order_coverage_pct,
-round(100.0 * covered_revenue_orders_with_cogs / nullif(revenue_orders, 0), 2) as cost_coverage_pct,
-round(100.0 * covered_revenue_orders_with_cogs / nullif(revenue_orders, 0), 2) as cogs_coverage_pct,
-case when 100.0 * covered_revenue_orders_with_cogs / nullif(revenue_orders, 0) >= 95 then 'green'
-  when 100.0 * covered_revenue_orders_with_cogs / nullif(revenue_orders, 0) >= 80 then 'yellow' else 'red' end as coverage_tier
+def pct(part: str, whole: str) -> str:
+    return f"cast({part} as double) / nullif({whole}, 0) * 100"
+
+
+# Least percent of each label.
+TIERS = [(95, "green"), (80, "yellow")]
+_BEARING = pct("covered_revenue_orders_with_cogs", "revenue_orders")
+_TIER = " ".join(f"when {_BEARING} >= {least} then '{label}'" for least, label in TIERS)
+
+COVERAGE_SQL = f"""select *, round({pct('covered_orders', 'woo_orders')}, 2) as all_order_coverage_pct,
+round({_BEARING}, 2) as cost_coverage_pct, round({_BEARING}, 2) as cogs_coverage_pct, case {_TIER} else 'red' end as coverage_tier
 from (select case when grouping(f.site_sk) = 1 then '__ALL__' else f.site_sk end as site_sk, count(*) as woo_orders,
 count(s.k) as revenue_orders, count(c.k) as covered_orders, count(c.k) filter (where s.k is not null) as covered_revenue_orders,
 count(c.k) filter (where s.k is not null and c.cogs_usd > 0) as covered_revenue_orders_with_cogs

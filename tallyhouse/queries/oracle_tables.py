@@ -52,7 +52,8 @@ select cast(date '1994-12-01' + to_months(cast(m as int)) as date) as month, m,
     when 'GBP' then cast(1.40 as decimal(10,4)) + cast(0.002 as decimal(10,4)) * cast(m % 30 as int)
     when 'CAD' then cast(0.70 as decimal(10,4)) + cast(0.001 as decimal(10,4)) * cast(m % 25 as int)
   end as rate
-from range(97) t(m), (values ('USD'), ('EUR'), ('GBP'), ('CAD')) v(ccy)
+from (select unnest(range(0, datediff('month', date '1994-12-01', (select greatest(max(cast(o_orderdate as date)),
+    (select max(cast(l_shipdate as date)) from lineitem)) from orders)) + 1)) as m), (values ('USD'), ('EUR'), ('GBP'), ('CAD')) v(ccy)
 where not (ccy = 'CAD' and m < 13)""",
     "base_order": """
 select o_orderkey as k, o_custkey, o_orderpriority, 'S' || (o_orderkey % 5) as site_code,
@@ -75,14 +76,14 @@ select b.*, n_name as nation_name, c_name,
   {share('total', '0.01')} as discount_src,
   {share('total', '0.02')} as tax_src,
   case when k % 97 <> 0 and k % 103 <> 0 then sha256(lower(c_name || '@x.test') || '{SALT}') end as email_hash,
-  (k % 97 = 0 or k % 103 = 0) as is_unknown_email,
+  (k % 97 = 0 or k % 103 = 0 or c_name is null) as is_unknown_email,
   case when k % 7 <> 0 and (k % 2 = 0 or k % 17 = 0) then {share('total', '0.03')} end as stripe_fee,
   case when k % 7 <> 0 and (k % 2 = 1 or k % 17 = 0) then {share('total', '0.02')} end as paypal_fee,
-  case when k % 97 <> 0 and k % 103 <> 0 then sha256(lower(c_name || '@x.test') || '{SALT}')
+  case when k % 97 <> 0 and k % 103 <> 0 and c_name is not null then sha256(lower(c_name || '@x.test') || '{SALT}')
     else 'unknown:' || site_code || ':' || k end as customer_hash
 from base_order b
-join customer on o_custkey = c_custkey
-join nation on c_nationkey = n_nationkey""",
+left join customer on o_custkey = c_custkey
+left join nation on c_nationkey = n_nationkey""",
     "line_base": """
 select *, md5(txt) as h, ('0x' || substr(md5(txt), 1, 3))::int as bucket from (
 select *, cast(l_extendedprice as decimal(18,2)) as price, cast(l_discount as decimal(6,2)) as disc,

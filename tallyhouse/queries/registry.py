@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyhouse.plans.warehouse import Star, Warehouse, publish
 from tallyhouse.queries import adapter
 from tallyhouse.queries.oracle_tables import TABLES
-from tallyhouse.session import pii_salt, shared_dir, tune
+from tallyhouse.session import file_marks, pii_salt, shared_dir, tune
 
 
 class Run:
@@ -48,13 +48,14 @@ class Run:
         return shared_dir(self.spark)
 
 
-_runs: dict[tuple[str, str], Run] = {}
+_runs: dict[tuple, Run] = {}
 
 
 def run_for(spark: SparkSession, sf_dir: str) -> Run:
     tune(spark)
     pii_salt(spark, adapter.SALT)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    # New or changed files make a new run: nothing published before answers for them.
+    key = (spark.sparkContext.applicationId, sf_dir, file_marks(spark, sf_dir))
     if key not in _runs:
         _runs[key] = Run(spark, sf_dir)
     return _runs[key]

@@ -62,6 +62,17 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tallyhouse-")
 
 
+def file_marks(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the Parquet files right under ``path``, and in folders there."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = []
+    for depth in ("*.parquet", "*.parquet/*.parquet"):
+        for entry in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{depth}")) or []:
+            marks.append((entry.getPath().toString(), entry.getLen(), entry.getModificationTime()))
+    return tuple(sorted(marks))
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write a result that several branches of a plan read, and read it back.
 
@@ -76,6 +87,7 @@ def settle(df: DataFrame) -> DataFrame:
 def pii_salt(spark: SparkSession, salt: str | None = None) -> str:
     """The e-mail salt, from ``PII_SALT`` unless given, hidden from plans and logs."""
     value = salt if salt is not None else os.environ["PII_SALT"]
-    if value:
-        spark.conf.set("spark.sql.redaction.string.regex", re.escape(value))
+    if not value:
+        raise ValueError("PII_SALT is empty: e-mails would be hashed without a salt")
+    spark.conf.set("spark.sql.redaction.string.regex", re.escape(value))
     return value

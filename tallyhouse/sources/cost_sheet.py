@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import os
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.clean import (
-    clean_cell, drop_pii, fold_headers, parse_money, parse_order_code, parse_order_date, parse_percent,
+    CELL, clean_cell, drop_pii, fold_headers, parse_money, parse_order_code, parse_order_date, parse_percent,
 )
 from tallyhouse.operators.windows import ffill
 
@@ -40,34 +43,40 @@ LINE_BITS = 33      # a row's number: file number, then line within the file
 def read_cost_sheet(spark: SparkSession, path: str, headers: list[str]) -> DataFrame:
     """All-text rows in file order, without the two sub-header rows of each file.
 
-    Cells may hold line breaks, so a file is one task; a sheet export is bounded
-    by what a spreadsheet holds, and many exports are read side by side.
+    Columns are taken by each file's own header line, wherever they stand; a column
+    that is missing is empty, one that is not in ``headers`` fails the read. Cells may
+    hold line breaks, so a file is one task; a sheet export is bounded by what a
+    spreadsheet holds, and many exports are read side by side. Files are numbered by
+    path, from the file listing.
     """
-    schema = ", ".join(f"`{h}` string" for h in headers)
-    sheet = (
-        spark.read.schema(schema)
-        .options(header=True, multiLine=True, quote='"', escape='"', nullValue="\u0001", emptyValue="")
-        .csv(path)
-        .fillna("")
-        .withColumn("_file", F.col("_metadata.file_path"))
-        .withColumn("_seq", F.monotonically_increasing_id())
-    )
+    cells = [f"_c{i}" for i in range(len(headers) + 1)]     # one more, to see a file that is too wide
+    reader = spark.read.schema(", ".join(f"{c} string" for c in cells))
+    sheet = reader.options(header=False, multiLine=True, quote='"', escape='"', nullValue="\u0001", emptyValue="").csv(path)
+    files = sorted(unquote(os.path.basename(f)) for f in sheet.inputFiles())
+    if len(set(files)) < len(files):
+        raise ValueError("files of one sheet need names of their own")
+    numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _nr bigint")
+    lines = sheet.select(
+        F.array(*cells).alias("_cells"), F.url_decode(F.col("_metadata.file_name")).alias("_file"), F.monotonically_increasing_id().alias("_seq"))
     in_file = Window.partitionBy("_file").orderBy("_seq")
-    numbered = sheet.withColumn("_line", F.row_number().over(in_file))
-    paths = sheet.select("_file").distinct()        # one row per export
-    by_path = paths.withColumn("_nr", F.row_number().over(Window.orderBy("_file")).cast("bigint"))
-    return (
-        numbered.filter(F.col("_line") > SUB_HEADER_ROWS)
-        .join(by_path, "_file")
-        .withColumn(ROW, F.shiftleft("_nr", LINE_BITS) + F.col("_line"))
-        .drop("_file", "_seq", "_line", "_nr")
-    )
+    whole = in_file.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = lines.select("*", F.row_number().over(in_file).alias("_line"), F.first("_cells").over(whole).alias("_head"))
+    unknown = F.filter("_head", lambda c: c.isNotNull() & (c != "") & ~c.isin(*headers))
+    checked = F.when(F.size(unknown) > 0, F.raise_error(F.concat(F.lit("unknown columns in "), "_file", F.lit(": "), F.array_join(unknown, ", ")))).otherwise(F.col("_cells"))
+    body = numbered.filter(F.col("_line") > 1 + SUB_HEADER_ROWS).withColumn("_cells", checked)
+
+    def cell(header: str) -> Column:
+        at = F.array_position("_head", header).cast("int")
+        return F.coalesce(F.when(at > 0, F.element_at("_cells", at)), F.lit("")).alias(header)
+
+    return body.join(numbers, "_file").select(
+        *[cell(h) for h in headers], (F.shiftleft("_nr", LINE_BITS) + F.col("_line")).alias(ROW))
 
 
 def classify_money(df: DataFrame) -> list:
     """The money and ratio columns of the sheet, each parsed by its class."""
     return [
-        (parse(F.col(f"`{header}`")) if header in df.columns else F.lit(None).cast("decimal(18,6)")).alias(name)
+        (parse(F.col(f"`{header}`")) if header in df.columns else F.lit(None).cast(CELL)).alias(name)
         for spec, parse in CLASSES
         for header, name in spec.items()
     ]

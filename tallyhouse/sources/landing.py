@@ -3,6 +3,10 @@
 Input: a DataFrame ``(site_code, extracted_at, _payload STRING)`` as read from
 landed JSON lines, all sites together. Raw rows promote a few fields and keep the
 whole document as text. No step here shuffles.
+
+A document that can't be read, or has no id, lands nowhere: ``rejects`` lists them all and
+``assert_few_rejects`` stops a load with too many. Lines of such orders are not landed
+either; their documents are in the list.
 """
 
 from __future__ import annotations
@@ -25,10 +29,42 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _parsed(docs: DataFrame, fields: str) -> DataFrame:
+    """The document's promoted fields as ``d``, all text, from one parse; bad documents too."""
+    schema = ", ".join(f if " " in f else f"{f} string" for f in [*fields.split(", "), CORRUPT])
+    return docs.withColumn("d", F.from_json("_payload", schema, {"columnNameOfCorruptRecord": CORRUPT}))
+
+
+def _good() -> Column:
+    return F.col("d").isNotNull() & F.col(f"d.{CORRUPT}").isNull() & F.col("d.id").isNotNull()
+
+
 def _promoted(docs: DataFrame, fields: str) -> DataFrame:
-    """The document's promoted fields as ``d``, all text, from one parse."""
-    schema = ", ".join(f if " " in f else f"{f} string" for f in fields.split(", "))
-    return docs.withColumn("d", F.from_json("_payload", schema))
+    return _parsed(docs, fields).filter(_good())
+
+
+def rejects(docs: DataFrame) -> DataFrame:
+    """Documents that can't be landed, with the reason; keep them beside the raw tables."""
+    bad = _parsed(docs, "id").filter(~F.coalesce(_good(), F.lit(False)))
+    unread = F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()
+    return bad.select("site_code", "extracted_at", "_payload", F.when(unread, "not a document").otherwise("no id").alias("reason"))
+
+
+def landed_counts(docs: DataFrame) -> DataFrame:
+    """Good and rejected documents per site."""
+    good = F.coalesce(_good(), F.lit(False))
+    return _parsed(docs, "id").groupBy("site_code").agg(F.count_if(good).alias("landed"), F.count_if(~good).alias("rejected"))
+
+
+def assert_few_rejects(docs: DataFrame, share: float = 0.01) -> None:
+    """Fail where more than ``share`` of a site's documents are bad."""
+    over = landed_counts(docs).filter(F.col("rejected") > F.lit(share) * (F.col("landed") + F.col("rejected")))
+    worst = over.orderBy(F.desc("rejected"), "site_code").first()
+    if worst is not None:
+        raise ValueError(f"{worst['rejected']} of {worst['landed'] + worst['rejected']} documents of {worst['site_code']} are bad")
 
 
 def _id() -> Column:
@@ -56,7 +92,7 @@ def land_order_items(docs: DataFrame) -> DataFrame:
     lines = orders.select(
         "site_code", _id().alias("woo_order_id"), "extracted_at", F.explode("d.line_items").alias("_payload")
     )
-    return _promoted(lines, "id").select(
+    return _parsed(lines, "id").select(
         "site_code", "woo_order_id", _id().alias("woo_order_item_id"), "extracted_at", "_payload"
     )
 
@@ -87,7 +123,7 @@ def land_refunds(docs: DataFrame) -> DataFrame:
 def orders_with_refunds(orders: DataFrame) -> DataFrame:
     """Orders whose refund summary is not empty: the only ones to ask further about."""
     listed = F.size(F.col("d.refunds")) > 0
-    return _promoted(orders, "refunds array<string>").filter(F.coalesce(listed, F.lit(False))).drop("d")
+    return _promoted(orders, "id, refunds array<string>").filter(F.coalesce(listed, F.lit(False))).drop("d")
 
 
 def incremental_slice(

@@ -7,7 +7,7 @@ Two shapes are used:
 * a **change log** is appended batch by batch, one folder per batch id. A retried
   batch overwrites only its own folder, and nothing written before is rewritten,
   so the cost of a batch does not grow with the table. The current rows are the
-  last write per key; ``snapshot_reload`` of them now and then keeps reads short.
+  last write per key; ``compact_log`` now and then keeps reads short.
 """
 
 from __future__ import annotations
@@ -74,6 +74,16 @@ def current_rows(log: DataFrame, keys: list[str], order: Column | None = None) -
     return last_write(log, keys, rank).drop(BATCH)
 
 
+def compact_log(log: DataFrame, keys: list[str], target: str, order: Column | None = None) -> None:
+    """Write the last write per key into a new log folder, under the batch it came in.
+
+    Later batches are appended to ``target``; the old folder goes when its owner sees no
+    more readers. Running it again writes the same rows.
+    """
+    rank = F.struct(F.col(BATCH), order if order is not None else F.col("extracted_at"))
+    last_write(log, keys, rank).write.mode("overwrite").partitionBy(BATCH).parquet(target)
+
+
 def current_children(
     children_log: DataFrame, parents_log: DataFrame, parent_keys: list[str], keys: list[str]
 ) -> DataFrame:

@@ -34,6 +34,11 @@ def read_watermarks(spark: SparkSession, path: str) -> DataFrame:
     return last_write(log, ["site_code", "entity"], F.col("updated_at"))
 
 
+def compact_watermarks(spark: SparkSession, path: str, target: str) -> None:
+    """The newest mark per site and entity, into a new log folder."""
+    read_watermarks(spark, path).write.mode("overwrite").parquet(target)
+
+
 def log_run(
     spark: SparkSession, path: str, run_id: str, pipeline: str, site: str, status: str,
     rows: int | None = None, error: str | None = None,
@@ -55,6 +60,18 @@ def log_run(
     row.write.mode("append").parquet(path)
 
 
+def log_runs(runs: DataFrame, path: str) -> None:
+    """Append a state of many runs at once: ``run_id``, ``pipeline_name``, ``site_code``,
+    ``status``, ``rows_out``, ``error_text``."""
+    now, finished = F.current_timestamp(), F.col("status") != "running"
+    runs.select(
+        "run_id", "pipeline_name", "site_code",
+        F.when(~finished, now).alias("start_ts"), F.when(finished, now).alias("end_ts"),
+        "status", F.col("rows_out").cast("bigint").alias("rows_out"), F.col("error_text").cast("string").alias("error_text"),
+        now.alias("logged_at"),
+    ).write.mode("append").parquet(path)
+
+
 @contextmanager
 def logged_run(spark: SparkSession, path: str, pipeline: str, site: str):
     """Log the start, then success or failure; a failure is raised again."""

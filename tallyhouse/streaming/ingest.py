@@ -34,8 +34,14 @@ def stream_entity(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for path, mapper in targets.items():
-            append_batch(mapper(batch), path, batch_id)
+        if len(targets) > 1:        # read the files once for all mappers
+            batch = batch.persist()
+        try:
+            for path, mapper in targets.items():
+                append_batch(mapper(batch), path, batch_id)
+        finally:
+            if len(targets) > 1:
+                batch.unpersist()
 
     query = (
         docs.writeStream.foreachBatch(write)
