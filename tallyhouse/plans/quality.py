@@ -39,6 +39,17 @@ SUITE: dict[str, dict] = {
         "unique": [("site_code", "woo_order_id", "woo_order_item_id")],
         "not_null": ["woo_order_item_id", "quantity"],
     },
+    "stg_products": {"unique": [("site_code", "woo_product_id")], "not_null": ["site_code", "woo_product_id"]},
+    "stg_refunds": {
+        "unique": [("site_code", "woo_refund_id")],
+        "not_null": ["site_code", "woo_refund_id", "woo_order_id", "refund_amount_src", "refund_date"],
+        "holds": {"refund_amount_src >= 0": lambda: F.col("refund_amount_src") >= 0},
+    },
+    "stg_cost": {
+        "unique": [("site_code", "woo_order_id")],
+        "not_null": ["site_code", "woo_order_id", "cost_source", "cost_allocation_method", "cost_confidence"],
+        "holds": {"cost_confidence between 0 and 1": lambda: F.col("cost_confidence").between(0, 1)},
+    },
     "dim_date": {"unique": ["date_sk", "date_day"], "not_null": ["date_sk", "date_day"]},
     "dim_site": {"unique": ["site_sk", "site_code"], "not_null": ["site_sk", "site_code"]},
     "dim_country": {"unique": ["country_sk", "country_code"], "not_null": ["country_sk", "country_code"]},

@@ -8,7 +8,7 @@ from tallyhouse.operators import checks
 from tallyhouse.operators.setops import set_diff
 from tallyhouse.plans import quality
 from tallyhouse.plans.facts import ORDER
-from tallyhouse.queries.registry import query
+from tallyhouse.queries.registry import oracle_sql, query
 
 
 @query("x1_not_null", "woo_order_id:i", "select k as woo_order_id from stg_o where country is null")
@@ -126,6 +126,33 @@ def _(r):
     return quality.missing_rates(r.star.stg_orders, r.wh.fx)
 
 
-@query("x_schema_suite", "model:s rule:s severity:s violations:i", None)
+def suite_sql() -> str:
+    """The declared rules over the SQL of the model queries, whose columns have the same names."""
+    known = oracle_sql()
+    source = {m: next(sql for name, sql in known.items() if name.split("_", 1)[1] == m) for m in quality.SUITE}
+    rows = []
+
+    def rule(model: str, name: str, count: str) -> None:
+        rows.append(f"select '{model}' as model, '{name}' as rule, ({count}) as violations")
+
+    for m, rules in quality.SUITE.items():
+        for c in rules.get("not_null", []):
+            rule(m, f"not_null {c}", f"select count(*) from t_{m} where {c} is null")
+        for c, labels in rules.get("accepted", {}).items():
+            listed = ", ".join(f"'{x}'" for x in labels)
+            rule(m, f"accepted {c}", f"select count(*) from t_{m} where {c} not in ({listed})")
+        for condition in rules.get("holds", {}):
+            rule(m, condition, f"select count(*) from t_{m} where not ({condition})")
+        for key in rules.get("unique", []):
+            keys = [key] if isinstance(key, str) else list(key)
+            rule(m, f"unique {' '.join(keys)}", f"select count(*) from (select 1 from t_{m} group by {', '.join(keys)} having count(*) > 1)")
+        for fk, parent in rules.get("parents", {}).items():
+            rule(m, f"{fk} in {parent}", f"select count(distinct {fk}) from t_{m} where {fk} is not null and {fk} not in (select {fk} from t_{parent})")
+    tables = ",\n".join(f"t_{m} as materialized ({sql})" for m, sql in source.items())
+    union = "\nunion all ".join(rows)
+    return f"select model, rule, 'error' as severity, violations from (with {tables}\n{union})"
+
+
+@query("x_schema_suite", "model:s rule:s severity:s violations:i", suite_sql())
 def _(r):
     return quality.run_suite(r.star)

@@ -1,7 +1,8 @@
 """Measures, periods, quality and plan shapes over the published star."""
 
 import os
-from datetime import date
+from datetime import date, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tallyhouse.plans import quality
 from tallyhouse.plans.dims import dim_date
 from tallyhouse.plans.measures import evaluate
 from tallyhouse.plans.period import WINDOWS, period_delta
+from tallyhouse.plans.reports import growth_12_months, last_order_day
 from tallyhouse.plans.staging import stg_order_items, stg_orders
 from tallyhouse.sources.seeds import country_map
 
@@ -95,6 +97,27 @@ def test_period_needs_what_it_needs(star):
         period_delta(star, "nothing", "MoM")
 
 
+@pytest.mark.parametrize("kind", [*WINDOWS, "PoP", "SPLY"])
+@pytest.mark.parametrize("measure, by", [("revenue", []), ("revenue", ["country_name"]), ("paid_orders", [])])
+def test_periods_read_a_date_range(star, kind, measure, by):
+    chosen = ("1998-02-10", "1998-05-20") if kind in ("PoP", "SPLY") else None
+    shown = plan(period_delta(star, measure, kind, by, chosen))
+    pushed = [line for line in shown.splitlines() if "PushedFilters" in line and "date_sk" in line]
+    assert pushed and all("GreaterThanOrEqual(date_sk," in line and "LessThanOrEqual(date_sk," in line for line in pushed)
+
+
+def test_growth_is_anchored_on_the_last_order(star, run):
+    """Cancelled orders only on the last day: no revenue there, yet the window ends there."""
+    last = star.fact_order.agg(F.max("date_sk")).first()[0]
+    late = date(last // 10000, last // 100 % 100, last % 100) + timedelta(20)
+    more = star.fact_order.limit(1).withColumns({"date_sk": F.lit(late.year * 10000 + late.month * 100 + late.day), "status": F.lit("cancelled")})
+    other = SimpleNamespace(**{n: getattr(star, n) for n in ("fact_order_item", "dim_date")}, fact_order=star.fact_order.unionByName(more))
+    assert last_order_day(other) == late
+    want = period_delta(star, "revenue", "T12M", as_of=late).first()
+    assert growth_12_months(other).first() == want
+    assert want.current_value != growth_12_months(star).first().current_value
+
+
 def test_previous_window_empty_gives_null(star):
     first = star.fact_order.agg(F.min("date_sk")).first()[0]
     day = date(first // 10000, first // 100 % 100, first % 100).isoformat()
