@@ -380,6 +380,93 @@ def _(r):
     return counted.join(seed, "country_code", "left")
 
 
+def seed_round(r, name: str, rows: DataFrame) -> DataFrame:
+    """A seed written as CSV with its columns in reverse, and read back."""
+    from tallyhouse.sources.seeds import read_seed
+
+    path = r.folder("seed")
+    rows.select(*rows.columns[::-1]).write.option("header", True).csv(path)
+    return read_seed(r.spark, name, path)
+
+
+@query(
+    "s16_payment_fees",
+    "payment_method:s fee_percent:m fixed_fee_usd:m orders:i",
+    """select o_orderpriority as payment_method, case o_orderpriority when '1-URGENT' then 0.029 when '2-HIGH' then 0.019 end as fee_percent,
+case o_orderpriority when '1-URGENT' then 0.3 when '2-HIGH' then 0.2 end as fixed_fee_usd, count(*) as orders from orders group by all""",
+)
+def _(r):
+    """Active fee rows joined to the orders' methods."""
+    fees = seed_round(r, "payment_fees", r.wh.inputs.fees).filter("is_active").select("payment_method", "fee_percent", "fixed_fee_usd")
+    orders = r.table("orders").groupBy(F.col("o_orderpriority").alias("payment_method")).agg(F.count(F.lit(1)).alias("orders"))
+    return orders.join(fees, "payment_method", "left")
+
+
+@query(
+    "s16_site_seed",
+    "site_code:s site_name:s is_active:b",
+    "select 'S' || r_regionkey as site_code, r_name as site_name, r_regionkey <> 4 as is_active from region",
+)
+def _(r):
+    return seed_round(r, "dim_site_seed", r.wh.inputs.site_seed)
+
+
+@query(
+    "s16_supplier_seed",
+    "supplier_code:s supplier_name:s sla_days:i is_active:b lines:i",
+    """select 'V' || s_suppkey as supplier_code, s_name as supplier_name, s_suppkey % 9 + 1 as sla_days, s_suppkey % 6 <> 0 as is_active,
+(select count(*) from lineitem where l_suppkey = s_suppkey) as lines from supplier""",
+)
+def _(r):
+    k = F.col("s_suppkey")
+    rows = r.table("supplier").select(
+        F.concat(F.lit("V"), k.cast("string")).alias("supplier_code"), F.col("s_name").alias("supplier_name"), k.cast("string").alias("supplier_store_id"),
+        (k % 9 + 1).alias("sla_days"), (k % 6 != 0).alias("is_active"))
+    lines = r.table("lineitem").groupBy(F.col("l_suppkey").cast("string").alias("supplier_store_id")).agg(F.count(F.lit(1)).alias("lines"))
+    return seed_round(r, "dim_supplier_seed", rows).join(lines, "supplier_store_id", "left").fillna(0, ["lines"])
+
+
+@query(
+    "s16_product_cogs",
+    "sku:s cogs_usd:m quantity:i",
+    """select 'SKU-' || p_partkey as sku, cast(p_retailprice * 0.4 as decimal(18,2)) as cogs_usd,
+(select sum(l_quantity) from lineitem where l_partkey = p_partkey) as quantity from part where p_partkey % 5 <> 0""",
+)
+def _(r):
+    """Unit costs of the active products beside what was sold of them."""
+    k = F.col("p_partkey")
+    cost = (F.col("p_retailprice").cast("decimal(18,2)") * F.lit("0.4").cast("decimal(2,1)")).cast("decimal(18,2)")
+    rows = r.table("part").select(
+        F.concat(F.lit("SKU-"), k.cast("string")).alias("product_sku"), cost.alias("cogs_usd"), F.lit("list").alias("source"), (k % 5 != 0).alias("is_active"))
+    sold = r.table("lineitem").groupBy(F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("product_sku")).agg(F.sum("l_quantity").alias("quantity"))
+    kept = seed_round(r, "product_cogs", rows).filter("is_active").join(sold, "product_sku", "left")
+    return kept.withColumnRenamed("product_sku", "sku")
+
+
+@query(
+    "s16_utm_campaign_map",
+    "channel_grouping:s is_paid:b events:i",
+    """select case event_type when 'purchase' then 'Direct' when 'click' then 'Ads' else 'Other' end as channel_grouping,
+event_type = 'click' as is_paid, count(*) as events from events group by all""",
+)
+def _(r):
+    """Event types as campaigns, mapped to channels."""
+    kind = F.col("event_type")
+    rows = r.table("events").select(kind).distinct().select(
+        F.lit("S0").alias("site_code"), kind.alias("utm_campaign"),
+        F.when(kind == "purchase", "Direct").when(kind == "click", "Ads").otherwise("Other").alias("channel_grouping"), (kind == "click").alias("is_paid"))
+    seed = seed_round(r, "utm_campaign_map", rows)
+    met = r.table("events").join(seed, F.col("event_type") == F.col("utm_campaign"))
+    return met.groupBy("channel_grouping", "is_paid").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("s16_fx_rates", "currency:s month:d rate:m", "select lower(ccy) as currency, month, rate from fx_quote")
+def _(r):
+    rows = adapter.fx_quotes(r.spark, adapter.last_day(r.table)).filter(F.col("usd_rate").isNotNull())
+    rows = rows.select(F.col("rate_date").alias("date"), "currency", "usd_rate", F.lit("list").alias("source"))
+    return seed_round(r, "fx_rates", rows).select("currency", F.col("date").alias("month"), F.col("usd_rate").alias("rate"))
+
+
 @query(
     "s17_active_sites",
     "site_code:s orders:i",

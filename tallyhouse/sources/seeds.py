@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from importlib.resources import files
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,17 @@ SEED_SCHEMAS = {
 
 
 def read_seed(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A seed CSV with a header line, ``#`` comments allowed."""
-    reader = spark.read.schema(SEED_SCHEMAS[name]).option("header", True).option("comment", "#")
-    return reader.csv(path)
+    """A seed CSV with a header line, ``#`` comments allowed.
+
+    Columns are taken by name, wherever they stand; a missing one fails, others are
+    left out. All files of a seed have the header of the first.
+    """
+    rows = spark.read.options(header=True, comment="#", enforceSchema=False).csv(path)
+    wanted = [c.strip().split(" ", 1) for c in re.split(r",(?![^(]*\))", SEED_SCHEMAS[name])]
+    missing = [c for c, _ in wanted if c not in rows.columns]
+    if missing:
+        raise ValueError(f"seed {name} lacks the columns {missing}")
+    return rows.select(*[rows[c].cast(kind).alias(c) for c, kind in wanted])
 
 
 def country_map(spark: SparkSession) -> DataFrame:
