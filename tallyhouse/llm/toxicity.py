@@ -92,7 +92,7 @@ def label_model(votes: np.ndarray, toxic: np.ndarray, rounds: int = 25) -> np.nd
     return post
 
 
-def linear(rows: np.ndarray, cols: np.ndarray, n: int, k: int, target: np.ndarray, rounds: int = 300, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+def linear(rows: np.ndarray, cols: np.ndarray, n: int, k: int, target: np.ndarray, rounds: int = 500, ridge: float = 1e-5) -> tuple[np.ndarray, float]:
     """Logistic regression on a sparse 0/1 matrix by accelerated gradient steps."""
     per_row = np.bincount(rows, minlength=n)
     step = 4 / (1 + np.percentile(per_row, 90))
