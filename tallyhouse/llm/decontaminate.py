@@ -126,7 +126,7 @@ def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
-_WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), x -> x <> '')"
+_WORDS = "[x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if x <> '']"
 
 OP1_SQL = f"""
 with d as materialized (
@@ -135,7 +135,7 @@ with d as materialized (
   select item_id, {_WORDS} as w from benchmark
 ), win as (
   select distinct item_id, len(x) as n, array_to_string(x, ' ') as win
-  from (select item_id, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), s -> w[s:s + 12])) as x from i where len(w) > 0)
+  from (select item_id, unnest([w[s:s + 12] for s in range(1, greatest(len(w) - 12, 1) + 1)]) as x from i where len(w) > 0)
 ), sizes as (
   select distinct n from win
 ), grams as (

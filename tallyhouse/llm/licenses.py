@@ -5,7 +5,8 @@ and joined to its places in the templates; the words are compared, so a vote is
 hash collision. Votes are summed by *diagonal*, the text position minus the template
 position. A diagonal with all its votes is an exact occurrence. Neighbouring diagonals
 (words inserted or left out) are merged, and a merged span counts if its votes cover
-enough different places of the template.
+enough different places of the template; of notices that begin at the same word, only the
+best covered.
 
 The templates are a fixed list, which bounds what is broadcast.
 
@@ -85,6 +86,9 @@ def spans(docs: DataFrame) -> DataFrame:
     merged = runs.groupBy("doc_id", "h", "tid", "label", "base", "places", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.size(F.array_distinct(F.flatten(F.collect_list("offs")))).alias("held"))
     merged = merged.withColumn("score", F.col("held") / F.col("places")).filter(F.col("score") >= PART)
+    # Of notices that begin at the same word (versions of one licence) the best one counts.
+    best = F.max("score").over(W.partitionBy("doc_id", "h", "start"))
+    merged = merged.withColumn("best", best).filter(F.col("score") == F.col("best"))
     return exact.unionByName(merged.select("doc_id", "h", "label", "base", "start", "end", "score"))
 
 
