@@ -59,7 +59,14 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="tallyhouse-")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="tallyhouse-")
+    return _local[app]
+
+
+_local: dict[str, str] = {}
+_settled: list[str] = []
 
 
 def file_marks(spark: SparkSession, path: str) -> tuple:
@@ -76,14 +83,25 @@ def file_marks(spark: SparkSession, path: str) -> tuple:
 def settle(df: DataFrame) -> DataFrame:
     """Write a result that several branches of a plan read, and read it back.
 
-    The branches then share one computation, and its lineage ends here.
+    The branches then share one computation, and its lineage ends here. The job that
+    writes the final result owns these tables: ``drop_settled`` removes them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
+    _settled.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_settled(spark: SparkSession) -> int:
+    """Remove what this process has settled; results that still read it are void then."""
+    paths, _settled[:] = list(_settled), []
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
+
+
 def pii_salt(spark: SparkSession, salt: str | None = None) -> str:
     """The e-mail salt, from ``PII_SALT`` unless given, hidden from plans and logs."""
     value = salt if salt is not None else os.environ["PII_SALT"]

@@ -164,3 +164,25 @@ def test_failed_batch_is_repeated(spark, rows, tmp_path):
     stream_entity(stream_documents(spark, landed), cp, {log: landing.land_orders})
     stream_entity(stream_documents(spark, landed), cp, {log: landing.land_orders})
     assert spark.read.parquet(log).count() == 1
+
+
+def test_seed_columns_are_found_by_name(spark, tmp_path):
+    from tallyhouse.sources.seeds import read_seed
+
+    (tmp_path / "fees.csv").write_text("# terms\nis_active,source,extra,payment_method,fixed_fee_usd,fee_percent,country_code\ntrue,x,1,card,0.10,0.015,\n")
+    (row,) = read_seed(spark, "payment_fees", str(tmp_path)).collect()
+    assert (row.payment_method, float(row.fee_percent), float(row.fixed_fee_usd), row.country_code, row.is_active) == ("card", 0.015, 0.1, None, True)
+    with pytest.raises(ValueError, match="usd_rate"):
+        read_seed(spark, "fx_rates", str(tmp_path))
+
+
+def test_compacted_log_reads_alike(spark, rows, tmp_path):
+    log, kept = str(tmp_path / "log"), str(tmp_path / "kept")
+    schema = "k int, v string, extracted_at timestamp"
+    for batch, data in enumerate(([(1, "a", PULLED), (2, "b", PULLED)], [(2, "c", PULLED)])):
+        loads.append_batch(rows(data, schema), log, batch)
+    for _ in range(2):
+        loads.compact_log(loads.read_log(spark, log, schema), ["k"], kept)
+        assert sorted((r.k, r.v, r.batch_id) for r in loads.read_log(spark, kept, schema).collect()) == [(1, "a", 0), (2, "c", 1)]
+    loads.append_batch(rows([(1, "d", PULLED)], schema), kept, 2)
+    assert sorted((r.k, r.v) for r in loads.current_rows(loads.read_log(spark, kept, schema), ["k"]).collect()) == [(1, "d"), (2, "c")]

@@ -131,3 +131,14 @@ def test_set_difference(spark):
     a = spark.createDataFrame([("x",), ("y",)], "k string")
     b = spark.createDataFrame([("y",), ("z",)], "k string")
     assert sorted((r.k, r.issue) for r in setops.set_diff(a, b, "k").collect()) == [("x", "missing_from_seed"), ("z", "unexpected_in_seed")]
+
+
+def test_settled_tables_are_dropped_by_their_owner(spark, monkeypatch):
+    from tallyhouse import session
+
+    monkeypatch.setattr(session, "_settled", [])
+    kept = session.settle(spark.range(5))
+    (path,) = session._settled
+    assert kept.count() == 5 and session.drop_settled(spark) == 1
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
