@@ -3,10 +3,12 @@
 The model is split over *shards* by context word, the corpus into *batches* of documents;
 both numbers follow the corpus, so neither a shard nor a batch outgrows a task.
 
-1. ``survey`` counts tokens and finds the words so frequent that their successors must be
-   dealt out over several shards (at most ``HOTTEST`` words, whatever the corpus).
-2. Each batch sends every shard one message: its distinct pairs with their training
-   counts. A pair is sent once a batch, however often it occurs.
+1. ``survey`` counts every word once: tokens, vocabulary, and the words so frequent that
+   their successors must be dealt out over several shards (at most ``HOTTEST`` words,
+   whatever the corpus, with their counts).
+2. Each batch sends the shards it has pairs for one message: its distinct pairs with their
+   training counts. A pair is sent once a batch, however often it occurs, and a shard
+   without any is sent nothing: messages never outnumber pairs.
 3. A shard adds the counts up, builds its trie and answers every message: exact counts of
    the contexts, quantised log10 probabilities of the pairs.
 4. Each batch scores its documents with the answers.
@@ -33,14 +35,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import prepare, table, texts
+from tallyhouse.llm.common import prepare, settle, table, texts
 from tallyhouse.llm.ngram_trie import Trie, dequantise
 
 FOLDS, HELD_OUT = 7, 2
 #: Tokens to a batch and to a shard, about.
 BATCH_TOKENS, SHARD_TOKENS = 1_000_000, 2_000_000
 #: A word is hot from this part of a shard's load; at most so many words are.
-HOT_PART, HOTTEST = 0.25, 10_000
+HOT_PART, HOTTEST = 0.25, 250_000
+#: Distinct words a task of the survey holds before it hands them on.
+HELD_WORDS = 1_000_000
 #: How many tokens the unigram model is worth after a context.
 PRIOR = 100.0
 START, END = b"\n", b"\n\n"      # no word holds a line end
@@ -54,45 +58,56 @@ def word_hash(words) -> np.ndarray:
 class Survey:
     train_tokens: int
     train_docs: int
+    vocabulary: int
     batches: int
     shards: int
-    hot: np.ndarray        # hashes of hot contexts, sorted
-    parts: np.ndarray      # over how many shards each is dealt
+    hot: np.ndarray        # hashes of hot words, sorted
+    parts: np.ndarray      # over how many shards each is dealt as a context
+    counts: np.ndarray     # how often each occurs in training texts
 
 
-def survey(docs: DataFrame) -> Survey:
-    """Token counts and hot words. A word hot in the corpus is as hot in some task."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word`` (its hash), ``n``, ``train`` of every word; ``START`` stands once for every text."""
+
+    def rows(seen: Counter, trained: bool) -> pa.RecordBatch:
+        n = pa.array(seen.values(), pa.int64())
+        words = pa.array(word_hash(seen).view(np.int64))
+        return pa.RecordBatch.from_arrays([words, n, n if trained else pa.array(np.zeros(len(seen), np.int64))], names=["word", "n", "train"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, tokens, train, n = Counter(), 0, 0, 0
+        seen = {False: Counter(), True: Counter()}      # by training text or not
         for batch in batches:
             for text, held in zip(batch["text"].to_pylist(), batch["held_out"].to_pylist()):
-                words = text.encode().lower().split()
-                seen.update(words)
-                seen[START] += 1
-                tokens += len(words) + 1
-                if not held:
-                    train += len(words) + 1
-                    n += 1
-            if len(seen) > 2_000_000:      # rare words can't be hot; keep the table bounded
-                seen = Counter({w: c for w, c in seen.items() if c * HOTTEST * 4 >= tokens})
-        heavy = {w: c for w, c in seen.items() if c * HOTTEST * 2 >= tokens}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([b"", *heavy], pa.binary()), pa.array([tokens, *heavy.values()], pa.int64()),
-             pa.array([train] + [0] * len(heavy), pa.int64()), pa.array([n] + [0] * len(heavy), pa.int64())], names=["word", "n", "train", "docs"])
-
-    kinds = "word binary, n long, train long, docs long"
-    sums = docs.select("text", "held_out").mapInArrow(count, kinds).groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "train", "docs")])
-    rows = sums.orderBy(F.length("word") > 0, F.col("n").desc(), "word").limit(HOTTEST + 1).collect()
-    if not rows or rows[0]["word"]:
-        return Survey(0, 0, 1, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    tokens = int(rows[0]["n"])
+                own = seen[not held]
+                own.update(text.encode().lower().split())
+                own[START] += 1
+                if len(own) > HELD_WORDS:
+                    yield rows(own, not held)
+                    own.clear()
+        for trained, own in seen.items():
+            yield rows(own, trained)
+
+    counted = docs.select("text", "held_out").mapInArrow(count, "word long, n long, train long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("train").alias("train"))
+
+
+def survey(docs: DataFrame) -> Survey:
+    """Totals of the corpus and its hot words. ``START`` is counted as often as ``END`` is,
+    so its row stands for that token in all sums."""
+    words = settle(word_counts(docs))
+    start = int(word_hash([START]).view(np.int64)[0])
+    of_start = F.max(F.when(F.col("word") == start, F.col("train"))).alias("docs")
+    total = words.agg(F.sum("n").alias("n"), F.sum("train").alias("train"), F.count_if(F.col("train") > 0).alias("words"), of_start).first()
+    tokens = int(total["n"] or 0)
     shards = -(-max(tokens, 1) // SHARD_TOKENS)
-    hot = [(bytes(r["word"]), r["n"] * shards / max(tokens, 1)) for r in rows[1:]]
-    hot = [(w, -(-int(load * 1000) // int(HOT_PART * 1000))) for w, load in hot if load >= HOT_PART and shards > 1]
-    hashes, parts = word_hash([w for w, _ in hot]), np.array([p for _, p in hot], np.int64)
+    hot = words.filter(F.col("n") * shards >= HOT_PART * tokens) if shards > 1 else words.filter("false")
+    hot = hot.orderBy(F.col("n").desc(), "word").limit(HOTTEST).toArrow()      # bounded
+    hashes, n, train = (hot[c].to_numpy().astype(np.int64) for c in ("word", "n", "train"))
+    hashes = hashes.view(np.uint64)
     order = np.argsort(hashes)
-    return Survey(int(rows[0]["train"]), int(rows[0]["docs"]), -(-max(tokens, 1) // BATCH_TOKENS), shards, hashes[order], np.maximum(parts[order], 1))
+    parts = np.ceil(n * (shards / max(tokens, 1)) / HOT_PART).astype(np.int64)
+    return Survey(int(total["train"] or 0), int(total["docs"] or 0), int(total["words"] or 0), -(-max(tokens, 1) // BATCH_TOKENS), shards,
+                  hashes[order], np.maximum(parts, 1)[order], train[order])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -128,28 +143,29 @@ class Pairs:
         code = at[:-1][first[:-1]] * len(self.hashes) + at[1:][first[:-1]] if len(at) else np.zeros(0, np.int64)
         code, where = np.unique(code, return_inverse=True)
         v, w = code // len(self.hashes), code % len(self.hashes)
-        # Contexts: all words of the batch, and the hot ones, which go to all their shards.
-        known = np.union1d(np.delete(self.hashes, self.end), s.hot)
-        parts = np.ones(len(known), np.int64)
-        parts[np.searchsorted(known, s.hot)] = s.parts
-        context = np.searchsorted(known, self.hashes[v])
-        part = (self.hashes[w] % parts[context].astype(np.uint64)).astype(np.int64)
-        entry = np.repeat(np.arange(len(known)), parts)
-        entry_part = np.arange(len(entry)) - np.repeat(np.cumsum(parts) - parts, parts)
-
-        keys = _part_key(known[entry], entry_part)
+        # Contexts go to one shard each, hot ones to those of their parts that have a pair here.
+        at = np.minimum(np.searchsorted(s.hot, self.hashes), max(len(s.hot) - 1, 0))
+        self.hot = s.hot[at] == self.hashes if len(s.hot) else np.zeros(len(self.hashes), bool)
+        parts, self.hot_counts = np.ones(len(self.hashes), np.int64), s.counts[at[self.hot]]
+        parts[self.hot] = s.parts[at[self.hot]]
+        part = (self.hashes[w] % parts[v].astype(np.uint64)).astype(np.int64)
+        most = int(parts.max())
+        entries, own = np.unique(v * most + part, return_inverse=True)
+        entry, entry_part = entries // most, entries % most
+        keys = _part_key(self.hashes[entry], entry_part)
         entry_shard = (_mix(keys) % np.uint64(s.shards)).astype(np.int64)
-        order = np.lexsort((entry_part, entry, entry_shard))
-        self.entry, self.entry_shard, self.keys = entry[order], entry_shard[order], keys[order]
+        order = np.argsort(entry_shard, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        own = place[(np.cumsum(parts) - parts)[context] + part]      # the entry of each pair
+        self.entry, self.keys = entry[order], keys[order]
+        own = place[own]                                             # the entry of each pair
         order = np.lexsort((w, own))
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
-        self.known, self.v, self.w, self.own, self.where = known, v[order], w[order], own[order], back[where]
-        self.per_entry = np.bincount(self.own, minlength=len(self.entry))
-        self.entry_cut = np.searchsorted(self.entry_shard, np.arange(s.shards + 1))
+        self.v, self.w, self.where = v[order], w[order], back[where]
+        self.per_entry = np.bincount(own, minlength=len(self.entry))
+        self.shards, first = np.unique(np.sort(entry_shard), return_index=True)
+        self.entry_cut = np.append(first, len(self.entry))
         self.pair_cut = np.concatenate([[0], np.cumsum(self.per_entry)])[self.entry_cut]
 
 
@@ -169,7 +185,7 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
 
 
 MESSAGE = (np.uint64, np.uint32, np.uint32, np.uint32)     # contexts, successors of each, their hashes, training counts
-ANSWER = (np.int64, np.int64, np.uint16)                   # known words, counts of the contexts, codes of the pairs
+ANSWER = (np.int64, np.uint16)                             # counts of the contexts, codes of the pairs
 
 
 def messages(docs: pa.Table, s: Survey) -> pa.Table:
@@ -181,7 +197,7 @@ def messages(docs: pa.Table, s: Survey) -> pa.Table:
     for a, b, x, y in zip(pairs.entry_cut, pairs.entry_cut[1:], pairs.pair_cut, pairs.pair_cut[1:]):
         blobs.append(_pack(pairs.keys[a:b], pairs.per_entry[a:b].astype(np.uint32), successors[x:y], counts[x:y]))
     batch = docs["batch"][0].as_py()
-    return pa.table({"shard": pa.array(range(s.shards), pa.int64()), "batch": pa.array([batch] * s.shards, pa.int64()), "message": pa.array(blobs, pa.binary())})
+    return pa.table({"shard": pa.array(pairs.shards), "batch": pa.array([batch] * len(blobs), pa.int64()), "message": pa.array(blobs, pa.binary())})
 
 
 def answers(rows: pa.Table, s: Survey) -> pa.Table:
@@ -199,11 +215,9 @@ def answers(rows: pa.Table, s: Survey) -> pa.Table:
     first = np.searchsorted(rank[context_of[kept]], np.arange(int(seen.sum()) + 1))
     trie = Trie(contexts[seen], first, (pair[kept] & np.uint64(0xFFFFFFFF)), np.log10(counts[kept] / max(s.train_tokens, 1)))
     codes = trie.lookup(trie.context(contexts)[context_of], (pair & np.uint64(0xFFFFFFFF)))[which]
-    hot = _part_key(np.repeat(s.hot, s.parts), np.concatenate([np.arange(p) for p in s.parts] or [np.zeros(0, np.int64)]))
-    words = int(seen.sum()) - int(seen[np.isin(contexts, np.append(hot, word_hash([START])))].sum())
     blobs, at, x = [], 0, 0
     for g in got:
-        blobs.append(_pack(np.array([words]), totals[of[at:at + len(g[0])]], codes[x:x + len(g[2])]))
+        blobs.append(_pack(totals[of[at:at + len(g[0])]], codes[x:x + len(g[2])]))
         at, x = at + len(g[0]), x + len(g[2])
     return pa.table({"batch": rows["batch"], "shard": rows["shard"], "answer": pa.array(blobs, pa.binary())})
 
@@ -212,18 +226,13 @@ def scores(docs: pa.Table, replies: pa.Table, s: Survey) -> pa.Table:
     pairs = Pairs(docs["text"].to_pylist(), s)
     replies = replies.sort_by("shard")
     got = [_unpack(m, *ANSWER) for m in replies["answer"].to_pylist()]
-    known = np.zeros(len(pairs.known), np.int64)
-    np.add.at(known, pairs.entry, np.concatenate([g[1] for g in got]))
-    start = word_hash([START])
-    hot = known[np.searchsorted(pairs.known, np.setdiff1d(s.hot, start))]
-    vocabulary = sum(int(g[0][0]) for g in got) + int((hot > 0).sum()) + (s.train_docs > 0)
-    counts = np.zeros(len(pairs.hashes), np.int64)
-    inner = np.arange(len(counts)) != pairs.end
-    counts[inner] = known[np.searchsorted(pairs.known, pairs.hashes[inner])]
-    contexts = counts.copy()
+    contexts = np.zeros(len(pairs.hashes), np.int64)
+    contexts[pairs.entry] = np.concatenate([g[0] for g in got])
+    contexts[pairs.hot] = pairs.hot_counts
+    counts = contexts.copy()                                     # every word of the batch is a context
     counts[pairs.end], counts[pairs.start] = s.train_docs, 0
-    one = (counts + 1) / (s.train_tokens + vocabulary + 1)
-    codes = np.concatenate([g[2] for g in got])
+    one = (counts + 1) / (s.train_tokens + s.vocabulary + 1)
+    codes = np.concatenate([g[1] for g in got])
     both = np.where(codes > 0, 10.0 ** dequantise(codes) * s.train_tokens, 0.0)
     chance = np.minimum(1, (both + PRIOR * one[pairs.w]) / (contexts[pairs.v] + PRIOR))    # codes round
     edges = np.concatenate([[0], np.cumsum(pairs.sizes)[:-1]])
