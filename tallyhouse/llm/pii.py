@@ -1,10 +1,12 @@
 """Personal data: patterns first, then bootstrapped contextual extraction; DataFrame operations only.
 
-Base spans (email, ip, card, phone) are the *seed entities*. Every token with a digit is
-an instance, the (up to two) words before it are a lexical pattern. Patterns and
-instances form a bipartite graph that is scored in rounds: a pattern is as trustworthy as
-its distinct instances, an instance that is no seed as its best pattern. Instances of
-patterns above ``SURE`` become spans of kind ``ctx``; base spans always stay.
+Base spans (email, ip, card, phone) are the *seed entities*: each is one instance, its
+whole value, with or without blanks and digits. Tokens with a digit outside of base spans
+are the unseen instances. The (up to two) words before an instance in the text are a
+lexical pattern. Patterns and instances form a bipartite graph that is scored in rounds: a
+pattern is as trustworthy as its distinct instances, an instance that is no seed as its
+best pattern. Instances of patterns above ``SURE`` become spans of kind ``ctx``; base
+spans always stay. Of base spans within each other only the outermost is an instance.
 
 * A null text counts as empty.
 * Repeated rows each get a row; null and repeated ids are told apart by their texts.
@@ -27,9 +29,9 @@ CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
-#: A token with a digit; what a pattern is taken from; its blanks.
+#: A token with a digit; code points a pattern is taken from; its blanks; code points of a piece of text.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-CONTEXT, BLANK = 80, r"[\x20\x09-\x0D]+"
+CONTEXT, BLANK, PIECE = 80, r"[\x20\x09-\x0D]+", 512
 
 #: Rounds of scoring; trust from which a pattern extracts; distinct seeds it needs; least length of a find.
 ROUNDS, SURE, SEEDS, LEAST = 3, 0.8, 3, 5
@@ -66,16 +68,51 @@ def entities(text: Column) -> Column:
     return F.array_sort(F.concat(of_kind(email, "email", 0), of_kind(ip, "ip", 1), of_kind(card, "card", 2), of_kind(phone, "phone", 3)))
 
 
+def marked(text: Column) -> Column:
+    """``base`` (all base spans), and ``seeds`` and ``tokens``: ``start``, ``end``, ``value``
+    and ``before`` (the last ``CONTEXT`` code points before ``start``) of the outermost base
+    spans and of all tokens with a digit. A text is cut into pieces once, so that what
+    stands before a place is found without walking over the whole text."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def placed(pieces: Column, s: Column) -> Column:
+        at = F.floor(s["start"] / PIECE).cast("int")
+        last = F.left(F.coalesce(F.get(pieces, at), F.lit("")), (s["start"] % PIECE).cast("int"))
+        before = F.right(F.concat(F.coalesce(F.get(pieces, at - 1), F.lit("")), last), F.lit(CONTEXT))
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), before.alias("before"))
+
+    def outermost(base: Column) -> Column:
+        def holds(b: Column, s: Column) -> Column:
+            more = (b["end"] - b["start"] > s["end"] - s["start"]) | (b["order"] < s["order"])
+            return (b["start"] <= s["start"]) & (b["end"] >= s["end"]) & more
+
+        return F.filter(base, lambda s: ~F.exists(base, lambda b: holds(b, s)))
+
+    # As in ``matches``: parts are computed once, as the element of a one-element array.
+    parts = F.array(F.struct(entities(text).alias("base"), matches(text, TOKEN, text.rlike("[0-9]")).alias("tokens"), pieces.alias("pieces")))
+    return F.get(F.transform(parts, lambda x: F.struct(
+        x["base"].alias("base"), F.transform(outermost(x["base"]), lambda s: placed(x["pieces"], s)).alias("seeds"),
+        F.transform(x["tokens"], lambda s: placed(x["pieces"], s)).alias("tokens"))), F.lit(0))
+
+
+def _pattern(before: Column) -> Column:
+    """The last two words; marks that touch the instance belong to neither."""
+    words = F.filter(F.split(F.lower(F.regexp_replace(before, r"[^A-Za-z0-9\x20\x09-\x0D]++$", "")), BLANK), lambda w: w != "")
+    return F.array_join(F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2)), " ")
+
+
 def instances(found: DataFrame) -> DataFrame:
-    """``doc_id``, ``h``, ``start``, ``end``, ``token``, ``pattern``, ``seed`` of every token with a digit."""
+    """``doc_id``, ``h``, ``start``, ``end``, ``token``, ``pattern``, ``seed``: the outermost
+    base spans as seeds, and every token with a digit outside of base spans."""
+    pattern = _pattern(F.col("before")).alias("pattern")
+    seeds = found.filter(F.size("seeds") > 0).select("doc_id", "h", F.explode("seeds").alias("t")).select("doc_id", "h", "t.*")
+    seeds = seeds.select("doc_id", "h", "start", "end", F.col("value").alias("token"), pattern, F.lit(True).alias("seed"))
     rows = found.filter(F.size("tokens") > 0).select("doc_id", "h", "base", F.explode("tokens").alias("t")).select("doc_id", "h", "base", "t.*")
     head, tail = (F.length(F.regexp_extract("value", p, 0)) for p in ("^[^A-Za-z0-9]+", "[^A-Za-z0-9]++$"))
     rows = rows.withColumns({"from": F.col("start") + head, "to": F.col("end") - tail})
     rows = rows.withColumn("token", F.substring("value", F.lit(1) + head, F.length("value") - head - tail))
-    words = F.filter(F.split(F.lower("before"), BLANK), lambda w: w != "")
-    pattern = F.array_join(F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2)), " ")
-    seed = F.exists("base", lambda b: (b["start"] < F.col("to")) & (b["end"] > F.col("from")))
-    return rows.select("doc_id", "h", F.col("from").alias("start"), F.col("to").alias("end"), "token", pattern.alias("pattern"), seed.alias("seed"))
+    rows = rows.filter(~F.exists("base", lambda b: (b["start"] < F.col("to")) & (b["end"] > F.col("from"))))
+    return seeds.unionByName(rows.select("doc_id", "h", F.col("from").alias("start"), F.col("to").alias("end"), "token", pattern, F.lit(False).alias("seed")))
 
 
 def trusted(rows: DataFrame, rounds: int = ROUNDS, sure: float = SURE, seeds: int = SEEDS) -> DataFrame:
@@ -99,14 +136,13 @@ def trusted(rows: DataFrame, rounds: int = ROUNDS, sure: float = SURE, seeds: in
 def personal(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``base`` and ``spans`` (arrays of spans) of every document."""
     prepare(docs.sparkSession)
-    text = F.col("text")
-    base = settle(texts(docs).select("doc_id", "h", entities(text).alias("base"), matches(text, TOKEN, text.rlike("[0-9]"), CONTEXT).alias("tokens")))
+    base = settle(texts(docs).select("doc_id", "h", marked(F.col("text")).alias("m"))).select("doc_id", "h", "m.*")
     rows = settle(instances(base).dropDuplicates(["doc_id", "h", "start"]))
     new = rows.filter(~F.col("seed") & (F.length("token") >= LEAST)).join(trusted(rows), "pattern")
     more = new.groupBy("doc_id", "h").agg(F.collect_set(F.struct(
         "start", F.lit(9).alias("order"), "end", F.lit("ctx").alias("kind"), F.col("token").alias("value"))).alias("more"))
     more = more.withColumnsRenamed({"doc_id": "__id", "h": "__h"})
-    out = base.drop("tokens").join(more, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")), "left")
+    out = base.drop("seeds", "tokens").join(more, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")), "left")
     return out.select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", F.filter("base", lambda s: F.lit(False))))).alias("spans"))
 
 

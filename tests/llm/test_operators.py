@@ -201,6 +201,22 @@ def test_context_finds_unseen_identifiers(spark):
     assert out[100] == ["user55512-internal"] and not out[101] and not out[0]
 
 
+def test_seeds_are_whole_entities(spark):
+    def card(i):
+        stem = f"411111111111{i:03d}"
+        number = next(stem + d for d in "0123456789" if brute.luhn(stem + d))
+        return " ".join(number[j:j + 4] for j in range(0, 16, 4))
+
+    names = ["ann", "bob", "cleo", "dora", "emil", "fay", "gus", "hal"]
+    rows = [(i, f"room 12 please write mailbox at <{n}@example.org> today") for i, n in enumerate(names)]
+    rows += [(10 + i, f"ring the desk line +1 (017) 555-7{i:03d} now") for i in range(8)]
+    rows += [(20 + i, f"it was billed to card {card(i)} then") for i in range(8)]
+    rows += [(100, "write mailbox at user55512-internal"), (101, "desk line x9955-12 now"), (102, "billed to card AB-441-22 then"), (103, "about 77123 of them")]
+    out = {r["doc_id"]: [s["value"] for s in r["spans"] if s["kind"] == "ctx"] for r in pii.personal(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i] for i in range(100, 104)] == [["user55512-internal"], ["x9955-12"], ["AB-441-22"], []]
+    assert not any(out[i] for i in range(28) if i in out)
+
+
 def test_mix(spark, world):
     rows = QUERIES["op7_source_mix"](spark, world["dir"]).collect()
     assert ordered(map(tuple, rows)) == ordered(map(tuple, QUERIES["op7_source_mix"](spark, world["dir"]).collect()))
