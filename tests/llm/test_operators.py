@@ -159,6 +159,23 @@ def test_widely_held_value_is_copied(spark):
     assert all(kinds[i] == {"assign", "copied"} for i in range(40)) and kinds[99] == {"assign", "live"}
 
 
+def test_verdict_by_owners_repositories_and_texts(spark):
+    from tallyhouse.llm.secrets import secrets
+    from pyspark.sql import functions as F
+
+    hot, two, copied, once, dull = "hotQ7w8e9r1t2y3", "twoQ7w8e9r1t2y3", "cpyQ7w8e9r1t2y3", "oneQ7w8e9r1t2y3", "changeme"
+    rows = [(i, f"note {i} token = {hot} end", "o0", f"r{i}") for i in range(20)]           # one owner, many repositories
+    rows += [(30 + i, f"note {i} token = {two} end", f"o{i}", f"r{i}") for i in range(2)]   # two owners
+    rows += [(40 + i, f"a document with token = {copied} in it", f"o{i}", f"r{i}") for i in range(6)]
+    rows += [(None, f"a document with token = {copied} in it", "o9", "r9")]
+    rows += [(50 + i, f"note {i} token = {once} end", "o1", f"r{i}") for i in range(2)]     # some repositories of one owner
+    rows += [(60 + i, f"note {i} token = {dull} end", f"o{i}", f"r{i}") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, o string, r string")
+    kinds = {r["doc_id"]: {s["kind"] for s in r["spans"]} - {"assign"} for r in secrets(docs, F.col("o"), F.col("r")).collect()}
+    assert all(kinds[i] == {"copied"} for i in range(20))
+    assert all(kinds[i] == {"live"} for i in [30, 31, *range(40, 46), None, 50, 51]) and kinds[60] == kinds[61] == set()
+
+
 def test_exact_duplicates(spark, world):
     import duckdb
 
