@@ -1,12 +1,16 @@
 """License scans by diagonal voting, in DataFrame operations only.
 
-Every rolling word k-gram of every text (k = 3; 2 for templates of two words) is hashed
-and joined to its places in the templates; the words are compared, so a vote is never a
-hash collision. Votes are summed by *diagonal*, the text position minus the template
-position. A diagonal with all its votes is an exact occurrence. Neighbouring diagonals
-(words inserted or left out) are merged, and a merged span counts if its votes cover
-enough different places of the template; of notices that begin at the same word, only the
-best covered.
+Every rolling word k-gram of every text (k = 3; 2 for phrases of two words and notices of
+less than six, where one changed word can leave no three in a row) is hashed and joined to
+its places in the templates; the words are compared, so a vote is never a hash collision.
+Votes are summed by *diagonal*, the text position minus the template position. A diagonal
+with all its votes is an exact occurrence. Neighbouring diagonals (words inserted or left
+out) are merged, and the words of a merged span are aligned with those of the template. It
+counts if its votes cover enough different places of the template, or if few enough words
+of the template are inserted, dropped or replaced. For the latter the words that name the
+licence (those of the label: ``mit``, ``nc``, a version) must all stand there: another name
+is another licence. Of notices that begin at the same word, those with the least changes
+count; ties all count.
 
 The templates are a fixed list, which bounds what is broadcast.
 
@@ -16,7 +20,7 @@ The templates are a fixed list, which bounds what is broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -39,8 +43,11 @@ NOTICES = {
     "licensed under cc by sa 4 0": "cc-by-sa-4.0",
 }
 
-#: Neighbouring diagonals are at most this far apart; part of a notice's places that must vote.
+#: Neighbouring diagonals are at most this far apart; part of a notice's places that must
+#: vote, or of its words that must stay unchanged.
 NEAR, PART = 3, 0.7
+#: Notices of fewer words are found by pairs; what a lost word of the licence's name costs.
+SHORT, NAME = 6, 1000
 
 
 def templates(spark) -> DataFrame:
@@ -48,7 +55,7 @@ def templates(spark) -> DataFrame:
     rows = []
     for tid, (text, label) in enumerate([*BASE.items(), *NOTICES.items()]):
         words = text.split()
-        k = min(3, len(words))
+        k = min(3, len(words)) if tid < len(BASE) or len(words) >= SHORT else 2
         rows += [(tid, label, tid < len(BASE), k, len(words) - k + 1, i, " ".join(words[i:i + k])) for i in range(len(words) - k + 1)]
     return spark.createDataFrame(rows, "tid int, label string, base boolean, k int, places int, off int, gram string")
 
@@ -72,6 +79,45 @@ def votes(docs: DataFrame) -> DataFrame:
     return found.filter(same).select("doc_id", "h", "pos", "t.tid", "t.label", "t.base", "t.k", "t.places", "t.off")
 
 
+def edits(words: Column, template: Column) -> Column:
+    """Least number of words inserted, dropped or replaced that turn ``template`` (an array of
+    ``word`` and ``cost``, what losing it costs) into some run of ``words``."""
+    def step(acc: Column, x: Column) -> Column:
+        def cell(row: Column, t: Column, j: Column) -> Column:
+            old, left = acc["row"], F.element_at(row, -1)
+            same = F.get(old, j) + F.when(t["word"] == x, 0).otherwise(t["cost"])
+            return F.concat(row, F.array(F.least(same, F.get(old, j + 1) + 1, left + t["cost"])))
+
+        placed = F.transform(template, lambda t, j: F.struct(t["word"].alias("word"), t["cost"].alias("cost"), j.alias("j")))
+        row = F.aggregate(placed, F.array(F.lit(0)), lambda row, t: cell(row, t, t["j"]))
+        return F.transform(F.array(row), lambda r: F.struct(r.alias("row"), F.least(acc["best"], F.element_at(r, -1)).alias("best")))[0]
+
+    # Before any word of the text, all words of the template so far are lost.
+    lost = F.aggregate(template, F.array(F.lit(0)), lambda row, t: F.concat(row, F.array(F.element_at(row, -1) + t["cost"])))
+    return F.aggregate(words, F.struct(lost.alias("row"), F.element_at(lost, -1).alias("best")), step, lambda acc: acc["best"])
+
+
+def aligned(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """``runs`` (``lo`` and ``hi``: first and last diagonal) with ``m``, the words of the
+    template, and ``edits``. Only documents that have runs are cut into words again."""
+    notices = F.array(*[F.array(*[F.struct(F.lit(w).alias("word"), F.lit(NAME if w in label.replace(".", "-").split("-") else 1).alias("cost")) for w in text.split()])
+                        for text, label in NOTICES.items()])
+    each = runs.groupBy("doc_id", "h").agg(F.collect_list(F.struct(*[c for c in runs.columns if c not in ("doc_id", "h")])).alias("runs"))
+    each = each.withColumnsRenamed({"doc_id": "__id", "h": "__h"})
+    held = docs.join(each.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(each["__id"]) & (docs["h"] == each["__h"]))
+    template = F.get(notices, F.col("r.tid") - len(BASE))
+
+    def near(words: Column, r: Column) -> Column:
+        first = F.greatest(r["lo"] - NEAR, F.lit(0))
+        size = F.size(F.get(notices, r["tid"] - len(BASE)))
+        return F.struct(r.alias("r"), F.slice(words, first + 1, F.greatest(r["hi"] + size + NEAR - first, F.lit(0))).alias("near"))
+
+    cut = F.flatten(F.transform(F.array(words_of(F.col("text"))), lambda words: F.transform("runs", lambda r: near(words, r))))
+    # Rows repeated in full have the same runs.
+    rows = held.select("doc_id", "h", F.explode(cut).alias("x")).select("doc_id", "h", "x.r", "x.near").dropDuplicates(["doc_id", "h", "r"])
+    return rows.select("doc_id", "h", "r.*", F.size(template).alias("m"), edits(F.col("near"), template).alias("edits"))
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``h``, ``label``, ``base``, ``start``, ``end`` (in words) and ``score`` of
     every verified span. ``docs`` comes from ``texts``."""
@@ -84,11 +130,14 @@ def spans(docs: DataFrame) -> DataFrame:
     first = F.coalesce(F.col("diag") - F.lag("diag").over(order) > NEAR, F.lit(True))
     runs = by_diag.filter(~F.col("base")).withColumn("first", first.cast("int")).withColumn("run", F.sum("first").over(order))
     merged = runs.groupBy("doc_id", "h", "tid", "label", "base", "places", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.size(F.array_distinct(F.flatten(F.collect_list("offs")))).alias("held"))
-    merged = merged.withColumn("score", F.col("held") / F.col("places")).filter(F.col("score") >= PART)
-    # Of notices that begin at the same word (versions of one licence) the best one counts.
-    best = F.max("score").over(W.partitionBy("doc_id", "h", "start"))
-    merged = merged.withColumn("best", best).filter(F.col("score") == F.col("best"))
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("diag").alias("lo"), F.max("diag").alias("hi"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("offs")))).alias("held"))
+    merged = aligned(docs, settle(merged))
+    kept = F.greatest(F.lit(0.0), 1 - F.col("edits") / F.col("m"))
+    merged = merged.withColumn("score", F.greatest(F.col("held") / F.col("places"), kept)).filter(F.col("score") >= PART)
+    # Of notices that begin at the same word (versions of one licence) those changed least count.
+    best = F.min("edits").over(W.partitionBy("doc_id", "h", "start"))
+    merged = merged.withColumn("best", best).filter(F.col("edits") == F.col("best"))
     return exact.unionByName(merged.select("doc_id", "h", "label", "base", "start", "end", "score"))
 
 

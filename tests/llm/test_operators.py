@@ -286,6 +286,28 @@ def test_licenses(spark, world):
     assert any("cc-by-nc-4.0" in x for x in labels) and any("gpl-3" in x for x in labels)
 
 
+def test_one_changed_word_of_each_notice(spark):
+    from tallyhouse.llm.licenses import NOTICES, licensed
+
+    rows, want, named = [], {}, set()
+    for text, label in NOTICES.items():
+        words, name = text.split(), label.replace(".", "-").split("-")
+        for i, word in enumerate(words):
+            changed = [words[:i] + ["zz"] + words[i:], words[:i] + words[i + 1:], words[:i] + ["zz"] + words[i + 1:]]
+            for j, x in enumerate(changed):
+                at = len(rows)
+                rows.append((at, f"so q{at} {' '.join(x)} then"))
+                if j == 0 or word not in name:
+                    want[at] = label
+                elif name[0] in ("mit", "apache") and word == name[0]:
+                    named.add(at)
+    rows += [(-1, "it is released under the bsd license"), (-2, "licensed under a cc by 4 0"), (-3, "licensed under cc by nc 4 0"), (-4, "subject to the terms of the house")]
+    out = {r["doc_id"]: set(r["labels"].split(",")) - {"", "cc-by", "gpl"} for r in licensed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not {rows[i][1]: (out[i], x) for i, x in want.items() if out[i] != {x}}
+    assert named and not any(out[i] for i in named)
+    assert [out[-i] for i in range(1, 5)] == [set(), {"cc-by-4.0"}, {"cc-by-nc-4.0"}, set()]
+
+
 def test_language_model(spark, world):
     rows = QUERIES["op10_lm_score"](spark, world["dir"])
     want = ordered((*r[:5], round(r[5], 6)) for r in brute.op10_base(world["docs"]))
