@@ -11,7 +11,8 @@
    posterior labels and scores every text.
 
 Labels come from rows whose crc32 of the id as text is not 2 modulo 4. The fit uses at
-most ``rows`` of them (a documented bound, chosen by hash); scoring covers all rows and
+most ``rows`` of them (a documented bound, chosen by hash among the distinct texts of
+each labelled id that is in the table); scoring covers all rows and
 whole texts. Neither labels, lang, source nor ids are inputs of a score.
 
 * A null or empty text has no terms and gets the score of a text without any.
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import free, prepare, table
+from tallyhouse.llm.common import free, prepare, settle, table
 
 #: Labelled rows the model is fitted to, at most.
 ROWS = 20_000
@@ -113,9 +114,14 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     crc = F.crc32(F.col("doc_id").cast("string"))
     ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     ids = ids.filter(F.col("toxic").isNotNull() & (crc % FOLDS != HELD_OUT)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = ids.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(rows)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return own.join(F.broadcast(ids), "doc_id").select("text", "toxic")   # at most ``rows`` small rows
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
+    # The bound is put on documents met by a label, each text of an id once. Keys are drawn
+    # first, so that texts are joined with at most ``rows`` of them.
+    keys = own.select("doc_id", "h").distinct().join(ids, "doc_id")
+    keys = settle(keys.orderBy(F.xxhash64(F.lit(SEED), "doc_id", "h"), "doc_id", "h").limit(rows))
+    met = own.join(F.broadcast(keys), ["doc_id", "h"])   # at most ``rows`` small rows
+    return met.groupBy("doc_id", "h").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:

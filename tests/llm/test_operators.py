@@ -120,6 +120,16 @@ def test_toxicity(spark, world):
     assert sum((r["doc_id"] in world["toxic"]) == r["predicted"] for r in held) >= 0.97 * len(held)
 
 
+def test_sample_is_bound_after_the_join(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(1, f"more {i % 30}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(5000)], "doc_id long, toxic int")
+    rows = [tuple(r) for r in toxicity.labelled(docs, labels, 20).collect()]
+    assert len(rows) == 20 == len(set(rows))
+    every = toxicity.labelled(docs, labels, 1000).collect()
+    kept = spark.range(40).selectExpr("id", "crc32(cast(id as string)) % 4 != 2 as k").filter("k").collect()
+    assert len(every) == len(kept) + 30
+
+
 def test_label_model_outvotes_a_wrong_label():
     rng = np.random.default_rng(1)
     truth = rng.random(2000) < 0.2
