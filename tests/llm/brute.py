@@ -189,3 +189,124 @@ def op10_score(docs, prior):
             after.update(t[:-1])
     n, v = sum(words.values()), len(words)
     return [sum(math.log10((pairs[a, b] + prior * (words[b] + 1) / (n + v + 1)) / (after[a] + prior)) for a, b in zip(t, t[1:])) for t in rows]
+
+
+def op11(docs, path, end_id=1):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    out, start = [], 0
+    for doc_id, text in sorted(docs, key=lambda r: (r[0] is None, r[0] or 0, signed_xxh64(r[1] or ""))):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [end_id]
+        out.append((doc_id, start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
+        start += len(ids)
+    return out
+
+
+def signed_xxh64(text):
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def op12(docs, items, percent=10, least=20, buckets=10_000, run=1):
+    def found(text):
+        words = WORD.findall(lower(text))
+        runs = [" ".join(words[i:i + n]) for n in range(1, run + 1) for i in range(len(words) - n + 1)]
+        return words, [zlib.crc32(f.encode()) % buckets for f in runs]
+
+    own, target = Counter(), Counter()
+    for _, text in docs:
+        own.update(found(text)[1])
+    for _, text in items:
+        target.update(found(text)[1])
+    s, t = sum(own.values()), sum(target.values())
+    gain = {b: math.floor(1000 * math.log((target[b] + 1) * (s + buckets) / ((own[b] + 1) * (t + buckets)))) for b in own}
+    rows = []
+    for doc_id, text in docs:
+        words, fs = found(text)
+        weight = sum(gain[f] for f in fs) // len(fs) if fs else 0
+        h = int(sha(f"2024:{'' if doc_id is None else doc_id}")[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append((doc_id, len(fs), weight, score, len(words) >= least, signed_xxh64(text or "")))
+    fit = sorted((r for r in rows if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[5]))
+    drawn = fit[:percent * len(fit) // 100]
+    ranks = defaultdict(list)
+    for rank, r in enumerate(drawn, 1):
+        ranks[r].append(rank)
+    return [(*r[:4], ranks[r].pop() if ranks[r] else None) for r in rows]
+
+
+def cheapest(symbols):
+    """Least cost and, of equals, least letters, from the end of a conversation to its start."""
+    after = {0: 2, 1: 2, 2: 3, 3: 2}
+
+    def with_inserts(best):
+        out = dict(best)
+        for _ in range(3):
+            for state in range(4):
+                cost, letters = out[after[state]]
+                out[state] = min(out[state], (cost + 3, "I" + letters))
+        return out
+
+    never = (10**9, "")
+    best = with_inserts({0: (0, ""), 1: never, 2: never, 3: (0, "")})
+    for initial, must_go, cut in reversed(symbols):
+        new = {}
+        for state in range(4):
+            ways = [(4 + best[state][0], "D" + best[state][1])]
+            if not must_go:
+                due = after[state]
+                ways.append((3 + 3 * cut + best[due][0], "R" + best[due][1]))
+                to = 1 if initial == "s" and state == 0 else due if initial == {2: "u", 3: "a"}[due] else None
+                if to is not None:
+                    ways.append((3 * cut + best[to][0], "K" + best[to][1]))
+            new[state] = min(ways)
+        best = with_inserts(new)
+    return best[0]
+
+
+def op13_damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def op13(rows, damage=True):
+    held = defaultdict(list)
+    for conv in {r[0] for r in rows}:
+        held[conv] = []
+    for conv, turn, role, text in op13_damage(rows) if damage else rows:
+        held[conv].append((turn, role, text))
+    out = []
+    for conv, own in held.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), sha(f"{len(r[1])}:{r[1]}{r[2]}")))
+        seen, symbols, counts = set(), [], Counter()
+        for _, role, text in own:
+            last = TOKEN.findall(text)[-1:]
+            fault = "blank" if not last else "duplicate" if (role, text) in seen else "truncated" if last[0][-1] not in ".!?" else ""
+            seen.add((role, text))
+            counts[fault] += 1
+            symbols.append((role[:1], fault in ("blank", "duplicate"), fault == "truncated"))
+        turns = [t for t, _, _ in own if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(symbols, symbols[1:]))
+        cost, audit = cheapest(symbols)
+        left, last, todo = [], "", iter(own)
+        for letter in audit:
+            _, role, text = next(todo) if letter != "I" else (0, "", "")
+            if letter in "IR":
+                role = "assistant" if last == "u" else "user"
+            if letter != "D":
+                left.append(f"{role}:{text}")
+                last = role[:1]
+        out.append((conv, gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit, sha("\n".join(left))))
+    return out

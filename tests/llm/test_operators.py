@@ -68,7 +68,9 @@ def world(spark, tmp_path_factory):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as w", "2 as h").write.parquet(f"{folder}/benchmark.parquet")
     empty = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "benchmark"):
+    talk = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame([(1, 0, "user", "Hi.")], talk).write.parquet(f"{folder}/conversations.parquet")
+    for name in ("documents", "labels", "benchmark", "conversations"):
         spark.read.parquet(f"{folder}/{name}.parquet").filter("false").write.parquet(f"{empty}/{name}.parquet")
     return {"dir": folder, "empty": empty, "docs": [(r[0], r[1]) for r in rows], "rows": rows, "items": items, "toxic": toxic}
 
