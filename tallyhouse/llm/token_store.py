@@ -21,9 +21,12 @@ reads one entry and compares the fingerprint: constant time, whatever the corpus
 
 from __future__ import annotations
 
+import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,8 +42,12 @@ from tallyhouse.session import shared_dir
 
 #: Ids to a shard, about, and keys to a bucket of the index, about.
 SHARD_IDS, BUCKET_KEYS = 8_000_000, 16_384
-#: Bytes of text encoded at once; words whose ids a task remembers.
-AT_ONCE, REMEMBERED = 4_000_000, 600_000
+#: Words whose ids a task remembers.
+REMEMBERED = 600_000
+#: Letters that are composed already, stand for themselves and have one lower case; marks at a word's end.
+LETTERS = [chr(c) for c in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x130), *range(0x139, 0x180)) if c not in (0xD7, 0xF7)]
+MARKS = (b".", b",", b";", b":", b"!", b"?")
+TRIED = ("a", "Zebra", "\u00c9clair", "\u00fcber", "stra\u00dfe", "na\u00efvet\u00e9s", "unbelievably", "\u017e\u0101", "qwrtzp" * 9)
 #: Bits of a level of the hash for each key still without a place; levels before the rest is listed.
 ROOM, LEVELS = 2.0, 40
 
@@ -62,9 +69,44 @@ class Vocabulary:
     width: int
     by_word: bool = False
 
-    @property
-    def kind(self) -> str:
-        return f"<u{self.width}"
+
+class Words(dict):
+    """Bytes of the ids of words, each encoded when it is first met.
+
+    A word of nothing but Latin letters is one piece to the tokenizer, and each of its
+    letters is normalised by itself: its pieces are put together from those of its letters
+    and go straight to the tokenizer's model. All other words take the whole way. Whether
+    that holds for this tokenizer is tried on ``TRIED`` first."""
+
+    def __init__(self, tokenizer, packed):
+        super().__init__()
+        self.tokenizer, self.packed = tokenizer, packed
+        self.letters = {}
+        for c in LETTERS:
+            pieces = tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(c)) if tokenizer.normalizer and tokenizer.pre_tokenizer else []
+            if len(pieces) == 1:
+                self.letters[ord(c)] = pieces[0][0]
+        self.plain = re.compile(f"[{''.join(map(chr, self.letters)) or 'a'}]+").fullmatch
+        if not self.letters or any(self.quick(w) != self.slow(w) for w in TRIED):
+            self.plain = lambda word: None
+
+    def quick(self, word: str) -> bytes:
+        return self.packed([t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))])
+
+    def slow(self, word: str) -> bytes:
+        return self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def __missing__(self, key: bytes) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        core, tail = _stem(key)
+        if tail or core != key:
+            found = self[core] + self[tail] if tail else self[core]
+        else:
+            word = core.decode()
+            found = self.quick(word) if self.plain(word) else self.slow(word)
+        self[key] = found
+        return found
 
 
 class Encoder:
@@ -76,33 +118,31 @@ class Encoder:
         self.v = vocabulary
         self.tokenizer = Tokenizer.from_file(vocabulary.path)
         self.tokenizer.encode_special_tokens = True
+        self.code = next(c for c in "HIL" if array(c).itemsize == vocabulary.width)
+        if sys.byteorder != "little":
+            raise NotImplementedError("token files are little endian")
         self.end = self.packed([vocabulary.end_id])
-        self.words: dict[bytes, bytes] = {}
+        self.words = Words(self.tokenizer, self.packed) if vocabulary.by_word else None
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.v.kind).tobytes()
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [self.packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.v.by_word:
-            return [ids + self.end for ids in self.whole(texts)]
-        words = [t.encode().split() for t in texts]
-        self.learn(set().union(*words))
-        return [b"".join(map(self.words.__getitem__, own)) + self.end for own in words]
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        new = words - self.words.keys()
-        stems = {w: _stem(w) for w in new}
-        cores = list({c for c, _ in stems.values()} | {t for _, t in stems.values()} - {b""})
-        cores = [c for c in cores if c not in self.words]
-        self.words.update(zip(cores, self.whole([c.decode() for c in cores])))
-        self.words[b""] = b""
-        for word, (core, tail) in stems.items():
-            self.words[word] = self.words[core] + self.words[tail]
+        return array(self.code, ids).tobytes()
+
+    def __call__(self, text: str) -> bytes:
+        if self.words is None:
+            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
+        return b"".join(map(self.words.__getitem__, text.encode().split())) + self.end
+
+
+def encoder_of(vocabulary: Vocabulary) -> Encoder:
+    """The encoder of this Python process. Spark keeps worker processes from task to task,
+    but what travels to them by value is new each time; so the words already met are kept
+    with the tokenizer's own module."""
+    import tokenizers
+
+    kept, name = vars(tokenizers).setdefault("_kept_encoders", {}), str(vocabulary)
+    if name not in kept:
+        kept[name] = Encoder(vocabulary)
+    return kept[name]
 
 
 def _stem(word: bytes) -> tuple[bytes, bytes]:
@@ -111,7 +151,7 @@ def _stem(word: bytes) -> tuple[bytes, bytes]:
     other words are left to it, since it composes letters before it lower-cases them."""
     if word.isascii():
         word = word.lower()
-    if word[-1:] in (b".", b",", b";", b":", b"!", b"?") and word[-2:-1].isalnum():
+    if word[-1:] in MARKS and word[-2:-1].isalnum():
         return word[:-1], word[-1:]
     return word, b""
 
@@ -157,39 +197,25 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: Vocabulary, shard_ids
     dealt = texts(docs).repartitionByRange(*order).sortWithinPartitions(*order)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, file, width = Encoder(vocabulary), TaskContext.get().partitionId(), 0, vocabulary.width
+        encoder, part, file, width = encoder_of(vocabulary), TaskContext.get().partitionId(), 0, vocabulary.width
         payload: list[bytes] = []
         ids: list = []
         held = 0
         for batch in batches:
-            for doc_ids, own in _portions(batch):
-                for doc_id, got in zip(doc_ids, encoder(own)):
-                    if payload and held + len(got) > shard_ids * width:
-                        yield pa.RecordBatch.from_arrays([pa.array([_shard(payload, ids, width, part, file)], pa.binary())], names=["blob"])
-                        payload, ids, held, file = [], [], 0, file + 1
-                    payload.append(got)
-                    ids.append(doc_id)
-                    held += len(got)
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+                got = encoder(text)
+                if payload and held + len(got) > shard_ids * width:
+                    yield pa.RecordBatch.from_arrays([pa.array([_shard(payload, ids, width, part, file)], pa.binary())], names=["blob"])
+                    payload, ids, held, file = [], [], 0, file + 1
+                payload.append(got)
+                ids.append(doc_id)
+                held += len(got)
         if payload:
             yield pa.RecordBatch.from_arrays([pa.array([_shard(payload, ids, width, part, file)], pa.binary())], names=["blob"])
 
     _put_down(dealt.select("doc_id", "text").mapInArrow(encode, "blob binary"), folder)
 
 
-def _portions(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts of a batch, ``AT_ONCE`` characters or one text at a time."""
-    ids, own, size = [], [], 0
-    for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-        if own and size + len(text) > AT_ONCE:
-            yield ids, own
-            ids, own, size = [], [], 0
-        ids.append(doc_id)
-        own.append(text)
-        size += len(text)
-    if own:
-        yield ids, own
-
-
 def places(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in the shards, read from them: ``part``, ``file``, ``row``, ``doc_id``,
     ``offset`` (in the shard), ``n_tokens``, ``ids_crc32``, ``number`` (all documents before

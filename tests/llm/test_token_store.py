@@ -5,6 +5,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import token_store
@@ -41,8 +42,6 @@ def test_files_hold_all_ids_in_order(spark, corpus):
 
 
 def test_small_shards_wide_ids_and_keyed_access(spark, corpus, tmp_path):
-    from tokenizers import Tokenizer
-
     docs = spark.read.parquet(f"{corpus[0]}/documents.parquet")
     vocabulary = token_store.Vocabulary(BYTES, end_id=50256, width=4)
     store = token_store.write_store(docs, f"{tmp_path}/store", vocabulary, shard_ids=500, bucket_keys=50)
@@ -69,7 +68,11 @@ def test_words_alone_are_words_in_texts():
     encoder = token_store.Encoder(token_store.Vocabulary(WORDS, 1, 2, by_word=True))
     plain = token_store.Encoder(token_store.Vocabulary(WORDS, 1, 2))
     texts = [t or "" for _, t in _docs()[:510]]
-    assert encoder(texts) == plain(texts) == encoder(texts)
+    texts += ["".join(token_store.LETTERS), " ".join(a + b for a in token_store.LETTERS for b in "e\u0301.\u00c5")]
+    want = [plain(t) for t in texts]
+    assert [encoder(t) for t in texts] == want == [encoder(t) for t in texts] and encoder.words.plain("Été")
+    other = token_store.Words(Tokenizer.from_file(BYTES), encoder.packed)      # has no such letters
+    assert not other.plain("a")
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 1000, 50_000])
