@@ -42,8 +42,8 @@ from tallyhouse.session import shared_dir
 
 #: Ids to a shard, about, and keys to a bucket of the index, about.
 SHARD_IDS, BUCKET_KEYS = 8_000_000, 16_384
-#: Words whose ids a task remembers.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers, and as many met before those.
+REMEMBERED = 250_000
 #: Letters that are composed already, stand for themselves and have one lower case; marks at a word's end.
 LETTERS = [chr(c) for c in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x130), *range(0x139, 0x180)) if c not in (0xD7, 0xF7)]
 MARKS = (b".", b",", b";", b":", b"!", b"?")
@@ -80,7 +80,7 @@ class Words(dict):
 
     def __init__(self, tokenizer, packed):
         super().__init__()
-        self.tokenizer, self.packed = tokenizer, packed
+        self.tokenizer, self.packed, self.older = tokenizer, packed, {}
         self.letters = {}
         for c in LETTERS:
             pieces = tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(c)) if tokenizer.normalizer and tokenizer.pre_tokenizer else []
@@ -97,14 +97,17 @@ class Words(dict):
         return self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def __missing__(self, key: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
+        found = self.older.pop(key, None)
+        if found is None:
+            core, tail = _stem(key)
+            if tail or core != key:
+                found = self[core] + self[tail] if tail else self[core]
+            else:
+                word = core.decode()
+                found = self.quick(word) if self.plain(word) else self.slow(word)
+        if len(self) >= REMEMBERED:          # words not met again since the last time go
+            self.older = dict(self)
             self.clear()
-        core, tail = _stem(key)
-        if tail or core != key:
-            found = self[core] + self[tail] if tail else self[core]
-        else:
-            word = core.decode()
-            found = self.quick(word) if self.plain(word) else self.slow(word)
         self[key] = found
         return found
 
