@@ -38,7 +38,7 @@ from tallyhouse.llm.common import free, prepare, settle, table
 
 #: Labelled rows the model is fitted to, at most.
 ROWS = 20_000
-VOTERS, TERMS, SEEN_IN, STEMS = 48, 2048, 8, (4, 5, 6)
+VOTERS, TERMS, STEMS = 48, 2048, (4, 5, 6)
 FOLDS, HELD_OUT, LIMIT = 4, 2, 0.3
 SEED = 7
 
@@ -61,9 +61,7 @@ class Model:
     bias: float
 
     def score(self, text: str) -> float:
-        if not self.weights:
-            return self.bias
-        found = terms_of(text) & self.weights.keys()
+        found = terms_of(text) & self.weights.keys() if self.weights else ()
         return float(1 / (1 + np.exp(-(self.bias + sum(self.weights[t] for t in found)))))
 
 
@@ -109,6 +107,11 @@ def linear(rows: np.ndarray, cols: np.ndarray, n: int, k: int, target: np.ndarra
     return w, float(bias)
 
 
+def seen_in(rows: int) -> int:
+    """In how many sample texts a term must occur: one in a hundred, from 2 to 8."""
+    return min(8, max(2, rows // 100))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """``text`` and ``toxic`` of at most ``rows`` labelled rows outside the held-out fold."""
     crc = F.crc32(F.col("doc_id").cast("string"))
@@ -145,11 +148,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
             names=["term", "n", "bad"])
 
     counts = sample.mapInArrow(count, "term binary, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    counts = counts.filter((F.col("n") >= SEEN_IN) | (F.length("term") == 0))
+    counts = settle(counts)
     total = counts.filter(F.length("term") == 0).first()
     n, bad = (int(total["n"] or 0), int(total["bad"] or 0)) if total else (0, 0)
     if not 0 < bad < n:
-        return Model({}, (bad + 0.1) / (n + 1))
+        return Model({}, float(np.log((bad + 0.1) / (n - bad + 0.9))))
+    counts = counts.filter(F.col("n") >= seen_in(n))
     p = bad / n
     z = (F.col("bad") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p) + 1)
     ranked = counts.filter(F.length("term") > 0).select("term", z.alias("z"))
