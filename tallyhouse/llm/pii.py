@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import prepare, settle, table, texts
-from tallyhouse.llm.spans import count_of, listed, matches, of_kind
+from tallyhouse.llm.spans import count_of, listed, matches, of_kind, running
 
 # What is searched for. Possessive runs and the tests before them only keep
 # long runs from being tried from each of their places; they match the same text.
@@ -68,31 +68,70 @@ def entities(text: Column) -> Column:
     return F.array_sort(F.concat(of_kind(email, "email", 0), of_kind(ip, "ip", 1), of_kind(card, "card", 2), of_kind(phone, "phone", 3)))
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: as the element of a one-element array."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _farthest(values: Column) -> Column:
+    """The largest of all values before each one."""
+    return running(values, -1, lambda acc, x: F.greatest(acc, x))
+
+
+def outermost(base: Column) -> Column:
+    """Spans that lie within no other. In order of their starts, longer ones first, a span
+    lies in another if one before it ends no earlier."""
+    order = F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["order"].alias("order"), s.alias("span"))))
+
+    def kept(spans: Column) -> Column:
+        ends = _farthest(F.transform(spans, lambda s: -s["back"]))
+        met = F.zip_with(spans, ends, lambda s, far: F.struct(s["span"].alias("span"), (far < -s["back"]).alias("out")))
+        return F.transform(F.filter(met, lambda x: x["out"]), lambda x: x["span"])
+
+    return F.when(F.size(base) == 0, base).otherwise(_once(order, kept))
+
+
+def outside(tokens: Column, base: Column) -> Column:
+    """Tokens (``start``, ``end`` and more) that meet no span of ``base``: of the spans that
+    start before a token ends, none ends behind its start. One sweep over both, sorted."""
+    none = F.lit(None).cast("struct<start:bigint,end:bigint,value:string,from:bigint>")
+    events = F.array_sort(F.concat(
+        F.transform(tokens, lambda t: F.struct(t["end"].alias("at"), F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("far"), t.alias("token"))),
+        F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("kind"), b["end"].alias("far"), none.alias("token")))))
+
+    def kept(events: Column) -> Column:
+        met = F.zip_with(events, _farthest(F.transform(events, lambda e: e["far"])), lambda e, far: F.struct(
+            e["token"].alias("token"), (e["kind"] == 0).alias("is_token"), far.alias("far")))
+        free = F.filter(met, lambda x: F.when(x["is_token"], x["far"] <= x["token"]["start"]).otherwise(False))
+        return F.transform(free, lambda x: x["token"])
+
+    return F.when(F.size(tokens) == 0, tokens).otherwise(_once(events, kept))
+
+
 def marked(text: Column) -> Column:
     """``base`` (all base spans), and ``seeds`` and ``tokens``: ``start``, ``end``, ``value``
-    and ``before`` (the last ``CONTEXT`` code points before ``start``) of the outermost base
-    spans and of all tokens with a digit. A text is cut into pieces once, so that what
-    stands before a place is found without walking over the whole text."""
+    and ``before`` (the last ``CONTEXT`` code points before it) of the outermost base spans
+    and of all tokens with a digit outside of base spans, without marks at their ends. A text
+    is cut into pieces once, so that what stands before a place is found without walking
+    over the whole text."""
     pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
 
-    def placed(pieces: Column, s: Column) -> Column:
-        at = F.floor(s["start"] / PIECE).cast("int")
-        last = F.left(F.coalesce(F.get(pieces, at), F.lit("")), (s["start"] % PIECE).cast("int"))
+    def placed(pieces: Column, s: Column, start: Column) -> Column:
+        at = F.floor(start / PIECE).cast("int")
+        last = F.left(F.coalesce(F.get(pieces, at), F.lit("")), (start % PIECE).cast("int"))
         before = F.right(F.concat(F.coalesce(F.get(pieces, at - 1), F.lit("")), last), F.lit(CONTEXT))
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), before.alias("before"))
 
-    def outermost(base: Column) -> Column:
-        def holds(b: Column, s: Column) -> Column:
-            more = (b["end"] - b["start"] > s["end"] - s["start"]) | (b["order"] < s["order"])
-            return (b["start"] <= s["start"]) & (b["end"] >= s["end"]) & more
-
-        return F.filter(base, lambda s: ~F.exists(base, lambda b: holds(b, s)))
+    def trimmed(s: Column) -> Column:
+        head, tail = (F.length(F.regexp_extract(s["value"], p, 0)) for p in ("^[^A-Za-z0-9]+", "[^A-Za-z0-9]++$"))
+        return F.struct((s["start"] + head).alias("start"), (s["end"] - tail).alias("end"),
+                        F.substring(s["value"], F.lit(1) + head, F.length(s["value"]) - head - tail).alias("value"), s["start"].alias("from"))
 
-    # As in ``matches``: parts are computed once, as the element of a one-element array.
-    parts = F.array(F.struct(entities(text).alias("base"), matches(text, TOKEN, text.rlike("[0-9]")).alias("tokens"), pieces.alias("pieces")))
-    return F.get(F.transform(parts, lambda x: F.struct(
-        x["base"].alias("base"), F.transform(outermost(x["base"]), lambda s: placed(x["pieces"], s)).alias("seeds"),
-        F.transform(x["tokens"], lambda s: placed(x["pieces"], s)).alias("tokens"))), F.lit(0))
+    tokens = F.transform(matches(text, TOKEN, text.rlike("[0-9]")), trimmed)
+    parts = F.struct(entities(text).alias("base"), tokens.alias("tokens"), pieces.alias("pieces"))
+    return _once(parts, lambda x: F.struct(
+        x["base"].alias("base"), F.transform(outermost(x["base"]), lambda s: placed(x["pieces"], s, s["start"])).alias("seeds"),
+        F.transform(outside(x["tokens"], x["base"]), lambda s: placed(x["pieces"], s, s["from"])).alias("tokens")))
 
 
 def _pattern(before: Column) -> Column:
@@ -105,14 +144,11 @@ def instances(found: DataFrame) -> DataFrame:
     """``doc_id``, ``h``, ``start``, ``end``, ``token``, ``pattern``, ``seed``: the outermost
     base spans as seeds, and every token with a digit outside of base spans."""
     pattern = _pattern(F.col("before")).alias("pattern")
-    seeds = found.filter(F.size("seeds") > 0).select("doc_id", "h", F.explode("seeds").alias("t")).select("doc_id", "h", "t.*")
-    seeds = seeds.select("doc_id", "h", "start", "end", F.col("value").alias("token"), pattern, F.lit(True).alias("seed"))
-    rows = found.filter(F.size("tokens") > 0).select("doc_id", "h", "base", F.explode("tokens").alias("t")).select("doc_id", "h", "base", "t.*")
-    head, tail = (F.length(F.regexp_extract("value", p, 0)) for p in ("^[^A-Za-z0-9]+", "[^A-Za-z0-9]++$"))
-    rows = rows.withColumns({"from": F.col("start") + head, "to": F.col("end") - tail})
-    rows = rows.withColumn("token", F.substring("value", F.lit(1) + head, F.length("value") - head - tail))
-    rows = rows.filter(~F.exists("base", lambda b: (b["start"] < F.col("to")) & (b["end"] > F.col("from"))))
-    return seeds.unionByName(rows.select("doc_id", "h", F.col("from").alias("start"), F.col("to").alias("end"), "token", pattern, F.lit(False).alias("seed")))
+    def each(column: str, seed: bool) -> DataFrame:
+        rows = found.filter(F.size(column) > 0).select("doc_id", "h", F.explode(column).alias("t")).select("doc_id", "h", "t.*")
+        return rows.select("doc_id", "h", "start", "end", F.col("value").alias("token"), pattern, F.lit(seed).alias("seed"))
+
+    return each("seeds", True).unionByName(each("tokens", False))
 
 
 def trusted(rows: DataFrame, rounds: int = ROUNDS, sure: float = SURE, seeds: int = SEEDS) -> DataFrame:

@@ -15,22 +15,24 @@ BLOCK = 128
 _SPAN = "array<struct<start:bigint,end:bigint,value:string,before:string>>"
 
 
-def _add(acc: Column, x: Column) -> Column:
-    return acc + x
+def running(values: Column, zero: int = 0, merge=lambda acc, x: acc + x) -> Column:
+    """What all elements before each element of a non-empty array come to, merged (their sum)."""
+    first = F.lit(zero).cast("long")
 
+    # Values and the totals of blocks are computed once per row: as elements a transform runs over.
+    def scanned(values: Column) -> Column:
+        def total(start: Column, n: Column) -> Column:
+            return F.aggregate(F.slice(values, start, n), first, merge)
 
-def running(lengths: Column) -> Column:
-    """Sums of all elements before each element of a non-empty array."""
-    zero = F.lit(0).cast("long")
+        def each(totals: Column) -> Column:
+            return F.transform(values, lambda x, i: merge(
+                F.get(totals, F.floor(i / BLOCK).cast("int")), total(F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK)))
 
-    def total(start: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(lengths, start, n), zero, _add)
+        blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+        totals = F.aggregate(blocks, F.array(first), lambda acc, b: F.concat(acc, F.array(merge(F.element_at(acc, -1), total(b * BLOCK + 1, F.lit(BLOCK))))))
+        return F.flatten(F.transform(F.array(totals), each))
 
-    blocks = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int"))
-    sums = F.aggregate(blocks, F.array(zero), lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + total(b * BLOCK + 1, F.lit(BLOCK)))))
-    # The sums are computed once per row: as the one element a transform runs over.
-    return F.flatten(F.transform(F.array(sums), lambda s: F.transform(
-        lengths, lambda x, i: F.get(s, F.floor(i / BLOCK).cast("int")) + total(F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK))))
+    return F.flatten(F.transform(F.array(values), scanned))
 
 
 def matches(text: Column, pattern: str, when: Column | None = None, context: int = 0) -> Column:
