@@ -10,7 +10,7 @@ from tallyhouse.operators.joins import covered
 from tallyhouse.queries import adapter
 from tallyhouse.queries.registry import query
 from tallyhouse.sources import cost_sheet, landing, loads, state
-from tallyhouse.streaming.ingest import stream_documents, stream_entity, stream_orders
+from tallyhouse.streaming.ingest import REJECT_SCHEMA, stream_documents, stream_entity, stream_orders, stream_rows
 
 ORDER_ROW = "site_code:s woo_order_id:i number:s status:s currency:s date_created_gmt:t date_modified_gmt:t"
 ORDER_ROW_SQL = """select site_code, k as woo_order_id, k as number, status, case when k % 13 <> 0 then lower(ccy) end as currency,
@@ -27,19 +27,24 @@ def _(r):
 
 
 def broken_documents(r) -> DataFrame:
-    """Order documents, every fiftieth cut off, every seventy-seventh without its id."""
+    """Order documents: every fiftieth cut off, every seventy-seventh without its id, every
+    eighty-third with an id that is no number."""
     docs = adapter.order_documents(r.table)
     k, text = F.col("woo_order_id"), F.col("_payload")
     cut = F.substring(text, F.lit(1), (F.length(text) - 2).cast("int"))
     bare = F.regexp_replace(text, r'^\{"id":"\d+",', "{")
-    return docs.select("site_code", "extracted_at", F.when(k % 50 == 0, cut).when(k % 77 == 0, bare).otherwise(text).alias("_payload"))
+    named = F.regexp_replace(text, r'^\{"id":"(\d+)"', '{"id":"nr. $1"')
+    broken = F.when(k % 50 == 0, cut).when(k % 77 == 0, bare).when(k % 83 == 0, named).otherwise(text)
+    return docs.select("site_code", "extracted_at", broken.alias("_payload"))
 
 
 @query(
     "s1_land_orders_rejects",
-    "site_code:s landed:i orders:i not_a_document:i no_id:i",
-    """select site_code, count(*) filter (where k % 50 <> 0 and k % 77 <> 0) as landed, count(*) filter (where k % 50 <> 0 and k % 77 <> 0) as orders,
-count(*) filter (where k % 50 = 0) as not_a_document, count(*) filter (where k % 50 <> 0 and k % 77 = 0) as no_id from base_order group by 1""",
+    "site_code:s landed:i orders:i not_a_document:i no_id:i no_number:i",
+    """select site_code, count(*) filter (where k % 50 <> 0 and k % 77 <> 0 and k % 83 <> 0) as landed,
+count(*) filter (where k % 50 <> 0 and k % 77 <> 0 and k % 83 <> 0) as orders,
+count(*) filter (where k % 50 = 0) as not_a_document, count(*) filter (where k % 50 <> 0 and k % 77 = 0) as no_id,
+count(*) filter (where k % 50 <> 0 and k % 77 <> 0 and k % 83 = 0) as no_number from base_order group by 1""",
 )
 def _(r):
     """What lands and what is rejected, by reason, add up to all documents."""
@@ -47,7 +52,8 @@ def _(r):
     counts = landing.landed_counts(docs).select("site_code", "landed")
     orders = landing.land_orders(docs).groupBy("site_code").agg(F.count("woo_order_id").alias("orders"))
     bad = landing.rejects(docs).groupBy("site_code").agg(
-        F.count_if(F.col("reason") == "not a document").alias("not_a_document"), F.count_if(F.col("reason") == "no id").alias("no_id"))
+        F.count_if(F.col("reason") == "not a document").alias("not_a_document"), F.count_if(F.col("reason") == "no id").alias("no_id"),
+        F.count_if(F.col("reason") == "id is no number").alias("no_number"))
     return counts.join(orders, "site_code", "left").join(bad, "site_code", "left").fillna(0)
 
 
@@ -85,6 +91,31 @@ def _(r):
     return lines.groupBy("site_code", "woo_order_id", "woo_order_item_id", quantity).agg(F.count(F.lit(1)).alias("n"))
 
 
+def broken_line_documents(r) -> DataFrame:
+    """The same documents with one more entry, in lines 2 to 5, that is no line with an id."""
+    docs = line_documents(r)
+    entry = F.when(F.col("n") == 2, '{"name":"x"}').when(F.col("n") == 3, '"junk"').when(F.col("n") == 4, "7").when(F.col("n") == 5, '{"id":"a1"}')
+    more = docs.withColumn("n", F.get_json_object("_payload", "$.line_items[0].id").cast("bigint") % 10)
+    more = more.filter("n between 2 and 5")
+    text = F.replace(F.col("_payload"), F.lit('"line_items":['), F.concat(F.lit('"line_items":['), entry, F.lit(",")))
+    return more.select("site_code", "extracted_at", text.alias("_payload"))
+
+
+@query(
+    "s2_land_order_items_rejects",
+    "site_code:s reason:s n:i",
+    """select 'S' || (l_orderkey % 5) as site_code, case when n = 2 then 'no id' when n = 5 then 'id is no number' when n > 5 then 'landed'
+else 'not a document' end as reason, count(*) as n
+from (select l_orderkey, unnest([n, 9]) as n from (select l_orderkey, (l_partkey * 10 + l_linenumber) % 10 as n from lineitem where l_linenumber between 2 and 5)) group by 1, 2""",
+)
+def _(r):
+    """Good lines land beside bad entries of the same order; all of those are told."""
+    docs = broken_line_documents(r)
+    landed = landing.land_order_items(docs).select("site_code", F.lit("landed").alias("reason"))
+    told = landing.line_rejects(docs).select("site_code", "reason")
+    return landed.unionByName(told).groupBy("site_code", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "s3_land_products",
     "site_code:s woo_product_id:i date_modified_gmt:t",
@@ -493,7 +524,7 @@ def _(r):
     """Landed product files, a few per micro-batch, into a change log."""
     landed, log = r.folder("landed"), r.folder("log")
     adapter.product_documents(r.table).select("site_code", "extracted_at", "_payload").write.option("maxRecordsPerFile", LANDED_ROWS).parquet(landed)
-    stream_entity(stream_documents(r.spark, landed, 2), r.folder("cp"), {log: lambda b: landing.land_entity(b, "woo_product_id")})
+    stream_rows(stream_documents(r.spark, landed, 2), r.folder("cp"), log, "woo_product_id")
     rows = loads.read_log(r.spark, log, "site_code string, woo_product_id bigint, date_modified_gmt timestamp, extracted_at timestamp, _payload string")
     return loads.current_rows(rows, ["site_code", "woo_product_id"])
 
@@ -515,6 +546,30 @@ def _(r):
     return loads.current_rows(rows, ["site_code", "woo_order_id"])
 
 
+@query(
+    "r1_stream_rejects",
+    "entity:s reason:s rows:i",
+    """select 'order' as entity, case when k % 50 = 0 then 'not a document' when k % 77 = 0 then 'no id' when k % 83 = 0 then 'id is no number' else 'landed' end as reason,
+count(*) as rows from base_order group by 1, 2
+union all
+select 'line', case when n = 2 then 'no id' when n = 5 then 'id is no number' when n > 5 then 'landed' else 'not a document' end, count(*)
+from (select unnest([n, 9]) as n from (select (l_partkey * 10 + l_linenumber) % 10 as n from lineitem where l_linenumber between 2 and 5)) group by 1, 2
+union all
+select 'order of lines', 'landed', count(*) from lineitem where l_linenumber between 2 and 5""",
+)
+def _(r):
+    """Orders and lines of which some are broken: rows and rejects of both in their logs."""
+    landed, orders, items, bad = (r.folder(n) for n in ("landed", "orders_log", "items_log", "rejects"))
+    source = broken_documents(r).withColumn("part", F.lit("order")).unionByName(broken_line_documents(r).withColumn("part", F.lit("order of lines")))
+    source.select(F.concat("site_code", F.lit("/"), "part").alias("site_code"), "extracted_at", "_payload").write.option("maxRecordsPerFile", LANDED_ROWS).parquet(landed)
+    stream_orders(stream_documents(r.spark, landed, 16), r.folder("cp"), orders, items, bad, most_rejects=0.6)
+    part = F.substring_index("site_code", "/", -1)
+    rows = loads.read_log(r.spark, orders, "site_code string, woo_order_id bigint").select(part.alias("entity"), F.lit("landed").alias("reason"))
+    lines = loads.read_log(r.spark, items, "site_code string, woo_order_item_id bigint").select(F.lit("line").alias("entity"), F.lit("landed").alias("reason"))
+    told = loads.read_log(r.spark, bad, REJECT_SCHEMA).select("entity", "reason")
+    return rows.unionByName(lines).unionByName(told).groupBy("entity", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query(
     "r2_stream_resumes",
     "resumed:b rows:i",

@@ -4,9 +4,12 @@ Input: a DataFrame ``(site_code, extracted_at, _payload STRING)`` as read from
 landed JSON lines, all sites together. Raw rows promote a few fields and keep the
 whole document as text. No step here shuffles.
 
-A document that can't be read, or has no id, lands nowhere: ``rejects`` lists them all and
-``assert_few_rejects`` stops a load with too many. Lines of such orders are not landed
-either; their documents are in the list.
+A document that can't be read, or whose id is missing or no number, lands nowhere:
+``rejects`` lists them all and ``assert_few_rejects`` stops a load with too many. Lines of
+such orders are not landed either; their documents are in the list. An entry of
+``line_items`` is judged the same way, by ``line_rejects``.
+
+``judged`` parses a document once, for its rows and for the rejects: a stream writes both.
 """
 
 from __future__ import annotations
@@ -38,19 +41,45 @@ def _parsed(docs: DataFrame, fields: str) -> DataFrame:
     return docs.withColumn("d", F.from_json("_payload", schema, {"columnNameOfCorruptRecord": CORRUPT}))
 
 
+def _id() -> Column:
+    """The document's id; text that is no whole number gives none, and stops nothing."""
+    return F.expr("try_cast(d.id as bigint)")
+
+
 def _good() -> Column:
-    return F.col("d").isNotNull() & F.col(f"d.{CORRUPT}").isNull() & F.col("d.id").isNotNull()
+    return F.col("d").isNotNull() & F.col(f"d.{CORRUPT}").isNull() & _id().isNotNull()
 
 
 def _promoted(docs: DataFrame, fields: str) -> DataFrame:
     return _parsed(docs, fields).filter(_good())
 
 
+def judged(docs: DataFrame, fields: str) -> DataFrame:
+    """``docs`` with the parsed fields as ``d`` and ``reason``: NULL, or why it can't be landed."""
+    unread = F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()
+    reason = F.when(unread, "not a document").when(F.col("d.id").isNull(), "no id").when(_id().isNull(), "id is no number")
+    return _parsed(docs, fields).withColumn("reason", reason)
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("reason").isNull())
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """What ``judged`` refuses, with the reason; lines with their order's id."""
+    order = F.col("woo_order_id") if "woo_order_id" in rows.columns else F.lit(None).cast("bigint")
+    bad = rows.filter(F.col("reason").isNotNull())
+    return bad.select("site_code", "extracted_at", order.alias("woo_order_id"), "_payload", "reason")
+
+
 def rejects(docs: DataFrame) -> DataFrame:
     """Documents that can't be landed, with the reason; keep them beside the raw tables."""
-    bad = _parsed(docs, "id").filter(~F.coalesce(_good(), F.lit(False)))
-    unread = F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()
-    return bad.select("site_code", "extracted_at", "_payload", F.when(unread, "not a document").otherwise("no id").alias("reason"))
+    return rejected(judged(docs, "id")).drop("woo_order_id")
+
+
+def line_rejects(docs: DataFrame) -> DataFrame:
+    """Entries of the orders' ``line_items`` that can't be landed, with the reason."""
+    return rejected(judged_lines(accepted(judged(docs, LINE_FIELDS))))
 
 
 def landed_counts(docs: DataFrame) -> DataFrame:
@@ -67,13 +96,13 @@ def assert_few_rejects(docs: DataFrame, share: float = 0.01) -> None:
         raise ValueError(f"{worst['rejected']} of {worst['landed'] + worst['rejected']} documents of {worst['site_code']} are bad")
 
 
-def _id() -> Column:
-    return F.col("d.id").cast("bigint")
+ORDER_FIELDS = "id, number, status, currency, date_created_gmt, date_modified_gmt"
+LINE_FIELDS = "id, line_items array<string>"
 
 
-def land_orders(docs: DataFrame) -> DataFrame:
-    rows = _promoted(docs, "id, number, status, currency, date_created_gmt, date_modified_gmt")
-    return rows.select(
+def order_rows(rows: DataFrame) -> DataFrame:
+    """Raw orders of judged documents."""
+    return accepted(rows).select(
         "site_code",
         _id().alias("woo_order_id"),
         "d.number",
@@ -86,20 +115,33 @@ def land_orders(docs: DataFrame) -> DataFrame:
     )
 
 
-def land_order_items(docs: DataFrame) -> DataFrame:
-    """One row per entry of ``line_items``; a null or absent list gives none."""
-    orders = _promoted(docs, "id, line_items array<string>")
+def land_orders(docs: DataFrame) -> DataFrame:
+    return order_rows(judged(docs, ORDER_FIELDS))
+
+
+def judged_lines(orders: DataFrame) -> DataFrame:
+    """One judged row per entry of ``line_items``; a null or absent list gives none."""
     lines = orders.select(
         "site_code", _id().alias("woo_order_id"), "extracted_at", F.explode("d.line_items").alias("_payload")
     )
-    return _parsed(lines, "id").select(
+    return judged(lines, "id")
+
+
+def line_rows(rows: DataFrame) -> DataFrame:
+    """Raw lines of judged entries."""
+    return accepted(rows).select(
         "site_code", "woo_order_id", _id().alias("woo_order_item_id"), "extracted_at", "_payload"
     )
 
 
-def land_entity(docs: DataFrame, id_column: str) -> DataFrame:
-    """Products, customers or coupons."""
-    return _promoted(docs, "id, date_modified_gmt").select(
+def land_order_items(docs: DataFrame) -> DataFrame:
+    """One row per good entry of ``line_items`` of a good order; see ``line_rejects``."""
+    return line_rows(judged_lines(accepted(judged(docs, LINE_FIELDS))))
+
+
+def entity_rows(rows: DataFrame, id_column: str) -> DataFrame:
+    """Raw products, customers or coupons of judged documents."""
+    return accepted(rows).select(
         "site_code",
         _id().alias(id_column),
         parse_gmt("d.date_modified_gmt").alias("date_modified_gmt"),
@@ -108,6 +150,14 @@ def land_entity(docs: DataFrame, id_column: str) -> DataFrame:
     )
 
 
+ENTITY_FIELDS = "id, date_modified_gmt"
+
+
+def land_entity(docs: DataFrame, id_column: str) -> DataFrame:
+    """Products, customers or coupons."""
+    return entity_rows(judged(docs, ENTITY_FIELDS), id_column)
+
+
 def land_refunds(docs: DataFrame) -> DataFrame:
     """Refund documents, each row also carrying its parent ``woo_order_id``."""
     return _promoted(docs, "id, date_created_gmt").select(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.sources import landing, loads, state
-from tallyhouse.streaming.ingest import stream_documents, stream_entity, stream_orders
+from tallyhouse.streaming.ingest import stream_documents, stream_entity, stream_orders, stream_rows
 
 PARCEL = {
     "id": 31, "number": "N-31", "status": "processing", "currency": "NOK",
@@ -42,18 +42,50 @@ def test_only_orders_with_refunds(rows):
 
 def test_bad_documents_are_told(rows):
     whole = json.dumps(PARCEL)
-    mixed = docs(rows, PARCEL, whole[:-9], whole[:40], "", "[1]", '{"number": "no id"}', '{"id": null}')
+    mixed = docs(rows, PARCEL, whole[:-9], whole[:40], "", "[1]", '{"number": "no id"}', '{"id": null}', '{"id": "abc"}', '{"id": 1.5}', '{"id": "99999999999999999999"}')
     assert [r.woo_order_id for r in landing.land_orders(mixed).collect()] == [31]
     assert landing.land_order_items(mixed).count() == 3
     bad = {r._payload: r.reason for r in landing.rejects(mixed).collect()}
-    assert len(bad) == 6 and bad['{"id": null}'] == bad['{"number": "no id"}'] == "no id" and bad[whole[:40]] == "not a document"
+    assert len(bad) == 9 and {bad[x] for x in bad if '"id": ' in x and x != '{"id": null}' and len(x) < 40} == {"id is no number"}
+    assert bad['{"id": null}'] == bad['{"number": "no id"}'] == "no id" and bad[whole[:40]] == "not a document"
     (n,) = landing.landed_counts(mixed).collect()
-    assert (n.landed, n.rejected) == (1, 6)
+    assert (n.landed, n.rejected) == (1, 9)
     landing.assert_few_rejects(mixed, 0.9)
-    with pytest.raises(ValueError, match="6 of 7"):
+    with pytest.raises(ValueError, match="9 of 10"):
         landing.assert_few_rejects(mixed, 0.5)
 
 
+def test_bad_lines_are_told(rows):
+    good = {"id": 3, "quantity": 1}
+    mixed = docs(rows, {"id": 1, "line_items": [{"name": "x"}, "junk", 7, good, None, {"id": "b"}, [1], {"id": 4}]}, {"id": 2, "line_items": "none"}, {"id": "x", "line_items": [good]})
+    got = landing.land_order_items(mixed).collect()
+    assert sorted((r.woo_order_id, r.woo_order_item_id) for r in got) == [(1, 3), (1, 4)]
+    told = landing.line_rejects(mixed).collect()
+    assert {r.woo_order_id for r in told} == {1}
+    assert sorted(r.reason for r in told) == ["id is no number", "no id", "not a document", "not a document", "not a document", "not a document"]
+
+
+def test_stream_tells_what_it_rejects(spark, rows, tmp_path):
+    landed, olog, ilog, bad, cp = (str(tmp_path / n) for n in ("landed", "orders", "items", "bad", "cp"))
+    whole = json.dumps(PARCEL)
+    docs(rows, PARCEL, *[{**PARCEL, "id": 100 + i} for i in range(96)], whole[:50], '{"id": "x"}', {"id": 5, "line_items": [{"id": 1}, "junk"]}).write.parquet(landed)
+    stream_orders(stream_documents(spark, landed), cp, olog, ilog, bad, most_rejects=0.02)
+    told = sorted((r.entity, r.woo_order_id, r.reason) for r in spark.read.parquet(bad).collect())
+    assert told == [("line", 5, "not a document"), ("order", None, "id is no number"), ("order", None, "not a document")]
+    assert spark.read.parquet(olog).count() == 98 and spark.read.parquet(ilog).count() == 97 * 3 + 1
+
+
+def test_batch_with_too_many_rejects_does_not_commit(spark, rows, tmp_path):
+    landed, log, bad, cp = (str(tmp_path / n) for n in ("landed", "log", "bad", "cp"))
+    docs(rows, PARCEL, "{", "{", '{"id": 4}').write.parquet(landed)
+    with pytest.raises(Exception, match="2 of 4 rows"):
+        stream_rows(stream_documents(spark, landed), cp, log, "k", bad)
+    assert not (tmp_path / "log").exists() and spark.read.parquet(bad).count() == 2
+    assert not list((tmp_path / "cp" / "commits").glob("[0-9]*"))
+    stream_rows(stream_documents(spark, landed), cp, log, "k", bad, most_rejects=0.5)      # looked at, and let through
+    assert spark.read.parquet(log).count() == 2 and spark.read.parquet(bad).count() == 2
+
+
 def test_landed_lines_are_read_by_site(spark, tmp_path):
     for site in ("KIEL", "OSLO"):
         (tmp_path / f"site_code={site}").mkdir()
