@@ -13,7 +13,8 @@ from tallyhouse.functions.money import TOTAL
 from tallyhouse.session import settle
 
 BLOCK_BITS = 20     # rows of one fill block: 2**20 order numbers
-CUTS = 127          # value ranges of a running total
+RANGE_ROWS = 1 << 20    # distinct values of one range of a running total, about
+BLOCK_RANGES = 1 << 10  # ranges whose totals are added up by one task
 
 
 def ffill(
@@ -88,25 +89,22 @@ def _share(x: str) -> Column:
     return F.round(part / F.nullif(total, F.lit(0).cast("decimal(26,6)")), 12).cast("decimal(28,12)")
 
 
-def levels(df: DataFrame, x: str) -> DataFrame:
+def levels(df: DataFrame, x: str, range_rows: int | None = None) -> DataFrame:
     """Distinct values of ``x`` with what lies at or above each of them.
 
     Columns: ``x``, ``rank`` (1 + rows above), ``cum`` (sum at or above). Ties share
-    one row, so they always count together. Values are cut into ranges at
-    approximate quantiles; each range is summed by its own task, and the totals of
-    at most ``CUTS + 1`` ranges are carried over. Any cut gives the same result.
-    The distinct values are read three times, so they are written first.
+    one row, so they always count together. Values are dealt into sampled ranges, as many
+    as their number needs; each range is summed by its own task. The totals of the ranges
+    are added up in blocks, the totals of the blocks by one task. Any cut gives the same
+    result. The distinct values are read several times, so they are written first.
     """
     flat = settle(
         df.filter(F.col(x).isNotNull())
         .groupBy(x)
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(x).cast(TOTAL).alias("_s"))
     )
-    quantiles = F.array(*[F.lit((i + 1) / (CUTS + 1)) for i in range(CUTS)])
-    cuts = flat.agg(F.percentile_approx(x, quantiles, 10_000)).scalar()
-    ranged = flat.withColumn("_cuts", cuts).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda b: b > F.col(x)))
-    ).drop("_cuts")
+    ranges = max(1, -(-flat.count() // (range_rows or RANGE_ROWS)))
+    ranged = settle(flat.repartitionByRange(ranges, F.desc(x)).withColumn("_range", F.spark_partition_id()))
 
     down = Window.partitionBy("_range").orderBy(F.desc(x))
     inside = ranged.select(
@@ -115,14 +113,19 @@ def levels(df: DataFrame, x: str) -> DataFrame:
         F.sum("_n").over(down.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
         F.col("_n"),
     )
-    per_range = ranged.groupBy("_range").agg(F.sum("_s").alias("_rs"), F.sum("_n").alias("_rn"))
-    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)   # <= CUTS + 1 rows
-    offsets = per_range.select(
-        "_range",
-        F.coalesce(F.sum("_rs").over(above), F.lit(0)).alias("_os"),
-        F.coalesce(F.sum("_rn").over(above), F.lit(0)).alias("_on"),
-    )
-    return inside.join(F.broadcast(offsets), "_range").select(
+    block = F.floor(F.col("_range") / BLOCK_RANGES).alias("_block")
+    per_range = ranged.groupBy("_range").agg(F.sum("_s").alias("_rs"), F.sum("_n").alias("_rn")).select("*", block)
+    per_block = per_range.groupBy("_block").agg(F.sum("_rs").alias("_bs"), F.sum("_rn").alias("_bn"))
+    blocks_above = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)      # a row a block
+    above = Window.partitionBy("_block").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(c: str, w) -> Column:
+        return F.coalesce(F.sum(c).over(w), F.lit(0))
+
+    per_block = per_block.select("_block", before("_bs", blocks_above).alias("_bs"), before("_bn", blocks_above).alias("_bn"))
+    offsets = per_range.select("_block", "_range", before("_rs", above).alias("_rs"), before("_rn", above).alias("_rn")).join(per_block, "_block")
+    offsets = offsets.select("_range", (F.col("_rs") + F.col("_bs")).alias("_os"), (F.col("_rn") + F.col("_bn")).alias("_on"))
+    return inside.join(offsets, "_range").select(
         x,
         (F.col("_upto") - F.col("_n") + F.col("_on") + 1).cast("bigint").alias("rank"),
         (F.col("_cum") + F.col("_os")).cast(TOTAL).alias("cum"),

@@ -37,6 +37,23 @@ def test_running_total_with_ties(spark):
     assert got == {f"p{i}": D(sum(w for w in VALUES if w >= v)) for i, v in enumerate(VALUES)}
 
 
+def test_ranges_follow_the_data(spark, monkeypatch):
+    monkeypatch.setattr(windows, "BLOCK_RANGES", 4)
+    for n in (10, 4000):
+        df = spark.range(n).select((F.col("id") % 997 + F.lit(0)).cast("decimal(18,6)").alias("x"))
+        found = windows.levels(df, "x", range_rows=50)
+        ranges = -(-min(n, 997) // 50)
+        assert found.count() == min(n, 997)
+        values = sorted((int(v) % 997 for v in range(n)), reverse=True)
+        above, rank = {}, {}
+        for i, v in enumerate(values):
+            rank.setdefault(v, i + 1)
+            above[v] = sum(values[: i + 1])
+        assert {int(r.x): (r["rank"], int(r.cum)) for r in found.collect()} == {v: (rank[v], above[v]) for v in rank}
+        dealt = [p for p in found.inputFiles() if "settled" in p]
+        assert ranges // 2 <= len(set(dealt)) <= ranges
+
+
 def test_levels_rank(spark):
     got = {int(r.x): r["rank"] for r in windows.levels(products(spark, VALUES), "x").collect()}
     assert got == {v: 1 + sum(w > v for w in VALUES) for v in set(VALUES)}
