@@ -194,7 +194,7 @@ def fact_table(star, fact: str) -> DataFrame:
     return customer_bands(df) if fact == PEOPLE else df
 
 
-def _group_columns(fact: str, by: list[str]) -> tuple[list[str], list[str]]:
+def group_columns(fact: str, by: list[str]) -> tuple[list[str], list[str]]:
     """Foreign keys and own columns of the fact that serve the group-by list."""
     keys, own = [], []
     for c in by:
@@ -227,7 +227,7 @@ def reduced(
     """Additive parts per group, and per distinct part its groups with the key."""
     conditions = where or {}
     columns = list(dict.fromkeys([*by, *(extra or []), *conditions]))
-    keys, own = _group_columns(fact, columns)
+    keys, own = group_columns(fact, columns)
     df = fact_table(star, fact)
     if dates is not None and "date_sk" in FACT_KEYS[fact]:
         df = df.filter(F.col("date_sk").between(*dates))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.keys import date_of_sk
 from tallyhouse.functions.money import total_ratio
-from tallyhouse.plans.measures import MEASURES, fact_table, parts_of, reduced, value
+from tallyhouse.plans import days
+from tallyhouse.plans.measures import MEASURES, fact_table, parts_of, reduced, slice_by, value
 from tallyhouse.session import settle
 
 
@@ -86,13 +87,36 @@ def _daily(star, measure: str, by: list[str], dates: tuple[int, int] | None = No
     return parts, rows, keyed
 
 
+def _daily_seen(star, measure: str, by: list[str], dates: tuple[int, int] | None) -> tuple[dict, DataFrame]:
+    """Parts per group and day, from the day summaries where they have the groups. Of
+    distinct keys only whether there are any is right."""
+    parts, rows = parts_of([measure]), None
+    for fact in dict.fromkeys(p.fact for p in parts.values()):
+        mine = {n: p for n, p in parts.items() if p.fact == fact}
+        held = days.covering(star, fact, by)
+        if held is not None:
+            summary, keys = held
+            if dates is not None:
+                summary = summary.filter(F.col("date_sk").between(*dates))
+            small = summary.groupBy(*dict.fromkeys([*keys, "date_sk"])).agg(*[F.sum(f"`{n}`").alias(n) for n in mine])
+            found = [(list(mine), slice_by(star, small, by))]
+        else:
+            additive, distincts = reduced(star, fact, mine, by, extra=["date_sk"], dates=dates)
+            found = [([n for n, p in mine.items() if p.kind != "distinct"], additive)] if additive is not None else []
+            found += [([n], keyed.withColumn(n, F.when(F.col(f"`{n}`").isNotNull(), F.lit(1).cast("bigint")))) for n, keyed in distincts]
+        for names, df in found:
+            flat = df.groupBy(*by, "date_sk").agg(*[F.sum(f"`{n}`").alias(n) for n in names])
+            rows = flat if rows is None else rows.unionByName(flat, allowMissingColumns=True)
+    return parts, rows
+
+
 def last_data_date(star, measure: str, by: list[str] | tuple[str, ...] = (), dates=None) -> DataFrame:
-    """Latest day per group on which the measure is not blank."""
+    """Latest day per group on which the measure is not blank.
+
+    Read from the day summaries of the star, if it has them and they have the groups'
+    keys; a star without, or a group by customer or product, reads the facts."""
     by = list(by)
-    parts, rows, keyed = _daily(star, measure, by, dates)
-    for n, keys in keyed:
-        counted = keys.groupBy(*by, "date_sk").agg(F.count_distinct(f"`{n}`").alias(n))
-        rows = counted if rows is None else rows.unionByName(counted, allowMissingColumns=True)
+    parts, rows = _daily_seen(star, measure, by, dates)
     folded = rows.groupBy(*by, "date_sk").agg(*[F.sum(f"`{n}`").alias(n) for n in parts])
     seen = folded.select(*by, date_of_sk("date_sk").alias("_day"), value(measure).alias("_value"))
     return seen.groupBy(*by).agg(F.max(F.when(F.col("_value").isNotNull(), F.col("_day"))).alias("last_data_date"))
@@ -103,9 +127,11 @@ def date_key(day: date) -> int:
 
 
 def _last_day(star, measure: str, dates: tuple[int, int] | None) -> date | None:
-    """Latest day on which the measure is not blank, looked for from the newest days
-    back, in spans that grow eightfold, so old history is rarely read."""
+    """Latest day on which the measure is not blank. Without day summaries it is looked for
+    from the newest days back, in spans that grow eightfold, so old history is rarely read."""
     parts = parts_of([measure])
+    if all(days.covering(star, p.fact, []) for p in parts.values()):
+        return last_data_date(star, measure, (), dates).first()[0]
     facts = [fact_table(star, f) for f in dict.fromkeys(p.fact for p in parts.values())]
     ends = [f.agg(F.min("date_sk"), F.max("date_sk")).first() for f in facts]
     ends = [e for e in ends if e[0] is not None]
@@ -114,15 +140,15 @@ def _last_day(star, measure: str, dates: tuple[int, int] | None) -> date | None:
     low, high = min(e[0] for e in ends), max(e[1] for e in ends)
     if dates is not None:
         low, high = max(low, dates[0]), min(high, dates[1])
-    last, days = datetime.strptime(str(high), "%Y%m%d").date(), 31
+    last, span = datetime.strptime(str(high), "%Y%m%d").date(), 31
     while low <= high:
-        start = max(low, date_key(max(last - timedelta(days), date(1, 1, 1))))
+        start = max(low, date_key(max(last - timedelta(span), date(1, 1, 1))))
         found = last_data_date(star, measure, (), (start, high)).first()
         if found is not None and found[0] is not None:
             return found[0]
         if start == low:
             break
-        days *= 8
+        span *= 8
     return None
 
 
@@ -141,8 +167,8 @@ def period_delta(
 
     Both windows are filled by one conditional aggregation. The anchor is the last day
     with data in the selection, or ``as_of``; the windows themselves look beyond it. It
-    is found first (one small row per group), so the facts are read between literal
-    dates only. A chosen range (``SELECTED``) gives the groups with data in its windows.
+    is found first (one small row per group, from the day summaries), so the facts are
+    read between literal dates only. A chosen range (``SELECTED``) gives the groups with data in its windows.
     """
     by = list(by)
     if measure not in MEASURES:

@@ -27,10 +27,37 @@ CONFORMED = {
 PLACE = {"site_sk": "dim_site", "date_sk": "dim_date"}
 TO_ORDER = {"order_sk": "fact_order"}
 
+#: Name under which the rows of a table are counted beside its rules.
+ROWS = "rows"
+COUNTED = "model string, rule string, violations bigint"
+
+# Raw tables: what was landed, by the name of its input.
+RAW = {
+    "raw_orders": "orders", "raw_order_items": "order_items", "raw_products": "products", "raw_customers": "customers",
+    "raw_refunds": "refunds", "raw_coupons": "coupons", "raw_cost": "cost_sheet",
+}
+
+
+def _landed(*keys: str) -> dict:
+    return {"unique": [keys], "not_null": list(keys)}
+
+
 # table -> its rules: keys that are unique, columns never NULL, accepted labels,
-# parents of foreign keys, and conditions every row meets.
+# parents of foreign keys, conditions every row meets (or every row of a kind), and
+# the table it has as many rows as.
 SUITE: dict[str, dict] = {
+    "raw_orders": _landed("site_code", "woo_order_id"),
+    "raw_order_items": _landed("site_code", "woo_order_id", "woo_order_item_id"),
+    "raw_products": _landed("site_code", "woo_product_id"),
+    "raw_customers": {"not_null": ["site_code", "woo_customer_id"]},
+    "raw_refunds": {**_landed("site_code", "woo_refund_id"), "not_null": ["site_code", "woo_refund_id", "woo_order_id"]},
+    "raw_coupons": _landed("site_code", "woo_coupon_id"),
+    "raw_cost": _landed("site_code", "woo_order_id"),
+    "stg_customers": {"not_null": ["woo_customer_id"]},
+    "stg_coupons": {"unique": ["woo_coupon_id"], "not_null": ["woo_coupon_id"]},
+    "recon_unmatched_csv_cost": {"not_null": ["site_code", "order_code"]},
     "stg_orders": {
+        "same_rows": "raw_orders",
         "unique": ["order_natural_key"],
         "not_null": ["order_natural_key", "woo_order_id", "customer_hash", "currency_source"],
         "accepted": {"status": STATES, "currency_source": CURRENCIES},
@@ -68,6 +95,7 @@ SUITE: dict[str, dict] = {
         "accepted": {"order_status": STATES},
         "parents": {**TO_ORDER, **PLACE, "product_sk": "dim_product", **CONFORMED},
         "holds": {"line_revenue_usd >= 0": lambda: F.col("line_revenue_usd") >= 0, "quantity > 0": lambda: F.col("quantity") > 0},
+        "holds_where": {"line_revenue_usd >= 0": "line_revenue_usd is not null"},
     },
     "fact_refund": {
         "unique": ["refund_sk"],
@@ -106,9 +134,35 @@ def _row_rules(rules: dict) -> dict[str, Column]:
     out = {f"not_null {c}": F.col(c).isNotNull() for c in rules.get("not_null", [])}
     out |= {f"accepted {c}": F.col(c).isin(*v) for c, v in rules.get("accepted", {}).items()}
     out |= {name: condition() for name, condition in rules.get("holds", {}).items()}
+    out |= {f"{rule} where {kind}": ~F.expr(kind) | F.expr(rule) for rule, kind in rules.get("holds_where", {}).items()}
     return out
 
 
+def row_rules_of(table: str) -> dict[str, Column]:
+    """The rules of a table that each row meets or breaks by itself."""
+    return _row_rules(SUITE.get(table, {}))
+
+
+def table_of(star, table: str) -> DataFrame:
+    return getattr(star.inputs, RAW[table]) if table in RAW else getattr(star, table)
+
+
+def _counted(star, table: str) -> DataFrame:
+    """Rows and broken row rules of a table: counted while it was written, if it still is
+    the table the star has, or now."""
+    df = table_of(star, table)
+    if getattr(star, "written", {}).get(table) is df:
+        return star.row_rules.filter(F.col("model") == table).select("rule", "violations")
+    return check_table(df, {ROWS: F.lit(False), **row_rules_of(table)})
+
+
+def _row_counts(star, table: str, other: str) -> DataFrame:
+    """By how many rows two tables differ."""
+    ours, theirs = (_counted(star, t).filter(F.col("rule") == ROWS).select(F.col("violations").alias(n)) for t, n in ((table, "n"), (other, "m")))
+    other_rows = theirs.scalar()
+    return ours.select(F.lit(f"as many rows as {other}").alias("rule"), F.abs(F.col("n") - other_rows).alias("violations"))
+
+
 def _duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(F.count_if(F.col("n") > 1).alias("violations")).select(
@@ -127,7 +181,7 @@ def _orphans(df: DataFrame, parents: dict[str, str], star) -> DataFrame:
     keys = df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("key").isNotNull()).distinct()
     known = reduce(
         DataFrame.unionByName,
-        [getattr(star, t).select(F.lit(names[fk]).alias("rule"), F.col(fk).cast("string").alias("key")) for fk, t in parents.items()],
+        [table_of(star, t).select(F.lit(names[fk]).alias("rule"), F.col(fk).cast("string").alias("key")) for fk, t in parents.items()],
     )
     lost = keys.join(known, ["rule", "key"], "left_anti").groupBy("rule").agg(F.count(F.lit(1)).alias("violations"))
     every = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names.values()])).alias("rule"))
@@ -135,13 +189,16 @@ def _orphans(df: DataFrame, parents: dict[str, str], star) -> DataFrame:
 
 
 def suite_of(star, table: str) -> DataFrame:
-    """All rules of one table: one pass for row rules, one for foreign keys, one per unique key."""
-    rules, df = SUITE[table], getattr(star, table)
-    results = [check_table(df, _row_rules(rules))]
+    """All rules of one table: row rules as counted on write, one pass for foreign keys, one
+    per unique key. Tables that are not written take one pass for their row rules."""
+    rules, df = SUITE[table], table_of(star, table)
+    results = [_counted(star, table).filter(F.col("rule") != ROWS)]
     for key in rules.get("unique", []):
         results.append(_duplicates(df, [key] if isinstance(key, str) else list(key)))
     if "parents" in rules:
         results.append(_orphans(df, rules["parents"], star))
+    if "same_rows" in rules:
+        results.append(_row_counts(star, table, rules["same_rows"]))
     return reduce(DataFrame.unionByName, results).withColumn("model", F.lit(table))
 
 

@@ -13,6 +13,7 @@ from tallyhouse.functions.money import total_ratio
 from tallyhouse.operators.aggregates import count_groups, group_median, repeat_share
 from tallyhouse.operators.topk import percent_to_reach, top_name, top_percent
 from tallyhouse.operators.windows import running_total, share_of
+from tallyhouse.plans import days
 from tallyhouse.plans.facts import ORDER
 from tallyhouse.plans.measures import MEASURES, evaluate, slice_by
 from tallyhouse.plans.period import date_key, period_delta
@@ -166,7 +167,8 @@ def metric_rows(star, metrics, by: list[str]) -> DataFrame:
 
 def last_order_day(star) -> date | None:
     """The day of the last order, whatever its status."""
-    return star.fact_order.agg(F.max(date_of_sk("date_sk"))).first()[0]
+    held = days.covering(star, "fact_order", [])
+    return (held[0] if held else star.fact_order).agg(F.max(date_of_sk("date_sk"))).first()[0]
 
 
 def growth_12_months(star) -> DataFrame:

@@ -3,7 +3,8 @@
 ``Warehouse`` builds each table once as a lazy DataFrame. ``publish`` writes the
 facts, marts and dimensions as Parquet in dependency order and returns a ``Star``
 that reads them back, so lineage ends at each written table and a lost executor
-costs one table's partitions at most.
+costs one table's partitions at most. The declared row rules of a table are counted
+while it is written, and the facts are summed by day for the period anchors.
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyhouse.operators.joins import active
 from tallyhouse.session import settle
-from tallyhouse.plans import dims, facts, marts, staging
+from tallyhouse.plans import days, dims, facts, marts, quality, recon, staging
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,8 @@ class Inputs:
     country_seed: DataFrame
     site_seed: DataFrame
     salt: str
+    customers: DataFrame | None = None
+    coupons: DataFrame | None = None
 
 
 # Tables that are written, in waves: a table reads only tables of earlier waves.
@@ -84,6 +88,18 @@ class Warehouse:
     def stg_cost(self) -> DataFrame:
         return staging.stg_cost(self.inputs.cost_sheet)
 
+    @cached_property
+    def stg_customers(self) -> DataFrame:
+        return staging.stg_customers(self.inputs.customers, self.inputs.salt)
+
+    @cached_property
+    def stg_coupons(self) -> DataFrame:
+        return staging.stg_coupons(self.inputs.coupons)
+
+    @cached_property
+    def recon_unmatched_csv_cost(self) -> DataFrame:
+        return recon.recon_unmatched_csv_cost(self.stg_cost, self.stg_orders)
+
     @cached_property
     def dim_date(self) -> DataFrame:
         return dims.dim_date_spanning(self.stg_orders, "order_date", (self.stg_refunds, "refund_date"))
@@ -142,39 +158,65 @@ class Warehouse:
 
 
 class Star(Warehouse):
-    """A warehouse whose written tables are read from ``path``."""
+    """A warehouse whose written tables are read from ``path``.
+
+    ``days`` has each fact's sums by day, ``row_rules`` the rows and violations counted
+    while the tables were written.
+    """
 
     def __init__(self, inputs: Inputs, spark: SparkSession, path: str):
         super().__init__(inputs)
         self.spark, self.path = spark, path
+        self.days: dict[str, DataFrame] = {}
+        self.row_rules: DataFrame | None = None
+        self.written: dict[str, DataFrame] = {}
 
     def load(self, name: str, schema) -> None:
-        self.__dict__[name] = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        self.__dict__[name] = self.written[name] = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
 
-def _write(df: DataFrame, path: str) -> None:
+def _write(df: DataFrame, path: str, rules: dict[str, Column]) -> dict[str, int]:
     """Write one table; facts are dealt into ranges of dates, a file to a range.
 
     A date range then opens few files. Order keys split a day that is too large for
-    one file.
+    one file. Returns the rows, and the violations of each rule: they are counted as the
+    rows pass on to the files, so the table is not read for them.
     """
     if "date_sk" in df.columns and "order_sk" in df.columns:
         df = df.repartitionByRange("date_sk", "order_sk").sortWithinPartitions("date_sk")
-    df.write.mode("errorifexists").parquet(path)
+    counts, names = Observation(), {f"r{i}": name for i, name in enumerate(rules)}
+    broken = [F.count_if(~F.coalesce(rules[name], F.lit(True))).alias(r) for r, name in names.items()]
+    df.observe(counts, F.count(F.lit(1)).alias("rows"), *broken).write.mode("errorifexists").parquet(path)
+    found = counts.get
+    return {quality.ROWS: found["rows"], **{name: found[r] for r, name in names.items()}}
 
 
 def publish(inputs: Inputs, path: str) -> Star:
     """Write the star under ``path`` and return it; tables of a wave run side by side."""
     star = Star(inputs, inputs.orders.sparkSession, path)
     star.fx, star.fees      # looked at once, before threads share them
+    counted: list[tuple[str, str, int]] = []
 
     def build(name: str) -> tuple[str, StructType]:
         df = getattr(star, name)
-        _write(df, f"{path}/{name}")
+        found = _write(df, f"{path}/{name}", quality.row_rules_of(name))
+        counted.extend((name, rule, n) for rule, n in found.items())
         return name, df.schema
 
+    def summed(fact: str) -> None:
+        days.append(getattr(star, fact), fact, f"{path}/days/{fact}", batch_id=0)
+
     with ThreadPoolExecutor(THREADS) as pool:
+        waiting = []
         for wave in WAVES:
             for name, schema in list(pool.map(build, wave)):
                 star.load(name, schema)
+                if name in days.FACTS:
+                    waiting.append(pool.submit(summed, name))
+        for done in waiting:
+            done.result()
+    star.days = {fact: days.read(star.spark, fact, f"{path}/days/{fact}") for fact in days.FACTS}
+    rules = star.spark.createDataFrame(sorted(counted), quality.COUNTED).coalesce(1)      # a row a declared rule
+    rules.write.parquet(f"{path}/row_rules")
+    star.row_rules = star.spark.read.schema(quality.COUNTED).parquet(f"{path}/row_rules")
     return star

@@ -276,6 +276,40 @@ def raw_cost(tables) -> DataFrame:
     return rows.withColumnRenamed("_id", "woo_order_id")
 
 
+def customer_documents(tables) -> DataFrame:
+    k = F.col("c_custkey")
+    return tables("customer").join(tables("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        site_of(k).alias("site_code"),
+        k.alias("woo_customer_id"),
+        stamp(),
+        payload(
+            id=k,
+            email=F.when(k % 9 == 0, F.lit(" ")).otherwise(F.concat("c_name", F.lit("@x.test"))),
+            _billing=F.struct(F.when(k % 8 != 0, F.lower("n_name")).otherwise(F.lit("")).alias("country")),
+            date_created_gmt=F.lit("1994-05-06T07:08:09"),
+        ).alias("_payload"),
+    )
+
+
+def coupon_documents(tables) -> DataFrame:
+    """Coupons made of suppliers: a small list of the shop."""
+    k = F.col("s_suppkey")
+    return tables("supplier").select(
+        site_of(k).alias("site_code"),
+        k.alias("woo_coupon_id"),
+        F.lit("2000-02-03 04:05:06").cast("timestamp").alias("date_modified_gmt"),
+        stamp(),
+        payload(
+            id=k,
+            code=F.when(k % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit(" "), "s_name", F.lit(" "))),
+            discount_type=F.when(k % 2 == 0, F.lit("percent")).otherwise(F.lit("fixed_cart")),
+            amount=F.when(k % 5 == 0, F.lit("")).otherwise(cents(F.col("s_acctbal")).cast("string")),
+            date_created_gmt=F.lit("1999-01-02T03:04:05Z"),
+            date_modified_gmt=F.when(k % 3 == 0, F.lit("2001-01-01T00:00:00")),
+        ).alias("_payload"),
+    )
+
+
 def last_day(tables) -> date:
     """The last day a rate can be asked for: of an order or of a returned line."""
     ends = [tables(t).agg(F.max(c).cast("date")).first()[0] for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
@@ -355,4 +389,6 @@ def inputs(spark: SparkSession, tables) -> Inputs:
         country_seed=country_seed(tables),
         site_seed=site_seed(tables),
         salt=SALT,
+        customers=customer_documents(tables),
+        coupons=coupon_documents(tables),
     )

@@ -8,7 +8,7 @@ from tallyhouse.operators import checks
 from tallyhouse.operators.setops import set_diff
 from tallyhouse.plans import quality
 from tallyhouse.plans.facts import ORDER
-from tallyhouse.queries.registry import oracle_sql, query
+from tallyhouse.queries.registry import compose, oracle_sql, query
 
 
 @query("x1_not_null", "woo_order_id:i", "select k as woo_order_id from stg_o where country is null")
@@ -77,7 +77,15 @@ def _(r):
     return quality.fee_coverage_gate(r.star, minimum=95)
 
 
-@query("x10_set_parity", "site_code:s issue:s", "select 'S4' as site_code, 'missing_from_seed' as issue")
+@query(
+    "x10_set_parity",
+    "site_code:s issue:s",
+    """select site_code, case when n = 1 then 'missing_from_seed' else 'unexpected_in_seed' end as issue from (
+select coalesce(a.site_code, b.site_code) as site_code, case when b.site_code is null then 1 else 2 end as n
+from (select distinct 'S' || (o_orderkey % 5) as site_code from orders) a
+full join (select 'S' || r_regionkey as site_code from region where r_regionkey <> 4) b on a.site_code = b.site_code
+where a.site_code is null or b.site_code is null)""",
+)
 def _(r):
     """Sites met in the orders against the active ones of the seed."""
     met = r.star.fact_order.select("site_code").distinct()
@@ -126,10 +134,22 @@ def _(r):
     return quality.missing_rates(r.star.stg_orders, r.wh.fx)
 
 
+# Keys of what was landed.
+RAW_SQL = {
+    "raw_orders": "select 'S' || (o_orderkey % 5) as site_code, o_orderkey as woo_order_id from orders",
+    "raw_order_items": compose("select site_code, k as woo_order_id, item_id as woo_order_item_id from stg_i", "site_code:s woo_order_id:i woo_order_item_id:i"),
+    "raw_products": compose("select site_code, product_id as woo_product_id from stg_p", "site_code:s woo_product_id:i"),
+    "raw_customers": "select 'S' || (c_custkey % 5) as site_code, c_custkey as woo_customer_id from customer join nation on c_nationkey = n_nationkey",
+    "raw_refunds": compose("select site_code, refund_id as woo_refund_id, k as woo_order_id from stg_r", "site_code:s woo_refund_id:i woo_order_id:i"),
+    "raw_coupons": "select 'S' || (s_suppkey % 5) as site_code, s_suppkey as woo_coupon_id from supplier",
+    "raw_cost": compose("select site_code, k as woo_order_id from stg_c", "site_code:s woo_order_id:i"),
+}
+
+
 def suite_sql() -> str:
     """The declared rules over the SQL of the model queries, whose columns have the same names."""
     known = oracle_sql()
-    source = {m: next(sql for name, sql in known.items() if name.split("_", 1)[1] == m) for m in quality.SUITE}
+    source = {m: RAW_SQL[m] if m in RAW_SQL else next(sql for name, sql in known.items() if name.split("_", 1)[1] == m) for m in quality.SUITE}
     rows = []
 
     def rule(model: str, name: str, count: str) -> None:
@@ -143,6 +163,11 @@ def suite_sql() -> str:
             rule(m, f"accepted {c}", f"select count(*) from t_{m} where {c} not in ({listed})")
         for condition in rules.get("holds", {}):
             rule(m, condition, f"select count(*) from t_{m} where not ({condition})")
+        for condition, kind in rules.get("holds_where", {}).items():
+            rule(m, f"{condition} where {kind}", f"select count(*) from t_{m} where {kind} and not ({condition})")
+        if "same_rows" in rules:
+            other = rules["same_rows"]
+            rule(m, f"as many rows as {other}", f"select abs((select count(*) from t_{m}) - (select count(*) from t_{other}))")
         for key in rules.get("unique", []):
             keys = [key] if isinstance(key, str) else list(key)
             rule(m, f"unique {' '.join(keys)}", f"select count(*) from (select 1 from t_{m} group by {', '.join(keys)} having count(*) > 1)")

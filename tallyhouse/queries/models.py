@@ -67,21 +67,6 @@ def _(r):
     return r.wh.stg_refunds
 
 
-def customer_documents(r):
-    k = F.col("c_custkey")
-    return r.table("customer").join(r.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        adapter.site_of(k).alias("site_code"),
-        k.alias("woo_customer_id"),
-        adapter.stamp(),
-        adapter.payload(
-            id=k,
-            email=F.when(k % 9 == 0, F.lit(" ")).otherwise(F.concat("c_name", F.lit("@x.test"))),
-            _billing=F.struct(F.when(k % 8 != 0, F.lower("n_name")).otherwise(F.lit("")).alias("country")),
-            date_created_gmt=F.lit("1994-05-06T07:08:09"),
-        ).alias("_payload"),
-    )
-
-
 @query(
     "p5_stg_customers",
     "site_code:s woo_customer_id:i customer_email_hash:s billing_country_code:s created_at_utc:t",
@@ -91,26 +76,7 @@ case when c_custkey % 8 <> 0 then n_name end as billing_country_code, timestamp
 from customer join nation on c_nationkey = n_nationkey""",
 )
 def _(r):
-    return staging.stg_customers(customer_documents(r), adapter.SALT)
-
-
-def coupon_documents(r):
-    """Coupons made of suppliers: a small list of the shop."""
-    k = F.col("s_suppkey")
-    return r.table("supplier").select(
-        adapter.site_of(k).alias("site_code"),
-        k.alias("woo_coupon_id"),
-        F.lit("2000-02-03 04:05:06").cast("timestamp").alias("date_modified_gmt"),
-        adapter.stamp(),
-        adapter.payload(
-            id=k,
-            code=F.when(k % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit(" "), "s_name", F.lit(" "))),
-            discount_type=F.when(k % 2 == 0, F.lit("percent")).otherwise(F.lit("fixed_cart")),
-            amount=F.when(k % 5 == 0, F.lit("")).otherwise(adapter.cents(F.col("s_acctbal")).cast("string")),
-            date_created_gmt=F.lit("1999-01-02T03:04:05Z"),
-            date_modified_gmt=F.when(k % 3 == 0, F.lit("2001-01-01T00:00:00")),
-        ).alias("_payload"),
-    )
+    return r.wh.stg_customers
 
 
 @query(
@@ -125,7 +91,7 @@ case when s_suppkey % 3 = 0 then timestamp '2001-01-01 00:00:00' else timestamp
 from supplier""",
 )
 def _(r):
-    return staging.stg_coupons(coupon_documents(r))
+    return r.wh.stg_coupons
 
 
 @query(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tallyhouse.plans import days
 from tallyhouse.plans.period import last_data_date, period_delta
 from tallyhouse.queries.oracle_tables import ratio
 from tallyhouse.queries.registry import query
@@ -106,3 +109,29 @@ def _(r):
 @query("w7_last_data_date", "country_name:s last_data_date:d", f"select country_name, max(d) as last_data_date from ({REVENUE_DAYS}) group by 1")
 def _(r):
     return last_data_date(r.star, "revenue", ["country_name"])
+
+
+@query(
+    "w7_day_summary_in_batches",
+    "date_sk:i country_sk:s revenue:m quantity_sold:i last_day:i",
+    """select date_sk, country_sk, sum(case when is_revenue_status then line_revenue_usd end) as revenue, sum(case when is_revenue_status then quantity end) as quantity_sold,
+max(date_sk) over (partition by country_sk) as last_day from f_item group by date_sk, country_sk""",
+)
+def _(r):
+    """The summary kept up batch by batch, one of them written twice, then compacted and
+    appended to: as if made at once."""
+    path, kept, fact = r.folder("days"), r.folder("compacted"), "fact_order_item"
+    batch = F.pmod(F.xxhash64("order_sk"), F.lit(3))
+    for i in (0, 1, 1):
+        days.append(r.star.fact_order_item.filter(batch == i), fact, path, i)
+    days.compact(r.spark, fact, path, kept)
+    days.append(r.star.fact_order_item.filter(batch == 2), fact, kept, 1)
+    rows = days.read(r.spark, fact, kept).groupBy("date_sk", "country_sk").agg(F.sum("revenue").alias("revenue"), F.sum("quantity_sold").alias("quantity_sold"))
+    last = rows.groupBy("country_sk").agg(F.max("date_sk").alias("last_day"))
+    return rows.join(last, "country_sk")
+
+
+@query("w7_last_refund_by_site", "site_code:s last_data_date:d", f"select 'S' || (k % 5) as site_code, max({DAY}) as last_data_date from f_refund group by 1")
+def _(r):
+    """A distinct count that is blank on days without a refund."""
+    return last_data_date(r.star, "refunded_orders", ["site_code"])

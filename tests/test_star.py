@@ -7,12 +7,13 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.plans import quality
+from tallyhouse.plans import days, quality
 from tallyhouse.plans.dims import dim_date
 from tallyhouse.plans.measures import evaluate
-from tallyhouse.plans.period import WINDOWS, period_delta
+from tallyhouse.plans.period import WINDOWS, last_data_date, period_delta
 from tallyhouse.plans.reports import growth_12_months, last_order_day
 from tallyhouse.plans.staging import stg_order_items, stg_orders
+from tallyhouse.plans.warehouse import _write
 from tallyhouse.sources.seeds import country_map
 
 
@@ -106,6 +107,49 @@ def test_periods_read_a_date_range(star, kind, measure, by):
     assert pushed and all("GreaterThanOrEqual(date_sk," in line and "LessThanOrEqual(date_sk," in line for line in pushed)
 
 
+@pytest.mark.parametrize("kind, by", [("MoM", ["country_name"]), ("WoW", ["site_code"]), ("DoD", [])])
+def test_no_job_reads_the_history(star, spark, tmp_path, kind, by):
+    """Days outside the windows lie in files that can't be read."""
+    want = sorted(map(tuple, period_delta(star, "revenue", kind, by).collect()), key=str)
+    ends = last_data_date(star, "revenue", by).agg(F.min("last_data_date"), F.max("last_data_date")).first()
+    low = ends[0].replace(day=1) - timedelta(70)
+    path, fact = str(tmp_path / "fact"), star.fact_order_item
+    fact.withColumn("old", F.col("date_sk") < low.year * 10000 + low.month * 100 + low.day).write.partitionBy("old", "date_sk").parquet(path)
+    broken = 0
+    for file in (tmp_path / "fact" / "old=true").rglob("*.parquet"):
+        file.write_bytes(b"no parquet")
+        broken += 1
+    for crc in (tmp_path / "fact" / "old=true").rglob("*.crc"):
+        crc.write_bytes(b"")
+    own = spark.read.schema(fact.schema).parquet(path)
+    with pytest.raises(Exception):
+        own.agg(F.sum("line_revenue_usd")).collect()
+    other = SimpleNamespace(**{n: getattr(star, n) for n in ("dim_date", "dim_country", "dim_site", "days")}, fact_order_item=own)
+    assert broken > 100
+    assert sorted(map(tuple, period_delta(other, "revenue", kind, by).collect()), key=str) == want
+
+
+def test_anchors_with_and_without_summaries(star):
+    plain = SimpleNamespace(**{n: getattr(star, n) for n in ("dim_date", "dim_country", "dim_site", "dim_payment_method", *days.FACTS)})
+    for measure, by in (("aov", ["country_name"]), ("refund_rate", ["site_code", "region"]), ("distinct_products_sold", ["method_code"]), ("cancelled_orders", [])):
+        got, want = (sorted(map(tuple, last_data_date(s, measure, by).filter("last_data_date is not null").collect()), key=str) for s in (star, plain))
+        assert got == want and got
+
+
+def test_rules_are_counted_while_tables_are_written(star):
+    shown = plan(quality._counted(star, "fact_order_item"))
+    assert "row_rules" in shown and "fact_order_item/" not in shown
+    seen = {(r.model, r.rule): r.violations for r in star.row_rules.collect()}
+    assert seen["fact_order_item", quality.ROWS] == star.fact_order_item.count() and seen["stg_orders", quality.ROWS] == star.stg_orders.count()
+    assert {m for m, _ in seen} >= {"fact_order", "fact_refund", "mart_order_profit", "dim_date"}
+
+
+def test_broken_rows_are_counted_on_write(star, rows, tmp_path):
+    df = rows([(1, 5), (2, None), (3, -1)], "k int, v int")
+    found = _write(df, str(tmp_path / "t"), {"not_null v": F.col("v").isNotNull(), "v >= 0": F.col("v") >= 0})
+    assert found == {"rows": 3, "not_null v": 1, "v >= 0": 1}
+
+
 def test_growth_is_anchored_on_the_last_order(star, run):
     """Cancelled orders only on the last day: no revenue there, yet the window ends there."""
     last = star.fact_order.agg(F.max("date_sk")).first()[0]
