@@ -13,7 +13,7 @@ from tallyhouse.functions.money import total_ratio
 from tallyhouse.operators.aggregates import count_groups, group_median, repeat_share
 from tallyhouse.operators.topk import percent_to_reach, top_name, top_percent
 from tallyhouse.operators.windows import running_total, share_of
-from tallyhouse.plans import days
+from tallyhouse.plans import days, distinct
 from tallyhouse.plans.facts import ORDER
 from tallyhouse.plans.measures import MEASURES, evaluate, slice_by
 from tallyhouse.plans.period import date_key, period_delta
@@ -196,21 +196,30 @@ CALENDAR = ["year", "quarter", "month", "day_of_month"]
 
 
 def calendar_drill(star, names: list[str], depth: int = 3) -> DataFrame:
-    """Sums at every level of year > quarter > month > day, from one day-level pass.
+    """Measures at every level of year > quarter > month > day, from one day-level pass.
 
-    Only for measures that add up; distinct counts and ratios need ``evaluate`` at
-    each level.
+    Sums are rolled up; distinct counts are united as bitmaps from level to level. Ratios
+    need ``evaluate`` at each level.
     """
+    adding, keyed = [], []
     for name in names:
         parts = MEASURES[name].parts
-        if len(parts) != 1 or next(iter(parts.values())).kind == "distinct":
+        if len(parts) != 1 or name not in parts:
             raise ValueError(f"{name} does not add up over dates")
+        (keyed if parts[name].kind == "distinct" else adding).append(name)
     levels = CALENDAR[:depth]
-    daily = evaluate(star, names, levels)
-    rolled = daily.rollup(*levels).agg(
-        F.grouping_id().alias("_gid"), *[F.sum(n).cast("decimal(28,6)").alias(n) for n in names]
-    )
-    return rolled.withColumn("level", F.lit(len(levels)) - F.bit_count("_gid")).drop("_gid")
+    pieces = [distinct.drill(star, name, levels) for name in keyed]
+    if adding:
+        rolled = evaluate(star, adding, levels).rollup(*levels).agg(
+            F.grouping_id().alias("_gid"), *[F.sum(n).cast("decimal(28,6)").alias(n) for n in adding]
+        )
+        pieces.append(rolled.withColumn("level", F.lit(len(levels)) - F.bit_count("_gid")).drop("_gid"))
+    if len(pieces) == 1:
+        return pieces[0]
+    stacked = pieces[0]
+    for piece in pieces[1:]:
+        stacked = stacked.unionByName(piece, allowMissingColumns=True)
+    return stacked.groupBy(*levels, "level").agg(*[F.max(n).alias(n) for n in names])
 
 
 # Every measure that needs no group, for the one-row overview.

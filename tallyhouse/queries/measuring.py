@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyhouse.plans import reports
+from tallyhouse.plans import distinct, reports
 from tallyhouse.plans.measures import evaluate
 from tallyhouse.queries.operating import CURVE_SQL, PARETO_SQL
 from tallyhouse.queries.oracle_tables import REVENUE, ratio
 from tallyhouse.queries.registry import query
+from tallyhouse.session import settle
 
 # Aggregates per fact in SQL, under the names of the measure parts.
 LINE = "filter (where is_revenue_status)"
@@ -307,6 +308,45 @@ def _(r):
     return reports.calendar_drill(r.star, ["revenue", "order_attempts"])
 
 
+YQM = "date_sk // 10000 as y, (date_sk // 100 % 100 + 2) // 3 as q, date_sk // 100 % 100 as m"
+
+
+@query(
+    "q25_calendar_drill_distinct",
+    "year:i quarter:i month:i level:i revenue:M distinct_products_sold:i refunded_orders:i",
+    f"""select y as year, q as quarter, m as month, level, max(rev) as revenue, max(dp) as distinct_products_sold, max(ro) as refunded_orders from (
+select y, q, m, 3 - (grouping(y) + grouping(q) + grouping(m)) as level, sum(line_revenue_usd) filter (where is_revenue_status) as rev,
+nullif(count(distinct product_sk) filter (where is_revenue_status), 0) as dp, null as ro from (select *, {YQM} from f_item) group by rollup (y, q, m)
+union all select y, q, m, 3 - (grouping(y) + grouping(q) + grouping(m)), null, null, count(distinct order_sk) from (select *, {YQM} from f_refund) group by rollup (y, q, m)
+) group by all""",
+)
+def _(r):
+    """Distinct products and refunded orders at every level, from daily bitmaps."""
+    return reports.calendar_drill(r.star, ["revenue", "distinct_products_sold", "refunded_orders"])
+
+
+@query(
+    "q2_distinct_in_batches",
+    "month:i products:i in_range:i",
+    f"""select date_sk // 100 as month, count(distinct product_sk) as products,
+(select count(distinct product_sk) from f_item where is_revenue_status and date_sk between 19950310 and 19960425) as in_range
+from f_item where is_revenue_status group by 1""",
+)
+def _(r):
+    """Daily bitmaps kept up batch by batch, one written twice, with keys numbered as they
+    turn up; then counted by month and over a range of days."""
+    path, rows = r.folder("bitmaps"), distinct.part_rows(r.star, "distinct_products_sold")
+    batch, numbers = F.pmod(F.xxhash64("order_sk"), F.lit(3)), None
+    for i in (0, 1, 1, 2):
+        new = rows.filter(batch == i)
+        numbers = settle(distinct.number_keys(new, "product_sk", numbers))
+        distinct.append(new, "product_sk", numbers, path, i)
+    days = distinct.read(r.spark, path)
+    monthly = distinct.united(days.withColumn("month", F.floor(F.col("date_sk") / 100)), ["month"])
+    chosen = distinct.between(days, 19950310, 19960425, "in_range")
+    return distinct.counted(monthly, ["month"], "products").withColumn("in_range", chosen.scalar())
+
+
 @query(
     "q25_drill_ratios_by_quarter",
     "year:i quarter:i profit_margin:r distinct_products_sold:i",

@@ -202,3 +202,37 @@ def test_entry():
     assert set(e.oracle_sql()) <= set(e.queries())
     assert len(e.queries()) > 180
     assert os.path.exists("/root/testdata/sf0.001")
+
+
+# --- distinct keys ------------------------------------------------------------
+
+
+def test_numbers_are_dense_and_stay(spark, rows):
+    from tallyhouse.plans.distinct import number_keys
+
+    some = rows([(f"k{i % 700}",) for i in range(2000)] + [(None,)], "k string")
+    first = number_keys(some, "k")
+    assert sorted(r.number for r in first.collect()) == list(range(1, 701))
+    more = number_keys(rows([(f"k{i}",) for i in range(650, 900)], "k string"), "k", first)
+    held = {r.k: r.number for r in more.collect()}
+    assert sorted(held.values()) == list(range(1, 901)) and all(held[r.k] == r.number for r in first.collect())
+    assert number_keys(some.filter("k is null"), "k").count() == 0
+
+
+def test_bitmaps_over_several_buckets(spark):
+    from tallyhouse.plans import distinct
+
+    df = spark.range(200_000).select((F.col("id") % 90_000).alias("key"), (F.col("id") % 3).alias("date_sk"))
+    maps = distinct.bitmaps(df, "key", distinct.number_keys(df, "key"), ["date_sk"])
+    assert maps.select("bucket").distinct().count() == 3
+    got = {r.date_sk: r.n for r in distinct.counted(maps, ["date_sk"], "n").collect()}
+    assert got == {r.date_sk: r.n for r in df.groupBy("date_sk").agg(F.count_distinct("key").alias("n")).collect()}
+    assert distinct.between(maps, 0, 1, "n").first().n == df.filter("date_sk < 2").select("key").distinct().count()
+    assert distinct.between(maps, 7, 9, "n").first().n is None
+
+
+def test_drill_of_a_ratio_is_refused(star):
+    from tallyhouse.plans.reports import calendar_drill
+
+    with pytest.raises(ValueError):
+        calendar_drill(star, ["aov"])
