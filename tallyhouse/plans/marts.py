@@ -175,6 +175,11 @@ def mart_customer_summary(
         F.mode("site_code", True).alias("_site"),
         F.mode("country_code", True).alias("_country"),
     )
+    return summary_columns(per_customer)
+
+
+def summary_columns(per_customer: DataFrame) -> DataFrame:
+    """The published columns of customers with their totals and most frequent places."""
     return per_customer.select(
         sk("customer_hash").alias("customer_sk"),
         "customer_hash",

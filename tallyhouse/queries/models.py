@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyhouse.plans import recon, staging
+from tallyhouse.plans import customers, recon, staging
 from tallyhouse.plans.dims import dim_date_spanning
-from tallyhouse.plans.marts import customer_bands
+from tallyhouse.plans.marts import customer_bands, customer_orders
 from tallyhouse.queries import adapter
 from tallyhouse.queries.oracle_tables import ratio, sk
 from tallyhouse.queries.registry import query
+from tallyhouse.session import settle
 
 # --- staging -----------------------------------------------------------------
 
@@ -285,6 +286,31 @@ def _(r):
     return r.model("mart_customer_summary")
 
 
+#: Few, for the tables of a test have few customers.
+STATE_BUCKETS = 16
+
+
+def order_values(r):
+    return customer_orders(r.star.stg_orders, r.star.fact_order, r.star.fact_order_item, r.star.fact_refund, r.star.mart_order_profit)
+
+
+@query("m13_customer_summary_in_batches", CUSTOMER_SPEC, CUSTOMER_SQL + " from m_customer")
+def _(r):
+    """The summary kept up by three batches, one of them repeated. The first counts every
+    fifth order twice over and at no site; the last takes that back."""
+    path, orders = r.folder("customers"), settle(order_values(r))
+    k, batch = F.col("woo_order_id"), F.pmod(F.xxhash64("woo_order_id"), F.lit(3))
+    wrong = orders.withColumns({"order_revenue_usd": (F.col("order_revenue_usd") * 2).cast("decimal(28,6)"), "site_code": F.lit(None).cast("string"), "country_code": F.lit("ZZ")})
+    early = orders.filter((batch == 0) & (k % 5 != 0)).unionByName(wrong.filter((batch == 0) & (k % 5 == 0)))
+    customers.update(early, path, 0, STATE_BUCKETS)
+    for _ in range(2):
+        customers.update(orders.filter(batch == 1), path, 1, STATE_BUCKETS)
+    again = (batch == 0) & (k % 5 == 0)
+    late = orders.filter(batch == 2).withColumn("weight", F.lit(1))
+    customers.update(late.unionByName(customers.changes(wrong.filter(again), orders.filter(again))), path, 2, STATE_BUCKETS)
+    return customers.summary(r.spark, path)
+
+
 @query(
     "p14_customer_bands",
     CUSTOMER_SPEC + " days_since_last_order:i recency_segment:s clv_bucket:s segment:s",
