@@ -3,9 +3,13 @@
 Documents are summed by their *membership pattern* (the sorted set of sources they
 belong to). Each pattern supplies its tokens in layers: the first use of a token is
 free, every further use costs more than the one before (convex), up to ``uses``. The
-flow routes that capacity to the quotas of the sources at the least cost. Only the
-pattern sums reach the driver: their number is bounded by ``max_patterns``, beyond
-which the job stops with an error instead of cutting anything.
+flow routes that capacity to the quotas of the sources at the least cost.
+
+A source none of whose documents belongs to another as well leaves nothing to route: it
+gives its quota, or all its uses. Such sources stay in Spark, any number of them, and so do
+the targets: a level is found by sums, a few numbers a round. Only the patterns of
+overlapping sources, and of the sources they touch, reach the driver and its flow: at most
+``max_patterns``, beyond which the job stops with an error instead of cutting anything.
 
 Each pattern's share is then taken from its documents in a seeded order. The order is
 cut into ``BUCKETS`` hash ranges; only the one range a cut falls into is ordered row by
@@ -20,6 +24,7 @@ only its first words that are still wanted, so a pattern's words match its flow
 from __future__ import annotations
 
 import heapq
+import math
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tallyhouse.llm.common import prepare, settle, table
+from tallyhouse.plans.distinct import number_keys
 
 BUCKETS = 4096
 SEED = 20240607
@@ -108,29 +114,78 @@ def route(patterns: dict[tuple, int], quotas: dict, uses: int = 2) -> dict[tuple
     return given
 
 
+def quotas(sums: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) -> DataFrame:
+    """``source``, ``n`` (its size), ``target`` and ``quota`` (rounded) of every source.
+
+    The same as ``targets``: a source gets ``weight * level``, or ``most * n`` where that is
+    less. The level rises until what the sources get is what they share; each round takes
+    two sums over the sources."""
+    place = (F.col("number") - 1) % len(weights)
+    rows = sums.join(number_keys(sums, "source"), "source")
+    rows = settle(rows.select("source", F.col("n").cast("long").alias("n"), F.element_at(F.array(*map(F.lit, weights)), (place + 1).cast("int")).alias("weight")))
+
+    def full(level: Fraction):
+        """``most * n < level * weight``, in whole numbers."""
+        out = F.lit(False)
+        for w in sorted(set(weights)):
+            out = out | ((F.col("weight") == w) & (F.col("n") < math.ceil(level * w / most)))
+        return out
+
+    total, weight = rows.agg(F.sum("n"), F.sum("weight")).first()
+    if not weight:
+        return rows.select("source", "n", F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("quota"))
+    level = share * int(total) / int(weight)
+    while True:
+        held, open_ = rows.agg(F.sum(F.when(full(level), F.col("n"))), F.sum(F.when(~full(level), F.col("weight")))).first()
+        if not open_:
+            break
+        new = (share * int(total) - most * int(held or 0)) / int(open_)
+        if new == level:
+            break
+        level = new
+    by_weight = [(w, float(level * w), round(level * w)) for w in sorted(set(weights))]
+    target, quota = (F.coalesce(*[F.when(F.col("weight") == row[0], F.lit(row[i])) for row in by_weight]) for i in (1, 2))
+    own = F.col("n") * most
+    return rows.select("source", "n", F.when(full(level), own.cast("double")).otherwise(target).alias("target"),
+                       F.when(full(level), own).otherwise(quota.cast("long")).alias("quota"))
+
+
+def shares(sums: DataFrame, goal: DataFrame, uses: int, max_patterns: int) -> DataFrame:
+    """``__p``, ``__full`` (whole uses of its documents) and ``__rest`` (words of one more) of
+    every pattern, from the words of each (``__p``, ``n``) and the quotas."""
+    spark = sums.sparkSession
+    tangled = settle(sums.filter(F.size("__p") > 1).select(F.explode("__p").alias("source")).distinct())
+    met = F.size("__p") == 1
+    single = sums.filter(met).withColumn("source", F.element_at("__p", 1))
+    alone = single.join(tangled, "source", "left_anti").join(goal.select("source", "quota"), "source")
+    given = F.least("quota", F.col("n") * uses)
+    used = F.when(F.col("n") > 0, F.col("n"))
+    plan = alone.select("__p", F.coalesce(F.floor(given / used), F.lit(0)).cast("long").alias("__full"), F.coalesce(given % used, F.lit(0)).cast("long").alias("__rest"))
+    routed = sums.filter(~met).unionByName(single.join(tangled, "source", "left_semi").drop("source")).limit(max_patterns + 1).collect()
+    if len(routed) > max_patterns:
+        raise ValueError(f"over {max_patterns} membership patterns of overlapping sources; merge sources or raise max_patterns")
+    if not routed:
+        return settle(plan)
+    patterns = {tuple(r["__p"]): int(r["n"] or 0) for r in routed}
+    wanted = goal.join(tangled, "source", "left_semi").select("source", "quota").collect()      # sources of those patterns
+    flow = route(patterns, {r["source"]: r["quota"] for r in wanted}, uses)
+    rows = [(list(p), flow[p] // n if n else 0, flow[p] % n if n else 0) for p, n in patterns.items()]
+    return settle(plan.unionByName(spark.createDataFrame(rows, "__p array<string>, __full long, __rest long")))
+
+
 def mix(docs: DataFrame, members: str = "members", size: str = "size", weights=WEIGHTS, seed: int = SEED, uses: int = 2,
-        max_patterns: int = 100_000) -> tuple[DataFrame, dict]:
-    """``docs`` with ``taken``: the words of each row the mix takes, and the targets.
+        max_patterns: int = 100_000) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``taken``: the words of each row the mix takes; and ``quotas``.
 
     ``docs`` has ``doc_id``, ``h``, an array column of the sources each row belongs to
     and a size. Quotas are computed over what each source holds."""
-    spark = docs.sparkSession
     pattern = F.array_sort(F.array_distinct(members)).alias("__p")
     marked = docs.select("*", pattern)
-    sums = marked.groupBy("__p").agg(F.sum(size).alias("n")).limit(max_patterns + 1).collect()
-    if len(sums) > max_patterns:
-        raise ValueError(f"over {max_patterns} membership patterns; merge sources or raise max_patterns")
-    patterns = {tuple(r["__p"]): int(r["n"] or 0) for r in sums}
-    held: dict = {}
-    for p, n in patterns.items():
-        for s in p:
-            held[s] = held.get(s, 0) + n
-    goal = targets(held, weights, most=uses)
-    given = route(patterns, {s: round(t) for s, t in goal.items()}, uses)
+    sums = settle(marked.groupBy("__p").agg(F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("n")))
+    held = sums.select(F.explode("__p").alias("source"), "n").groupBy("source").agg(F.sum("n").alias("n"))
+    goal = settle(quotas(settle(held), weights, most=uses))
+    plan = shares(sums, goal, uses, max_patterns)
 
-    # Whole uses of every document, and what the last, partial use takes of the pattern.
-    plan = [(list(p), given[p] // n if n else 0, given[p] % n if n else 0) for p, n in patterns.items()]
-    plan = F.broadcast(spark.createDataFrame(plan, "__p array<string>, __full long, __rest long"))
     draw = F.xxhash64(F.lit(seed), "doc_id", "h")
     drawn = marked.withColumns({"__draw": draw, "__b": F.shiftrightunsigned(draw, 52)}).join(plan, "__p")
     buckets = drawn.groupBy("__p", "__b").agg(F.sum(size).alias("__n"))
@@ -145,22 +200,21 @@ def mix(docs: DataFrame, members: str = "members", size: str = "size", weights=W
     part = F.greatest(F.lit(0), F.least(F.col(size), room))
     hard = cut.filter(~(whole | none)).withColumn("taken", F.col(size) * F.col("__full") + part)
     out = easy.unionByName(hard).drop("__p", "__full", "__rest", "__draw", "__b", "__n", "__before")
-    return out, {"held": held, "target": goal}
+    return out, goal
 
 
 def mixed_documents(docs: DataFrame, keep_key: bool = False) -> DataFrame:
     """One row per document: ``size``, ``source_size``, ``target``, ``taken``; with
     ``keep_key`` also ``h`` and ``source``."""
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sized = settle(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.col("source").cast("string").alias("source"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size")))
     # A null source travels as a one-element set under a name no source can have.
     name = F.coalesce(F.concat(F.lit("="), "source"), F.lit("~"))
-    out, seen = mix(sized.withColumn("members", F.array(name)), weights=WEIGHTS)
-    rows = [(s, n, float(seen["target"][s])) for s, n in seen["held"].items()]
-    info = F.broadcast(spark.createDataFrame(rows, "__s string, source_size long, target double"))
+    out, goal = mix(sized.withColumn("members", F.array(name)), weights=WEIGHTS)
+    info = goal.select(F.col("source").alias("__s"), F.col("n").alias("source_size"), "target")
     out = out.join(info, F.element_at("members", 1) == F.col("__s"))
     return out.select("doc_id", *["h", "source"][:2 * keep_key], "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
 

@@ -258,6 +258,60 @@ def test_mix(spark, world):
     assert all(0 <= r["taken"] <= 2 * r["size"] for r in rows)
 
 
+def test_mix_against_plain_targets(spark, world):
+    """Every column but the draw, and what the draw comes to."""
+    rows = QUERIES["op7_source_mix"](spark, world["dir"]).collect()
+    size, total, source_of = {}, {}, {}
+    for doc_id, text, _, source, _ in world["rows"]:
+        n = len(brute.TOKEN.findall(text or ""))
+        size.setdefault(doc_id, []).append((n, source))
+        total[source] = total.get(source, 0) + n
+    goal = source_mix.targets(total)
+    want = ordered((i, n, total[s], float(goal[s])) for i, all_ in size.items() for n, s in all_)
+    assert ordered((r["doc_id"], r["size"], r["source_size"], r["target"]) for r in rows) == want
+    by = {}
+    for r in rows:
+        by.setdefault((r["source_size"], r["target"]), []).append(r["taken"])
+    assert all(any(abs(sum(t) - round(goal[s])) <= 0 for s in total if (total[s], float(goal[s])) == k) for k, t in by.items())
+
+
+def test_level_equals_plain_targets(spark):
+    from fractions import Fraction
+
+    rng = random.Random(8)
+    for sizes in ([100, 10, 1000, 0], [5], [0, 0], [1] * 7 + [1000], [rng.randint(0, 3000) for _ in range(60)]):
+        named = {f"s{i:03d}": n for i, n in enumerate(sizes)}
+        for weights, share, most in (((5, 2, 1), Fraction(3, 2), 2), ((1, 7), Fraction(5, 4), 3), ((3,), Fraction(9, 1), 2)):
+            got = {r["source"]: r["target"] for r in source_mix.quotas(spark.createDataFrame([*named.items()], "source string, n long"), weights, share, most).collect()}
+            assert got == {s: float(t) for s, t in source_mix.targets(named, weights, share, most).items()}
+
+
+def test_very_many_sources(spark):
+    import time
+
+    docs = spark.range(300_000).selectExpr("id as doc_id", "repeat('w ', cast(id % 5 as int)) as text", "concat('s', id % 100000) as source")
+    began = time.time()
+    rows = source_mix.mixed_documents(docs).groupBy("source_size", "target").agg({"taken": "sum", "*": "count"}).collect()
+    assert time.time() - began < 120
+    assert sum(r["sum(taken)"] for r in rows) == pytest.approx(1.5 * 600_000, rel=0.1)
+
+
+def test_overlapping_sources_are_routed(spark):
+    docs = spark.createDataFrame(
+        [(i, i, ["a"], 10) for i in range(10)] + [(100 + i, i, ["a", "b"], 10) for i in range(10)] + [(200 + i, i, ["c"], 10) for i in range(5)] + [(300 + i, i, ["d", "c"], 1) for i in range(5)]
+        + [(400 + i, i, ["e"], 7) for i in range(5)], "doc_id long, h long, members array<string>, size long")
+    out, goal = source_mix.mix(docs)
+    quota = {r["source"]: r["quota"] for r in goal.collect()}
+    taken = {}
+    for r in out.collect():
+        key = tuple(sorted(r["members"]))
+        taken[key] = taken.get(key, 0) + r["taken"]
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    patterns = {("a",): 100, ("a", "b"): 100, ("c",): 50, ("c", "d"): 5}
+    assert {k: v for k, v in taken.items() if k != ("e",)} == source_mix.route(patterns, {s: q for s, q in quota.items() if s != "e"})
+    assert taken["e",] == min(quota["e"], 70)
+
+
 def test_targets_stop_at_twice_the_size():
     goal = source_mix.targets({"a": 100, "b": 10, None: 1000, "c": 0})
     assert goal["c"] == 0 and goal["b"] <= 20 and goal["a"] == 200 and float(sum(goal.values())) == 1.5 * 1110
