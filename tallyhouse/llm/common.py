@@ -71,8 +71,32 @@ def with_findings(docs: DataFrame, found: DataFrame) -> DataFrame:
     return docs.join(found.hint("shuffle_hash"), on, "left").drop("__id", "__h")
 
 
+#: A key is hot if it has more than one of so many parts of all rows; at most so many keys are.
+HOT = 1000
+
+
+def join_hot(rows: DataFrame, groups: DataFrame, key: str, n: str, by: list[str]) -> DataFrame:
+    """Inner join of ``rows`` with one row of ``groups`` per ``key``, which has ``n`` of them,
+    told apart by the columns ``by``.
+
+    The rows of hot keys are dealt out over as many salts as they have parts, so that none
+    of them meets in one task, however few its bytes. At most ``HOT`` keys can be hot: only
+    hashes of those are broadcast."""
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    salts = F.ceil(F.col(n) * HOT / F.lit(max(total, 1))).cast("int")
+    groups = groups.withColumn("__salts", salts)
+    hot = groups.filter(F.col("__salts") > 1).groupBy(F.xxhash64(key).alias("__hash")).agg(F.max("__salts").alias("__salts"))
+    marked = rows.withColumn("__hash", F.xxhash64(key)).join(F.broadcast(hot), "__hash", "left")
+    spread = F.pmod(F.xxhash64(*by), F.coalesce("__salts", F.lit(1)))
+    marked = marked.withColumn("__salt", spread.cast("int")).drop("__hash", "__salts")
+    # Two keys of one hash share their salts: each is there under all of them.
+    both = groups.withColumn("__hash", F.xxhash64(key)).drop("__salts").join(F.broadcast(hot), "__hash", "left")
+    both = both.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__hash", "__salts")
+    return marked.join(both, [key, "__salt"]).drop("__salt")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["BLANKS", "BLANK_RUN", "GAP", "free", "lower_ascii", "n_words_of", "prepare", "same_key", "settle", "table", "texts", "with_findings", "words_of"]
+__all__ = ["BLANKS", "BLANK_RUN", "GAP", "free", "join_hot", "lower_ascii", "n_words_of", "prepare", "same_key", "settle", "table", "texts", "with_findings", "words_of"]

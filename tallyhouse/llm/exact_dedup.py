@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyhouse.llm.common import prepare, settle, table, texts
+from tallyhouse.llm.common import join_hot, prepare, settle, table, texts
 
 #: Bytes of a chunk: at least, at most; a cut is due every 2**MEAN_BITS bytes on average.
 LEAST, MOST, MEAN_BITS = 256, 16384, 11
@@ -142,8 +142,8 @@ def exact_duplicates(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
     prepare(docs.sparkSession)
     rows = identified(docs, digest_bytes).groupBy("doc_id", "text_sha256", "ids").agg(F.count("*").alias("copies"))
     rows = settle(rows)
-    groups = rows.groupBy("ids").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    out = rows.join(groups, "ids").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    groups = settle(rows.groupBy("ids").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"), F.count("*").alias("rows")))
+    out = join_hot(rows, groups, "ids", "rows", ["doc_id"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 

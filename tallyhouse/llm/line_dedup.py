@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import BLANKS, free, prepare, same_key, settle, table, texts, with_findings
+from tallyhouse.llm.common import BLANKS, free, join_hot, prepare, same_key, settle, table, texts, with_findings
 
 LONG, DOCS = 40, 5
 #: Bits of a filter as a power of two; bits set per key; bytes of a piece of a filter.
@@ -154,8 +154,9 @@ def dropped_lines(docs: DataFrame, bits: int = BITS) -> DataFrame:
 
     ``docs`` comes from ``texts``."""
     found = settle(suspects(docs, twice_seen(docs, bits), bits).dropDuplicates(["doc_id", "h", "key"]))
-    repeated = found.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper")).filter(F.col("n") >= DOCS)
-    gone = found.join(repeated, "key").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    repeated = found.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper"), F.count("*").alias("rows"))
+    repeated = settle(repeated.filter(F.col("n") >= DOCS))
+    gone = join_hot(found, repeated, "key", "rows", ["doc_id", "h"]).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return gone.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("lines")).alias("drops"))
 
 

@@ -286,6 +286,20 @@ def test_level_equals_plain_targets(spark):
             assert got == {s: float(t) for s, t in source_mix.targets(named, weights, share, most).items()}
 
 
+def test_hot_keys_are_dealt_out(spark):
+    from pyspark.sql import functions as F
+
+    from tallyhouse.llm.common import join_hot
+
+    rows = spark.range(30_000).selectExpr("id as doc_id", "case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('k', id % 50) else concat('u', id) end as key")
+    rows = rows.union(spark.createDataFrame([(1, None), (None, "hot")], "doc_id long, key string"))
+    groups = rows.filter("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("top"))
+    got, want = join_hot(rows, groups, "key", "n", ["doc_id"]), rows.join(groups, "key")
+    assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    shown = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in shown and join_hot(rows.filter("false"), groups.filter("false"), "key", "n", ["doc_id"]).count() == 0
+
+
 def test_very_many_sources(spark):
     import time
 
