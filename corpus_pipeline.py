@@ -11,6 +11,8 @@ read again as the next one's ``docs``. All but the last return the columns of
 4. decontaminate: contaminated texts go.
 5. mix: what the target weights take; columns ``size``, ``source_size``, ``target`` and
    ``taken`` are added (in place of columns of that name). Rows nothing is taken of go.
+   Rows equal in id, text and source take equal parts of what they take together; the
+   remainder, less than one word for each of them, is not taken.
 
 Empty tables, null texts and ids and repeated rows are handled as the operators say.
 """
