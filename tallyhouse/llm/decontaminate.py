@@ -7,9 +7,10 @@ the corpus, is joined (prefix length one). Its place in the text and in the wind
 the only start a window can have; starts before the text or ends beyond it are discarded
 (position and length bound), the rest is compared word by word.
 
-Benchmark shingles are counted over the whole corpus in the pass that finds them; texts
-are read once more for those that hold a prefix shingle. The benchmark's side of the
-joins is left to Spark's size statistics, as it may have any size.
+Benchmark shingles are counted over the whole corpus in the pass that finds them, which
+also keeps one row per text with its number of words; texts are read once more for those
+that hold a prefix shingle. The benchmark's side of the joins is left to Spark's size
+statistics, as it may have any size.
 
 * A null or empty text has no words, no hits and is not contaminated.
 * A null or empty item has no window. Equal items are both reported, under their ids;
@@ -23,9 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyhouse.llm.common import free, n_words_of, prepare, same_key, settle, table, texts, with_findings, words_of
+from tallyhouse.llm.common import free, prepare, same_key, settle, table, texts, with_findings, words_of
 
 WINDOW, SHINGLE = 13, 5
+#: The rows that keep the number of words of a text are dealt over so many keys of the join.
+MARKS = 1000
 #: A text is contaminated if this many times its hit words are at least all its words.
 PART = 20
 
@@ -37,6 +40,22 @@ def shingle_rows(df: DataFrame, words: str, size: int, *keep: str) -> DataFrame:
     return rows.select(*keep, "pos", F.concat_ws(" ", *[F.col("z").getField(f"w{i}") for i in range(size)]).alias("sh"))
 
 
+def marked_rows(docs: DataFrame, size: int) -> DataFrame:
+    """``shingle_rows`` of ``docs`` (``doc_id``, ``h``, ``w``, ``n_words``) and one more row per
+    text, also per text of no words, in which ``sh`` is a mark: a blank and a number."""
+    runs = F.greatest(F.col("n_words").cast("int") - (size - 2), F.lit(1))
+    cut = [F.slice("w", i + 1, runs).alias(f"w{i}") for i in range(size)]
+    rows = docs.select("doc_id", "h", "n_words", F.posexplode_outer(F.arrays_zip(*cut)).alias("pos", "z"))
+    # The run beyond the last one lacks its last word.
+    words = [F.col("z").getField(f"w{i}") for i in range(size)]
+    mark = F.concat(F.lit(" "), F.pmod("h", F.lit(MARKS)).cast("string"))
+    return rows.select("doc_id", "h", "n_words", "pos", F.when(words[-1].isNull(), mark).otherwise(F.concat_ws(" ", *words)).alias("sh"))
+
+
+def marks(spark) -> DataFrame:
+    return spark.range(MARKS).select(F.concat(F.lit(" "), F.col("id").cast("string")).alias("sh"))
+
+
 def windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
     """``win`` (its words as text), ``len``, ``words`` of every distinct window, and the ids
     of the items that hold it, one row each."""
@@ -57,26 +76,32 @@ def prefixes(wins: DataFrame, counts: DataFrame, size: int) -> DataFrame:
     return best.filter(F.col("b.n") > 0).select("win", "len", F.col("b.sh").alias("sh"), F.col("b.pos").alias("off"))
 
 
-def occurrences(plain: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id``, ``h``, ``win``, ``start``, ``len`` of every window found in ``plain``
-    (from ``texts``)."""
+def occurrences(plain: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``h``, ``win``, ``start``, ``len`` of every window found in ``plain`` (from
+    ``texts``); and ``doc_id``, ``h``, ``n_words`` of every row of ``plain``."""
     docs = plain.select("doc_id", "h", words_of(F.col("text")).alias("w")).withColumn("n_words", F.size("w").cast("long"))
     wins = settle(windows(items).select("win", "len", "words").distinct())
-    out = None
+    out = counted = None
     # Windows of fewer words than a shingle are their own shingle: one pass for each such
-    # length there is, at most five in all.
+    # length there is, at most five in all. The first counts the words.
     sizes = sorted({min(SHINGLE, r["len"]) for r in wins.select(F.least("len", F.lit(SHINGLE)).alias("len")).distinct().collect()})
     for size in sizes:
         mine = wins.filter(F.least("len", F.lit(SHINGLE)) == size)
         wanted = shingle_rows(mine, "words", size, "win").select("sh").distinct()
-        seen = settle(shingle_rows(docs, "w", size, "doc_id", "h", "n_words").join(wanted, "sh"))
+        if counted is None:
+            rows = settle(marked_rows(docs, size).join(wanted.unionByName(marks(plain.sparkSession)), "sh"))
+            counted = rows.filter(F.col("sh").startswith(" ")).select("doc_id", "h", "n_words")
+            seen = rows.filter(~F.col("sh").startswith(" "))
+        else:
+            seen = settle(shingle_rows(docs, "w", size, "doc_id", "h", "n_words").join(wanted, "sh"))
         counts = seen.groupBy("sh").agg(F.count("*").alias("n"))
         starts = seen.join(prefixes(mine, counts, size), "sh").withColumn("start", F.col("pos") - F.col("off"))
         starts = starts.filter((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("n_words")))
         starts = starts.select("doc_id", "h", "win", "start", "len")
         out = starts if out is None else out.unionByName(starts)
     if out is None:
-        return docs.select("doc_id", "h", F.lit("").alias("win"), F.lit(0).alias("start"), F.lit(0).alias("len")).filter("false")
+        none = docs.select("doc_id", "h", F.lit("").alias("win"), F.lit(0).alias("start"), F.lit(0).alias("len")).filter("false")
+        return none, docs.select("doc_id", "h", "n_words")
     found = settle(out.distinct())
     # Verify: cut the candidate places out of the texts and compare them with the windows.
     places = found.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "len")).alias("places"))
@@ -86,7 +111,7 @@ def occurrences(plain: DataFrame, items: DataFrame) -> DataFrame:
     cut = cut.select("doc_id", "h", "p.start", "p.len", "p.is").distinct().withColumnsRenamed({"doc_id": "__id", "h": "__h", "start": "__s", "len": "__l"})
     same = (F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")) & (F.col("start") == F.col("__s"))
             & (F.col("len") == F.col("__l")) & (F.col("win") == F.col("is")))
-    return found.join(cut, same, "left_semi")
+    return found.join(cut, same, "left_semi"), counted
 
 
 def covered(hits: DataFrame) -> DataFrame:
@@ -101,12 +126,13 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``doc_id``, ``h``, ``n_words``, ``n_hit``, ``item_ids`` (sorted as strings), ``contaminated``."""
     prepare(docs.sparkSession)
     plain = texts(docs)
-    hits = settle(occurrences(plain, items))
+    hits, counted = occurrences(plain, items)
+    hits = settle(hits)
     listed = hits.select("doc_id", "h", "win").distinct().join(windows(items).select("win", "item_id"), "win")
     listed = listed.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
     found = covered(hits).join(listed.withColumnsRenamed({"doc_id": "__i", "h": "__k"}),
                                F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("h") == F.col("__k")), "left").drop("__i", "__k")
-    out = with_findings(plain.select("doc_id", "h", n_words_of(F.col("text")).alias("n_words")), found)
+    out = with_findings(counted, found)
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     ids: Column = F.coalesce("item_ids", F.array().cast("array<string>"))
     return out.select("doc_id", "h", "n_words", n_hit.alias("n_hit"), ids.alias("item_ids"), ((n_hit > 0) & (n_hit * PART >= F.col("n_words"))).alias("contaminated"))
