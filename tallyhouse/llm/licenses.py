@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyhouse.llm.common import n_words_of, prepare, settle, table, texts, with_findings, words_of
+from tallyhouse.llm.common import prepare, settle, table, texts, with_findings, words_of
 
 # Phrases and labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -60,11 +60,13 @@ def templates(spark) -> DataFrame:
     return spark.createDataFrame(rows, "tid int, label string, base boolean, k int, places int, off int, gram string")
 
 
-def votes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``h``, ``pos`` and a template's columns for every k-gram found in it."""
+def votes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``h``, ``pos`` and a template's columns for every k-gram found in it; and
+    ``doc_id``, ``h``, ``n_words`` of every row of ``docs``. Both come from one pass: the row
+    of a text's last word, which begins no pair, tells how many words there are."""
     known = templates(docs.sparkSession)
     split = docs.select("doc_id", "h", words_of(F.col("text")).alias("w"))
-    grams = split.select("doc_id", "h", F.posexplode(F.arrays_zip(
+    grams = split.select("doc_id", "h", F.posexplode_outer(F.arrays_zip(
         F.col("w").alias("a"), F.slice("w", F.lit(2), F.greatest(F.size("w"), F.lit(1))).alias("b"),
         F.slice("w", F.lit(3), F.greatest(F.size("w"), F.lit(1))).alias("c"))).alias("pos", "z")).select("doc_id", "h", "pos", "z.a", "z.b", "z.c")
     by_hash = known.groupBy("k", F.xxhash64("gram").alias("hash")).agg(F.collect_list(F.struct("gram", "tid", "label", "base", "k", "places", "off")).alias("at"))
@@ -72,11 +74,13 @@ def votes(docs: DataFrame) -> DataFrame:
         mine = F.broadcast(by_hash.filter(F.col("k") == k).select(F.col("hash").alias(f"hash{k}"), F.col("at").alias(f"at{k}")))
         grams = grams.withColumn(f"gram{k}", F.concat_ws(" ", *cols))
         grams = grams.join(mine, F.xxhash64(f"gram{k}") == F.col(f"hash{k}"), "left")
-    grams = grams.filter(F.col("at2").isNotNull() | F.col("at3").isNotNull())
+    grams = grams.withColumn("last", F.col("b").isNull())
+    grams = settle(grams.filter(F.col("at2").isNotNull() | F.col("at3").isNotNull() | F.col("last")).select("doc_id", "h", "pos", "last", "gram2", "gram3", "at2", "at3"))
+    counted = grams.filter("last").select("doc_id", "h", (F.coalesce("pos", F.lit(-1)) + 1).cast("long").alias("n_words"))
     none = F.filter(F.coalesce("at2", "at3"), lambda x: F.lit(False))
     found = grams.select("doc_id", "h", "pos", "gram2", "gram3", F.explode(F.concat(F.coalesce("at2", none), F.coalesce("at3", none))).alias("t"))
     same = F.col("t.gram") == F.when(F.col("t.k") == 2, F.col("gram2")).otherwise(F.col("gram3"))
-    return found.filter(same).select("doc_id", "h", "pos", "t.tid", "t.label", "t.base", "t.k", "t.places", "t.off")
+    return found.filter(same).select("doc_id", "h", "pos", "t.tid", "t.label", "t.base", "t.k", "t.places", "t.off"), counted
 
 
 def edits(words: Column, template: Column) -> Column:
@@ -118,10 +122,12 @@ def aligned(docs: DataFrame, runs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h", "r.*", F.size(template).alias("m"), edits(F.col("near"), template).alias("edits"))
 
 
-def spans(docs: DataFrame) -> DataFrame:
+def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc_id``, ``h``, ``label``, ``base``, ``start``, ``end`` (in words) and ``score`` of
-    every verified span. ``docs`` comes from ``texts``."""
-    cast = votes(docs).dropDuplicates(["doc_id", "h", "tid", "pos", "off"]).withColumn("diag", F.col("pos") - F.col("off"))
+    every verified span; and ``doc_id``, ``h``, ``n_words`` of every row. ``docs`` comes from
+    ``texts``."""
+    cast, counted = votes(docs)
+    cast = cast.dropDuplicates(["doc_id", "h", "tid", "pos", "off"]).withColumn("diag", F.col("pos") - F.col("off"))
     by_diag = settle(cast.groupBy("doc_id", "h", "tid", "label", "base", "k", "places", "diag").agg(
         F.count("*").alias("n"), F.min("pos").alias("start"), F.max(F.col("pos") + F.col("k")).alias("end"), F.collect_set("off").alias("offs")))
     exact = by_diag.filter(F.col("base") & (F.col("n") == F.col("places"))).select("doc_id", "h", "label", "base", "start", "end", F.lit(1.0).alias("score"))
@@ -138,7 +144,7 @@ def spans(docs: DataFrame) -> DataFrame:
     # Of notices that begin at the same word (versions of one licence) those changed least count.
     best = F.min("edits").over(W.partitionBy("doc_id", "h", "start"))
     merged = merged.withColumn("best", best).filter(F.col("edits") == F.col("best"))
-    return exact.unionByName(merged.select("doc_id", "h", "label", "base", "start", "end", "score"))
+    return exact.unionByName(merged.select("doc_id", "h", "label", "base", "start", "end", "score")), counted
 
 
 def licensed(docs: DataFrame) -> DataFrame:
@@ -146,11 +152,12 @@ def licensed(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     plain = texts(docs)
     base = F.col("base")
-    found = spans(plain).groupBy("doc_id", "h").agg(
+    found, counted = spans(plain)
+    found = found.groupBy("doc_id", "h").agg(
         F.count(F.when(base, 1)).alias("n_base"), F.min(F.when(base, F.col("start"))).alias("first_word"),
         F.max(F.when(base, F.col("start"))).alias("last_word"), F.collect_set(F.when(base, F.col("label"))).alias("base_set"),
         F.collect_set("label").alias("label_set"), F.max("score").alias("score"))
-    out = with_findings(plain.select("doc_id", "h", n_words_of(F.col("text")).alias("n_words")), found)
+    out = with_findings(counted, found)
     joined = [F.coalesce(F.array_join(F.array_sort(c), ","), F.lit("")).alias(n) for c, n in (("base_set", "base_labels"), ("label_set", "labels"))]
     return out.select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"), F.col("first_word").cast("long").alias("first_word"),
