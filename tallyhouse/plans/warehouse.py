@@ -31,7 +31,7 @@ class Inputs:
     products: DataFrame
     refunds: DataFrame
     cost_sheet: DataFrame
-    fx_daily: DataFrame
+    fx: DataFrame       # joins.rate_spans
     fees: DataFrame
     country_seed: DataFrame
     site_seed: DataFrame
@@ -62,7 +62,7 @@ class Warehouse:
     @cached_property
     def fx(self) -> DataFrame:
         """Written once, so that Spark knows the size and picks the join by it."""
-        return settle(self.inputs.fx_daily)
+        return settle(self.inputs.fx)
 
     @cached_property
     def fees(self) -> DataFrame:

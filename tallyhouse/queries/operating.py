@@ -463,7 +463,8 @@ left join fx_quote q on q.ccy = o.ccy and q.month = date_trunc('month', order_da
 def _(r):
     """The filled daily rate of every currency and day that has orders."""
     days = r.star.stg_orders.groupBy(F.col("currency_source").alias("currency"), "order_date").agg(F.count(F.lit(1)).alias("orders"))
-    rate = r.wh.fx.withColumnRenamed("rate_date", "order_date")
+    until = adapter.last_day(r.table)
+    rate = windows.daily_fx(adapter.fx_quotes(r.spark, until), F.lit(until).cast("date")).withColumnRenamed("rate_date", "order_date")
     return days.join(rate, ["currency", "order_date"], "left")
 
 
