@@ -17,44 +17,38 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
-def rate_spans(quotes: DataFrame, until: Column) -> DataFrame:
-    """A row per currency with its quotes in order: each holds from its day to the day
-    before the next, the last one through ``until``.
+def rates_by_currency(quotes: DataFrame, until: Column) -> DataFrame:
+    """A row per currency with its rate of every day, in one array: each quote holds from
+    its day to the day before the next, the last one through ``until``.
 
     ``quotes`` is ``(rate_date, currency, usd_rate)``; NULL rates, days and currencies are no
     quotes. Of several quotes of a day the largest counts, whatever their order. Returns
-    ``currency`` in capitals, ``days``, ``rates``, ``steps`` (powers of two from the largest
-    within the number of quotes down to one) and ``until``. A table of daily rates will do
-    for quotes, too.
+    ``currency`` in capitals, ``first_day`` and ``rates``, 8 bytes a day: 20 years of all 180
+    currencies are 11 MB. A table of daily rates will do for quotes, too.
     """
     known = quotes.filter(F.col("usd_rate").isNotNull() & F.col("rate_date").isNotNull() & F.col("currency").isNotNull())
     daily = known.groupBy(F.upper("currency").alias("currency"), F.col("rate_date").cast("date").alias("day")).agg(
         F.max(F.col("usd_rate").cast(RATE)).alias("rate"))
     # Bounded: a currency has a quote a day at most.
     rows = daily.groupBy("currency").agg(F.array_sort(F.collect_list(F.struct("day", "rate"))).alias("q"))
-    bits = F.sequence(F.floor(F.log2(F.size("q"))).cast("int"), F.lit(0), F.lit(-1))
-    steps = F.transform(bits, lambda b: F.pow(F.lit(2), b).cast("int"))
-    return rows.select("currency", F.col("q.day").alias("days"), F.col("q.rate").alias("rates"), steps.alias("steps"), until.cast("date").alias("until"))
+    end = F.date_add(until.cast("date"), 1)
 
+    def held(q: Column, i: Column) -> Column:
+        days = F.date_diff(F.coalesce(F.get("q", i + 1)["day"], end), q["day"])
+        return F.array_repeat(q["rate"], F.greatest(days, F.lit(0)))
 
-def places_up_to(ordered: Column, steps: Column, x: Column) -> Column:
-    """How many elements of an ordered array are at most ``x``; none for NULL.
-
-    A search by halving: each step is taken if the element it leads to is not beyond ``x``.
-    """
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(ordered, at + step - 1) <= x, at + step).otherwise(at))
+    return rows.select("currency", F.get("q", F.lit(0))["day"].alias("first_day"), F.flatten(F.transform("q", held)).alias("rates"))
 
 
-def with_rate(df: DataFrame, spans: DataFrame, currency: str | Column, day: str, name: str) -> DataFrame:
-    """The rate of a currency on a day from ``rate_spans``; a miss leaves NULL.
+def with_rate(df: DataFrame, rates: DataFrame, currency: str | Column, day: str, name: str) -> DataFrame:
+    """The rate of a currency on a day from ``rates_by_currency``; a miss leaves NULL.
 
-    A range join without a row per day: rows meet the quotes of their currency, and the
-    span their day lies in is looked up in the row.
+    Rows meet the one row of their currency; the day is a place in its array, found
+    without a search and inside generated code.
     """
     code = F.col(currency) if isinstance(currency, str) else currency
-    own = spans.select(*[F.col(c).alias(f"_{c}") for c in ("currency", "days", "rates", "steps", "until")])
-    at = places_up_to(F.col("_days"), F.col("_steps"), F.col(day))
-    rate = F.when(F.col(day) <= F.col("_until"), F.get("_rates", at - 1))
+    own = rates.select(*[F.col(c).alias(f"_{c}") for c in ("currency", "first_day", "rates")])
+    rate = F.get("_rates", F.date_diff(F.col(day), F.col("_first_day")))
     return df.join(own, code == F.col("_currency"), "left").select(*[df[c] for c in df.columns if c != name], rate.alias(name))
 
 
@@ -62,9 +56,9 @@ def rate_or_one(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(1).cast(RATE))
 
 
-def fx_convert(df: DataFrame, spans: DataFrame, currency: str | Column, day: str, amounts: dict[str, str]) -> DataFrame:
+def fx_convert(df: DataFrame, rates: DataFrame, currency: str | Column, day: str, amounts: dict[str, str]) -> DataFrame:
     """Add each amount in dollars at the dated rate; a missing rate counts as one."""
-    rated = with_rate(df, spans, currency, day, "_rate")
+    rated = with_rate(df, rates, currency, day, "_rate")
     out = rated.select("*", *[convert(src, rate_or_one("_rate")).alias(dst) for dst, src in amounts.items()])
     return out.drop("_rate")
 

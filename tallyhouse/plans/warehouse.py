@@ -31,7 +31,7 @@ class Inputs:
     products: DataFrame
     refunds: DataFrame
     cost_sheet: DataFrame
-    fx: DataFrame       # joins.rate_spans
+    fx: DataFrame       # joins.rates_by_currency
     fees: DataFrame
     country_seed: DataFrame
     site_seed: DataFrame

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.joins import spread
-from tallyhouse.operators.joins import rate_spans
+from tallyhouse.operators.joins import rates_by_currency
 from tallyhouse.plans.staging import PAYPAL_CURRENCY, PAYPAL_FEE, STRIPE_CURRENCY, STRIPE_FEE
 from tallyhouse.plans.warehouse import Inputs
 
@@ -384,7 +384,7 @@ def inputs(spark: SparkSession, tables) -> Inputs:
         products=product_documents(tables),
         refunds=raw_refunds(tables),
         cost_sheet=raw_cost(tables),
-        fx=rate_spans(fx_quotes(spark, until), F.lit(until)),
+        fx=rates_by_currency(fx_quotes(spark, until), F.lit(until)),
         fees=fee_seed(spark),
         country_seed=country_seed(tables),
         site_seed=site_seed(tables),

@@ -13,7 +13,7 @@ from tallyhouse.operators import aggregates, checks, joins, setops, topk, window
 
 
 def test_ffill_like_pandas_over_many_blocks(spark):
-    """One key holds two thirds of the rows and spans many blocks."""
+    """One key holds two thirds of the rows and rates many blocks."""
     n = 3000
     pdf = pd.DataFrame({"row": range(n)})
     pdf["key"] = ["hot" if i % 3 else f"k{i % 50}" for i in pdf["row"]]
@@ -98,12 +98,12 @@ def test_daily_fx_fills_to_the_next_quote(spark):
 def test_missing_rate_counts_as_one(spark):
     df = spark.sql("select 'EUR' as ccy, date'2024-01-01' as day, cast(10 as decimal(18,6)) as x union all select 'USD', date'2024-01-01', 10")
     fx = spark.sql("select 'EUR' as currency, date'2024-01-01' as rate_date, cast(1.5 as decimal(18,10)) as usd_rate")
-    spans = joins.rate_spans(fx, F.lit("2024-01-01"))
-    assert sorted(r.usd for r in joins.fx_convert(df, spans, "ccy", "day", {"usd": "x"}).collect()) == [10, 15]
+    rates = joins.rates_by_currency(fx, F.lit("2024-01-01"))
+    assert sorted(r.usd for r in joins.fx_convert(df, rates, "ccy", "day", {"usd": "x"}).collect()) == [10, 15]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 8, 61])
-def test_rate_spans_equal_the_daily_table(spark, n):
+def test_rates_by_day_equal_the_daily_table(spark, n):
     """Every day from before the first quote to after the last, in any number of quotes."""
     rng = random.Random(n)
     first, until = date(2024, 1, 10), date(2024, 9, 1)
@@ -115,18 +115,18 @@ def test_rate_spans_equal_the_daily_table(spark, n):
     asked = spark.createDataFrame(asked, "ccy string, day date")
     daily = windows.daily_fx(quotes.filter("rate_date is not null"), F.lit(until))
     want = asked.join(daily, (F.col("ccy") == F.col("currency")) & (F.col("day") == F.col("rate_date")), "left").select("ccy", "day", "usd_rate")
-    got = joins.with_rate(asked, joins.rate_spans(quotes, F.lit(until)), "ccy", "day", "usd_rate")
+    got = joins.with_rate(asked, joins.rates_by_currency(quotes, F.lit(until)), "ccy", "day", "usd_rate")
     key = lambda rows: sorted(map(str, rows.collect()))
     assert key(got) == key(want)
 
 
 def test_rates_stay_a_row_a_currency(spark):
-    """Of two quotes of a day the larger counts; a column named like the rate is replaced."""
+    """Of several quotes of a day the larger counts; a column named like the rate is replaced."""
     quotes = spark.sql("select date'2024-01-01' as rate_date, 'eur' as currency, cast(r as decimal(18,10)) as usd_rate from values (1.5), (1.7), (1.6) v(r)")
-    spans = joins.rate_spans(quotes.unionByName(quotes.withColumn("currency", F.lit("Eur"))), F.lit("2030-01-01"))
-    assert [(r.currency, len(r.days), r.steps) for r in spans.collect()] == [("EUR", 1, [1])]
+    rates = joins.rates_by_currency(quotes.unionByName(quotes.withColumn("currency", F.lit("Eur"))), F.lit("2030-01-01"))
+    assert [(r.currency, r.first_day, len(r.rates), set(r.rates)) for r in rates.collect()] == [("EUR", date(2024, 1, 1), 2193, {D("1.7")})]
     df = spark.sql("select 'EUR' as ccy, date'2029-05-05' as day, 1 as rate")
-    assert [(r.ccy, r.rate) for r in joins.with_rate(df, spans, "ccy", "day", "rate").collect()] == [("EUR", D("1.7"))]
+    assert [(r.ccy, r.rate) for r in joins.with_rate(df, rates, "ccy", "day", "rate").collect()] == [("EUR", D("1.7"))]
 
 
 def test_two_active_fee_rows_of_a_method_fail(spark):
