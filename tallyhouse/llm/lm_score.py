@@ -4,13 +4,14 @@ The model is split over *shards* by context word, the corpus into *batches* of d
 both numbers follow the corpus, so neither a shard nor a batch outgrows a task.
 
 1. ``survey`` counts every word once: tokens, vocabulary, and the words so frequent that
-   their successors must be dealt out over several shards (at most ``HOTTEST`` words,
-   whatever the corpus, with their counts).
+   their successors must be dealt out over several shards (at most ``1 / HOT_PART`` words a
+   shard), with their counts.
 2. Each batch sends the shards it has pairs for one message: its distinct pairs with their
    training counts. A pair is sent once a batch, however often it occurs, and a shard
    without any is sent nothing: messages never outnumber pairs.
-3. A shard adds the counts up, builds its trie and answers every message: exact counts of
-   the contexts, quantised log10 probabilities of the pairs.
+3. A shard adds the counts up, builds its trie and asks it every message's pairs, those of
+   held-out texts too: exact counts of the contexts, quantised log10 of the first term of
+   P(w | v) below. Its second term needs the word alone.
 4. Each batch scores its documents with the answers.
 
 P(w | v) = (c(v w) + M * P1(w)) / (c(v) + M), with P1(w) = (c(w) + 1) / (N + V + 1); it sums
@@ -41,8 +42,8 @@ from tallyhouse.llm.ngram_trie import Trie, dequantise
 FOLDS, HELD_OUT = 7, 2
 #: Tokens to a batch and to a shard, about.
 BATCH_TOKENS, SHARD_TOKENS = 1_000_000, 2_000_000
-#: A word is hot from this part of a shard's load; at most so many words are.
-HOT_PART, HOTTEST = 0.25, 250_000
+#: A word is hot from this part of a shard's load.
+HOT_PART = 0.25
 #: Distinct words a task of the survey holds before it hands them on.
 HELD_WORDS = 1_000_000
 #: How many tokens the unigram model is worth after a context.
@@ -101,7 +102,7 @@ def survey(docs: DataFrame) -> Survey:
     tokens = int(total["n"] or 0)
     shards = -(-max(tokens, 1) // SHARD_TOKENS)
     hot = words.filter(F.col("n") * shards >= HOT_PART * tokens) if shards > 1 else words.filter("false")
-    hot = hot.orderBy(F.col("n").desc(), "word").limit(HOTTEST).toArrow()      # bounded
+    hot = hot.toArrow()      # bounded: each has HOT_PART of a shard's tokens
     hashes, n, train = (hot[c].to_numpy().astype(np.int64) for c in ("word", "n", "train"))
     hashes = hashes.view(np.uint64)
     order = np.argsort(hashes)
@@ -184,7 +185,7 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-MESSAGE = (np.uint64, np.uint32, np.uint32, np.uint32)     # contexts, successors of each, their hashes, training counts
+MESSAGE = (np.uint64, np.uint32, np.uint32, np.uint32, np.int64)     # contexts, successors of each, their hashes, training counts; counts of hot contexts
 ANSWER = (np.int64, np.uint16)                             # counts of the contexts, codes of the pairs
 
 
@@ -193,9 +194,11 @@ def messages(docs: pa.Table, s: Survey) -> pa.Table:
     train = np.repeat(~docs["held_out"].to_numpy(), pairs.sizes)
     counts = np.bincount(pairs.where, weights=train, minlength=len(pairs.v)).astype(np.uint32)
     successors = (pairs.hashes[pairs.w] >> np.uint64(32)).astype(np.uint32)
-    blobs = []
+    blobs, hot = [], np.zeros(len(pairs.hashes), np.int64)
+    hot[pairs.hot] = pairs.hot_counts
+    hot = hot[pairs.entry]
     for a, b, x, y in zip(pairs.entry_cut, pairs.entry_cut[1:], pairs.pair_cut, pairs.pair_cut[1:]):
-        blobs.append(_pack(pairs.keys[a:b], pairs.per_entry[a:b].astype(np.uint32), successors[x:y], counts[x:y]))
+        blobs.append(_pack(pairs.keys[a:b], pairs.per_entry[a:b].astype(np.uint32), successors[x:y], counts[x:y], hot[a:b]))
     batch = docs["batch"][0].as_py()
     return pa.table({"shard": pa.array(pairs.shards), "batch": pa.array([batch] * len(blobs), pa.int64()), "message": pa.array(blobs, pa.binary())})
 
@@ -211,9 +214,11 @@ def answers(rows: pa.Table, s: Survey) -> pa.Table:
     context_of = (pair >> np.uint64(32)).astype(np.int64)
     totals = np.bincount(context_of, weights=counts, minlength=len(contexts)).astype(np.int64)
     kept, seen = counts > 0, totals > 0
+    whole = totals.copy()                                        # of a hot context, this shard has a part
+    np.maximum.at(whole, of, np.concatenate([g[4] for g in got]))
     rank = np.cumsum(seen) - 1
     first = np.searchsorted(rank[context_of[kept]], np.arange(int(seen.sum()) + 1))
-    trie = Trie(contexts[seen], first, (pair[kept] & np.uint64(0xFFFFFFFF)), np.log10(counts[kept] / max(s.train_tokens, 1)))
+    trie = Trie(contexts[seen], first, (pair[kept] & np.uint64(0xFFFFFFFF)), np.log10(counts[kept] / (whole[context_of[kept]] + PRIOR)))
     codes = trie.lookup(trie.context(contexts)[context_of], (pair & np.uint64(0xFFFFFFFF)))[which]
     blobs, at, x = [], 0, 0
     for g in got:
@@ -233,8 +238,8 @@ def scores(docs: pa.Table, replies: pa.Table, s: Survey) -> pa.Table:
     counts[pairs.end], counts[pairs.start] = s.train_docs, 0
     one = (counts + 1) / (s.train_tokens + s.vocabulary + 1)
     codes = np.concatenate([g[1] for g in got])
-    both = np.where(codes > 0, 10.0 ** dequantise(codes) * s.train_tokens, 0.0)
-    chance = np.minimum(1, (both + PRIOR * one[pairs.w]) / (contexts[pairs.v] + PRIOR))    # codes round
+    both = np.where(codes > 0, 10.0 ** dequantise(codes), 0.0)
+    chance = np.minimum(1, both + one[pairs.w] * (PRIOR / (contexts[pairs.v] + PRIOR)))    # codes round
     edges = np.concatenate([[0], np.cumsum(pairs.sizes)[:-1]])
 
     def per_doc(values: np.ndarray) -> np.ndarray:
@@ -253,9 +258,10 @@ def language_scores(docs: DataFrame) -> DataFrame:
     plain = texts(docs).select("doc_id", "text", "h", held_out.alias("held_out"))
     s = survey(plain)
     batch = F.expr(f"pmod(xxhash64(doc_id, h), {s.batches}L)")
-    dealt = plain.select("doc_id", "text", "held_out", batch.alias("batch"))
-    asked = dealt.groupBy("batch").applyInArrow(lambda t: messages(t, s), "shard long, batch long, message binary")
-    replied = asked.groupBy("shard").applyInArrow(lambda t: answers(t, s), "batch long, shard long, answer binary")
+    # As many partitions as batches and shards: what a task reads does not grow with the corpus.
+    dealt = plain.select("doc_id", "text", "held_out", batch.alias("batch")).repartition(s.batches, "batch")
+    asked = dealt.groupBy("batch").applyInArrow(lambda t: messages(t, s), "shard long, batch long, message binary").repartition(s.shards, "shard")
+    replied = asked.groupBy("shard").applyInArrow(lambda t: answers(t, s), "batch long, shard long, answer binary").repartition(s.batches, "batch")
     return dealt.groupBy("batch").cogroup(replied.groupBy("batch")).applyInArrow(
         lambda d, r: scores(d, r, s),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -421,6 +421,33 @@ def test_trie_round_trip():
     assert trie.bytes < 8 * (len(contexts) + len(flat)) * 1.6
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 700])
+def test_trie_finds_what_it_holds_and_nothing_else(n):
+    rng = np.random.default_rng(n)
+    contexts = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+    words = rng.integers(0, 2**32, 90, dtype=np.uint64)
+    lists = [np.unique(rng.choice(words, rng.integers(1, 60))) for _ in contexts]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+    flat = np.concatenate([np.zeros(0, np.uint64), *lists])
+    logs = -8 * rng.random(len(flat))
+    trie = ngram_trie.Trie(contexts, first, flat, logs)
+    assert (trie.context(np.array([0, 2**63, 2**64 - 1], np.uint64)) == -1).all()
+    at, word = (x.ravel() for x in np.meshgrid(np.arange(len(contexts)), words))
+    held = {(i, int(x)): c for i, own in enumerate(lists) for x, c in zip(own, ngram_trie.quantise(logs[first[i]:first[i + 1]]))}
+    assert trie.lookup(at, word).tolist() == [held.get((i, x), 0) for i, x in zip(at.tolist(), word.tolist())]
+    assert (trie.lookup(np.full(len(words), -1), words) == 0).all()
+
+
+def test_trie_is_smaller_than_plain_arrays():
+    rng = np.random.default_rng(8)
+    words = np.unique(rng.integers(0, 2**32, 20_000, dtype=np.uint64))
+    lists = [np.unique(rng.choice(words, 60)) for _ in range(4000)]
+    contexts = np.unique(rng.integers(0, 2**64, len(lists), dtype=np.uint64))
+    flat = np.concatenate(lists)
+    trie = ngram_trie.Trie(contexts, np.concatenate([[0], np.cumsum([len(x) for x in lists])]), flat, -8 * rng.random(len(flat)))
+    assert trie.bytes < 0.75 * (16 * len(contexts) + 6 * len(flat))
+
+
 def test_pipeline(spark, world):
     docs = spark.read.parquet(f"{world['dir']}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
