@@ -34,7 +34,7 @@ def main() -> None:
 
     times: dict[str, float] = {}
     start = time.time()
-    run_for(spark, sf_dir).star
+    run_for(spark, sf_dir).star.write_all()
     times["publish_star"] = round(time.time() - start, 3)
     for name in HEADLINE:
         start = time.time()
