@@ -112,7 +112,7 @@ def update(orders: DataFrame, path: str, batch_id: int, buckets: int = BUCKETS)
         if old:
             rows = rows.unionByName(spark.read.schema(rows.schema).parquet(*old))
         out = merged(rows).select("*", _bucket(buckets)).repartition("bucket")        # a file a bucket
-        out.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/states/{BATCH}={batch_id}")
+        out.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/states/{BATCH}={batch_id}")
         append_batch(fresh.select("bucket").distinct(), f"{path}/written", batch_id)
     finally:
         fresh.unpersist()
