@@ -75,6 +75,19 @@ def test_words_alone_are_words_in_texts():
     assert not other.plain("a")
 
 
+def test_marks_and_capitals_make_no_new_words():
+    encoder = token_store.Encoder(token_store.Vocabulary(WORDS, 1, 2, by_word=True))
+    plain = token_store.Encoder(token_store.Vocabulary(WORDS, 1, 2))
+    marks = [".", ",", "***", "!?", "'", "\u2026", "\u037e", "\u00d7", "\u0301.", "\u0130."]
+    texts = ["".join(a + b + c for b in marks) for a in ("Abc", "\u00c9t\u00c9", "\u0178", "\u0130", "7", "") for c in (" ", "\t", "\xa0", "x", "'S ", "")]
+    assert encoder.cuts and [encoder(t) for t in texts] == [plain(t) for t in texts]
+    encoder.words.clear()
+    encoder("one")
+    held = len(encoder.words)
+    encoder("ONE One, one. oNe*** one")
+    assert held == 1 and set(encoder.words) == {b"one", b",", b".", b"***"}
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 1000, 50_000])
 def test_perfect_hash(n):
     rng = np.random.default_rng(n)
