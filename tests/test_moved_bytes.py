@@ -5,8 +5,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.plans.measures import MEASURES, reduced
 from tallyhouse.queries.adapter import ID_BUCKETS, line_text, with_line_id
-from tallyhouse.session import TASK_BYTES, size_shuffles
+from tallyhouse.session import SPLIT_BYTES, TASK_BYTES, size_shuffles
 
 LINE = (
     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
@@ -74,3 +75,40 @@ def test_partitions_follow_the_input(spark):
     finally:
         for k, v in zip((key, advised), held, strict=True):
             spark.conf.set(k, v) if v else spark.conf.unset(k)
+
+
+def test_tasks_read_small_parts_of_files(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    held = spark.conf.getAll.get(key)
+    try:
+        spark.conf.unset(key)
+        size_shuffles(spark, 1000)
+        assert spark.conf.get(key) == str(SPLIT_BYTES)
+        spark.conf.set(key, "8m")
+        size_shuffles(spark, 1000)
+        assert spark.conf.get(key) == "8m"
+    finally:
+        spark.conf.set(key, held) if held else spark.conf.unset(key)
+
+
+def test_products_are_moved_by_their_ids(star):
+    small, _ = reduced(star, "fact_order_item", {"revenue": MEASURES["revenue"].parts["revenue"]}, ["product_sk"])
+    assert small.columns == ["product_sk", "revenue"]
+    moved = [line for line in plan(small).splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and all("product_sk" not in line and "woo_product_id" in line for line in moved)
+    summed = {r.product_sk: r.revenue for r in small.collect()}
+    direct = star.fact_order_item.groupBy("product_sk").agg(F.sum(F.when(F.col("is_revenue_status"), F.col("line_revenue_usd"))).alias("revenue"))
+    assert summed == {r.product_sk: r.revenue for r in direct.collect()}
+
+
+def test_orders_are_dealt_with_their_customers_key(star, spark, monkeypatch):
+    from tallyhouse.plans import warehouse
+
+    seen = []
+    dealt = warehouse._dealt
+    monkeypatch.setattr(warehouse, "_dealt", lambda df, day: seen.append(df.columns) or dealt(df, day))
+    again = warehouse.Star(star.inputs, spark, f"{star.path}/keyed")
+    again.written |= {"stg_orders": star.stg_orders}
+    found = again.fact_order
+    assert "customer_sk" in seen[0] and found.columns == star.fact_order.columns
+    assert found.exceptAll(star.fact_order).isEmpty() and star.fact_order.exceptAll(found).isEmpty()
