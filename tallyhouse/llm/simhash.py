@@ -102,7 +102,8 @@ def links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
     cells = nodes.select("fp", counts.alias("c")).select(
         "fp", F.posexplode(F.array(*[F.col("c").bitwiseAND(F.lit(m)) for m in _masks()])).alias("k", "cell"))
     shared = cells.groupBy("k", "cell").agg(F.count("*").alias("n")).filter("n > 1")
-    met = cells.join(shared, ["k", "cell"]).withColumn("blocks", F.ceil(F.col("n") / block))
+    # Spark takes 70 cells of a fingerprint for the bytes of one, and would send them all to the driver.
+    met = cells.hint("merge").join(shared, ["k", "cell"]).withColumn("blocks", F.ceil(F.col("n") / block))
     met = met.withColumn("b", F.expr("pmod(xxhash64(fp), blocks)"))
     met = met.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     groups = met.groupBy("k", "cell", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi")).agg(F.collect_list("fp").alias("fps"))
